@@ -20,6 +20,12 @@ MARGIN = 1e-5
 # many frequent terms, whatever the number of documents.
 RARE = 64
 SHARDS = 64
+# Documents per query and k that are scored to find the floor of the pruned plan.
+SEEDS = 10
+# Limits of the direct plan: about 100 MB of broadcast query terms, and some minutes
+# of work for every core.
+BROADCAST_ROWS = 1_000_000
+PAIRS_PER_CORE = 100_000_000
 
 
 def query_tokens(questions: DataFrame) -> DataFrame:
@@ -64,6 +70,11 @@ def impacts(index: Index) -> DataFrame:
     return index.postings.select("doc_id", "term", impact.alias("impact"))
 
 
+def contribution() -> Column:
+    """What one posting adds to the score of its document."""
+    return F.col("weight") * F.col("impact")
+
+
 def top_k(scores: DataFrame, k: int) -> DataFrame:
     """(id, doc_id, score) -> (id, rank, doc_id, score), ties by doc_id."""
     best = W.partitionBy("id").orderBy(F.desc("score"), "doc_id")
@@ -75,13 +86,23 @@ def top_k(scores: DataFrame, k: int) -> DataFrame:
     )
 
 
-def all_scores(query_terms: DataFrame, index: Index) -> DataFrame:
-    """(id, doc_id, score) of every document with any query term."""
+def direct_scores(weighted: DataFrame, index: Index) -> DataFrame:
+    """(id, doc_id, score) of every document with any query term.
+
+    The postings of the asked terms are partitioned by document and the query terms,
+    whose number the caller has checked, are broadcast. All contributions to a score
+    then meet in one partition, so the pairs are added up where they arise and are
+    never shuffled; no term or query is hot there.
+    """
+    asked = weighted.select("term").distinct()
+    shards = max(SHARDS, int(weighted.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return (
-        weighted_query(query_terms, index)
-        .join(impacts(index), "term")
+        impacts(index)
+        .join(F.broadcast(asked), "term", "left_semi")
+        .repartition(shards, "doc_id")
+        .join(F.broadcast(weighted.select("id", "term", "weight")), "term")
         .groupBy("id", "doc_id")
-        .agg(F.sum(F.col("weight") * F.col("impact")).alias("score"))
+        .agg(F.sum(contribution()).alias("score"))
     )
 
 
@@ -105,89 +126,89 @@ def _join_sharded(query: DataFrame, postings: DataFrame, index: Index) -> DataFr
     )
 
 
-def score_floor(query: DataFrame, champions: DataFrame, k: int) -> DataFrame:
+def looked_up(pairs: DataFrame, query: DataFrame, postings: DataFrame, name: str) -> DataFrame:
+    """(id, doc_id, name): what the terms of ``query`` add to the scores of ``pairs``."""
+    return (
+        pairs.select("id", "doc_id")
+        .join(query.select("id", "term", "weight"), "id")
+        .join(postings, ["doc_id", "term"])
+        .groupBy("id", "doc_id")
+        .agg(F.sum(contribution()).alias(name))
+    )
+
+
+def score_floor(
+    weighted: DataFrame, champions: DataFrame, postings: DataFrame, k: int
+) -> DataFrame:
     """(id, floor): a score that at least ``k`` documents of the query reach.
 
-    ``champions`` are the k best postings of each term. What they alone add up to
-    is a lower bound of each document's score; the k-th best bound is the floor.
+    ``champions`` are the k best postings of each term. The documents for which they
+    add up to most are scored in full; the k-th best of these scores is the floor.
     """
-    bounds = (
-        query.join(champions, "term")
+    partial = (
+        weighted.join(champions, "term")
         .groupBy("id", "doc_id")
-        .agg(F.sum(F.col("weight") * F.col("impact")).alias("bound"))
+        .agg(F.sum(contribution()).alias("partial"))
     )
-    best = W.partitionBy("id").orderBy(F.desc("bound"))
+    first = W.partitionBy("id").orderBy(F.desc("partial"))
+    seeds = partial.withColumn("place", F.row_number().over(first)).where(
+        F.col("place") <= SEEDS * k
+    )
+    full = looked_up(seeds, weighted, postings, "full")
+    best = W.partitionBy("id").orderBy(F.desc("full"))
+    reached = F.when(F.count(F.lit(1)) == k, F.min("full")).otherwise(F.lit(0.0))
     return (
-        bounds.withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
+        full.withColumn("place", F.row_number().over(best))
+        .where(F.col("place") <= k)
         .groupBy("id")
-        .agg(
-            F.when(F.count(F.lit(1)) == k, F.min("bound"))
-            .otherwise(F.lit(0.0))
-            .alias("floor")
-        )
+        .agg(reached.alias("floor"))
     )
 
 
-def top_scores(query_terms: DataFrame, index: Index, k: int) -> DataFrame:
+def pruned_scores(weighted: DataFrame, index: Index, k: int) -> DataFrame:
     """(id, doc_id, score) of all documents that can be among the ``k`` best.
 
     Exact, without scoring every document of every frequent term. The terms of a
     query are ordered by the most they can add to a score. The weakest ones that
     together stay below the floor cannot lift a document into the top k, so only the
     other terms produce candidates; the weak terms are then looked up for the
-    candidates that can still reach the floor. The weighted query terms are stored
-    first: a term may occur in a third of all queries, and a stored side lets the
-    adaptive planner split it.
+    candidates that can still reach the floor.
     """
     postings = impacts(index)
-    weighted = staged(weighted_query(query_terms, index), "weighted")
-    best = W.partitionBy("term").orderBy(F.desc("impact"))
-    champions = (
+    strongest = W.partitionBy("term").orderBy(F.desc("impact"))
+    champions = staged(
         postings.join(weighted.select("term").distinct(), "term", "left_semi")
-        .withColumn("place", F.row_number().over(best))
-        .where(F.col("place") <= k)
-        .select("term", "doc_id", "impact", "place")
+        .withColumn("place", F.row_number().over(strongest))
+        .where(F.col("place") <= k),
+        "champions",
     )
-    floor = score_floor(weighted, champions, k)
+    floor = score_floor(weighted, champions, postings, k)
     most = champions.where("place = 1").select("term", F.col("impact").alias("most"))
     weakest_first = W.partitionBy("id").orderBy("bound", "term")
-    rest = weakest_first.rowsBetween(W.unboundedPreceding, 0)
-    bounded = (
+    so_far = weakest_first.rowsBetween(W.unboundedPreceding, 0)
+    weak_reach = F.max(F.when(F.col("weak"), F.col("reach"))).over(W.partitionBy("id"))
+    bounded = staged(
         weighted.join(most, "term")
         .withColumn("bound", F.col("weight") * F.col("most"))
         .join(floor, "id")
-        .withColumn("reach", F.sum("bound").over(rest))
+        .withColumn("reach", F.sum("bound").over(so_far))
         .withColumn("weak", F.col("reach") < F.col("floor") - MARGIN)
-        .withColumn(
-            "slack",
-            F.coalesce(
-                F.max(F.when(F.col("weak"), F.col("reach"))).over(W.partitionBy("id")),
-                F.lit(0.0),
-            ),
-        )
-    )
-    strong = bounded.where(~F.col("weak")).select(
-        "id", "term", "df", "weight", "floor", "slack"
+        .withColumn("slack", F.coalesce(weak_reach, F.lit(0.0))),
+        "bounded",
     )
     candidates = (
-        _join_sharded(strong, postings, index)
+        _join_sharded(bounded.where(~F.col("weak")), postings, index)
         .groupBy("id", "doc_id")
         .agg(
-            F.sum(F.col("weight") * F.col("impact")).alias("strong_score"),
+            F.sum(contribution()).alias("strong_score"),
             F.first("floor").alias("floor"),
             F.first("slack").alias("slack"),
         )
         .where(F.col("strong_score") + F.col("slack") >= F.col("floor") - MARGIN)
         .select("id", "doc_id", "strong_score")
     )
-    weak = bounded.where("weak").select("id", "term", "weight")
-    lookups = candidates.select("id", "doc_id").join(weak, "id")
-    added = (
-        lookups.join(postings, ["doc_id", "term"])
-        .groupBy("id", "doc_id")
-        .agg(F.sum(F.col("weight") * F.col("impact")).alias("weak_score"))
-    )
+    candidates = staged(candidates, "candidates")
+    added = looked_up(candidates, bounded.where("weak"), postings, "weak_score")
     return candidates.join(added, ["id", "doc_id"], "left").select(
         "id",
         "doc_id",
@@ -195,26 +216,45 @@ def top_scores(query_terms: DataFrame, index: Index, k: int) -> DataFrame:
     )
 
 
+def scores(query_terms: DataFrame, index: Index, k: int, plan: str = "auto") -> DataFrame:
+    """(id, doc_id, score) with at least the ``k`` best documents of each query.
+
+    'direct' scores all documents with a query term, 'pruned' only those that can be
+    among the best; both are exact. 'auto' measures the query: direct while its terms
+    fit a broadcast and its postings pairs keep the cores busy for minutes at most.
+    The weighted terms are stored first: a term may occur in a third of all queries,
+    and a stored join side lets the adaptive planner split it.
+    """
+    weighted = staged(weighted_query(query_terms, index), "weighted")
+    if plan == "auto":
+        size = weighted.agg(F.count(F.lit(1)).alias("rows"), F.sum("df").alias("pairs")).first()
+        cores = weighted.sparkSession.sparkContext.defaultParallelism
+        small = size.rows <= BROADCAST_ROWS and (size.pairs or 0) <= PAIRS_PER_CORE * cores
+        plan = "direct" if small else "pruned"
+    if plan == "direct":
+        return direct_scores(weighted, index)
+    return pruned_scores(weighted, index, k)
+
+
 def bm25_topk(
-    query_terms: DataFrame, index: Index, k: int = BASELINE_DEPTH, prune: bool = True
+    query_terms: DataFrame, index: Index, k: int = BASELINE_DEPTH, plan: str = "auto"
 ) -> DataFrame:
     """(id, rank, doc_id, score): the ``k`` best documents of each query."""
-    score = top_scores(query_terms, index, k) if prune else all_scores(query_terms, index)
-    return top_k(score, k)
+    return top_k(scores(query_terms, index, k, plan), k)
 
 
 def retrieve(
-    questions: DataFrame, index: Index, k: int = BASELINE_DEPTH, prune: bool = True
+    questions: DataFrame, index: Index, k: int = BASELINE_DEPTH, plan: str = "auto"
 ) -> DataFrame:
     """Baseline retrieval: any-term match on the text field, ``k`` best documents."""
-    return bm25_topk(analyze_queries(questions, index), index, k, prune)
+    return bm25_topk(analyze_queries(questions, index), index, k, plan)
 
 
 def first_pass(
-    query_terms: DataFrame, index: Index, k: int = FIRST_PASS_DEPTH, prune: bool = True
+    query_terms: DataFrame, index: Index, k: int = FIRST_PASS_DEPTH, plan: str = "auto"
 ) -> DataFrame:
     """Candidate retrieval of the learning-to-rank method."""
-    return bm25_topk(query_terms, index, k, prune)
+    return bm25_topk(query_terms, index, k, plan)
 
 
 def multi_field_topk(
@@ -223,6 +263,6 @@ def multi_field_topk(
     """Retrieval over several fields: a document scores its best field."""
     per_field = None
     for field, index in indexes.items():
-        hits = top_scores(query_terms[field], index, k)
+        hits = scores(query_terms[field], index, k)
         per_field = hits if per_field is None else per_field.unionByName(hits)
     return top_k(per_field.groupBy("id", "doc_id").agg(F.max("score").alias("score")), k)
