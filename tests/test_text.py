@@ -1,0 +1,116 @@
+import pytest
+from pyspark.sql import functions as F
+
+from typerank.functions import text, triples
+from typerank.operators.stems import porter_stem, stem_table
+
+
+def value(spark, string, expression):
+    return spark.createDataFrame([(string,)], "t string").select(expression).first()[0]
+
+
+@pytest.mark.parametrize(
+    "given, query, question",
+    [
+        (
+            "<b>Who</b> is the head-of-state in Norway?",
+            "head state norway",
+            "who head state norway",
+        ),
+        ("The U.S. capital.", "u.s. capital.", "u.s. capital."),
+        ("", "", ""),
+        ("a tab\tand　more", "tab more", "tab more"),
+    ],
+)
+def test_cleaning(spark, given, query, question):
+    assert value(spark, given, text.clean_query(F.col("t"))) == query
+    assert value(spark, given, text.preprocess(F.col("t"))) == question
+
+
+def test_tokens(spark):
+    given = "Ünder_score's a 2nd état"
+    assert value(spark, given, text.word_tokens(F.col("t"))) == [
+        "ünder_score", "s", "a", "2nd", "état",
+    ]
+    assert value(spark, given, text.vectorizer_tokens(F.col("t"))) == [
+        "ünder_score", "2nd", "état",
+    ]
+    assert value(spark, given, text.index_tokens(F.col("t"))) == ["ünder_score", "2nd", "état"]
+
+
+@pytest.mark.parametrize(
+    "token, name",
+    [
+        ("<http://x/resource/Foo_Bar__Baz>", "Foo Bar Baz"),
+        ("<http://x/resource/AC/DC>", "DC"),
+        ("<http://x/a____b>", "a  b"),
+    ],
+)
+def test_local_name(spark, token, name):
+    assert value(spark, token, triples.local_name(F.col("t"))) == name
+
+
+def test_abstract_text(spark):
+    line = (
+        '<http://x/r/E> <http://c> "One two, three four five six seven eight nine ten '
+        'eleven."@en .'
+    )
+    tokens = F.split("t", " ")
+    assert (
+        value(spark, line, triples.abstract_text(tokens))
+        == "One two three four five six seven eight nine ten"
+    )
+    assert value(spark, "short", triples.abstract_text(tokens)) == ""
+
+
+@pytest.mark.parametrize(
+    "word, stem",
+    [
+        ("caresses", "caress"),
+        ("ponies", "poni"),
+        ("feed", "feed"),
+        ("agreed", "agre"),
+        ("plastered", "plaster"),
+        ("motoring", "motor"),
+        ("sing", "sing"),
+        ("conflated", "conflat"),
+        ("troubled", "troubl"),
+        ("hopping", "hop"),
+        ("falling", "fall"),
+        ("filing", "file"),
+        ("happy", "happi"),
+        ("sky", "sky"),
+        ("relational", "relat"),
+        ("vietnamization", "vietnam"),
+        ("sensibiliti", "sensibl"),
+        ("triplicate", "triplic"),
+        ("electrical", "electr"),
+        ("adoption", "adopt"),
+        ("replacement", "replac"),
+        ("bowdlerize", "bowdler"),
+        ("probate", "probat"),
+        ("rate", "rate"),
+        ("cease", "ceas"),
+        ("controll", "control"),
+        ("roll", "roll"),
+        ("is", "is"),
+    ],
+)
+def test_porter_stem(word, stem):
+    assert porter_stem(word) == stem
+
+
+def test_stem_table_is_distinct(spark, rows):
+    terms = spark.createDataFrame([("cats",), ("cats",), ("cat",), ("été",)], "term string")
+    assert rows(stem_table(terms)) == [("cat", "cat"), ("cats", "cat"), ("été", "été")]
+
+
+def test_cleaning_on_a_stream(spark, tmp_path):
+    """The per-row steps are stateless, so they also run on a streaming DataFrame."""
+    folder = str(tmp_path / "lines")
+    spark.createDataFrame([("Who is the head-of-state?",)], "value string").write.text(folder)
+    stream = spark.readStream.text(folder).select(text.clean_query(F.col("value")).alias("q"))
+    sink = stream.writeStream.format("memory").queryName("cleaned").trigger(availableNow=True)
+    sink = sink.option("checkpointLocation", str(tmp_path / "state")).start()
+    sink.awaitTermination(60)
+    assert [r.q for r in spark.table("cleaned").collect()] == ["head state"]
