@@ -41,7 +41,7 @@ def test_index_is_replaced_and_loaded(spark, small, rows, tmp_path):
     assert [r.asDict() for r in freqs.collect()] == [{"doc_id": "d1", "freqs": {"red": 2, "fox": 1}}]
 
 
-@pytest.mark.parametrize("plan", ["auto", "direct", "pruned"])
+@pytest.mark.parametrize("plan", ["auto", "broadcast", "direct", "pruned"])
 def test_bm25_by_hand(spark, small, rows, plan):
     asked = questions(spark, [("q", "Red fox"), ("none", "green"), ("null", None)])
     assert rows(search.retrieve(asked, small, plan=plan)) == [
@@ -113,9 +113,10 @@ def crowd():
     return docs, asked
 
 
-@pytest.mark.parametrize("plan", ["direct", "pruned"])
-@pytest.mark.parametrize("k", [1, 5, 10])
-def test_exact_top_k(spark, crowd, rows, plan, k):
+@pytest.mark.parametrize("plan", ["broadcast", "direct", "pruned"])
+@pytest.mark.parametrize("k", [1, 10])
+def test_exact_top_k(spark, crowd, rows, plan, k, monkeypatch):
+    monkeypatch.setattr(search, "SPLIT_ABOVE", 2)
     docs, asked = crowd
     built = index.build_index(spark.createDataFrame(docs, "doc_id string, catch_all string"))
     assert rows(search.retrieve(questions(spark, asked), built, k, plan)) == brute_force(
@@ -169,3 +170,16 @@ def test_two_fields_take_the_better_score(spark, rows):
     single = {f: {r.doc_id: r.score for r in search.retrieve(asked, i).collect()} for f, i in built.items()}
     for r in both.collect():
         assert r.score == max(s.get(r.doc_id, 0.0) for s in single.values())
+
+
+def test_plan_follows_the_measured_size(spark, small, monkeypatch):
+    taken = []
+    for name in ("broadcast", "direct", "pruned"):
+        monkeypatch.setattr(search, f"{name}_scores", lambda *a, n=name: taken.append(n))
+    terms = search.analyze_queries(questions(spark, [("q", "red fox")]), small)
+    search.scores(terms, small, 5)
+    monkeypatch.setattr(search, "BROADCAST_ROWS", 1)
+    search.scores(terms, small, 5)
+    monkeypatch.setattr(search, "PAIRS_PER_CORE", 0)
+    search.scores(terms, small, 5)
+    assert taken == ["broadcast", "direct", "pruned"]

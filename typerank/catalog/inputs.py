@@ -17,6 +17,19 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str, key: str) -> DataFrame:
+    """A table of long texts, spread over all cores.
+
+    A small table is a single row group, so one task would do all the cleaning. Only
+    a scan with fewer splits than cores is exchanged; a large one is left as it is.
+    """
+    rows = table(spark, sf, name)
+    cores = spark.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        rows = rows.repartition(4 * cores, key)
+    return rows
+
+
 def key_block(key: str) -> Column:
     """Key ranges of a fixed width, as the blocks of an ordered table."""
     return F.shiftright(key, BLOCK_BITS)
@@ -52,7 +65,7 @@ def abstract_lines(spark: SparkSession, sf: str) -> DataFrame:
         text,
         F.lit('"@en .'),
     )
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id").select(
         key_block("doc_id").alias("block"), F.col("doc_id").alias("ord"), line.alias("line")
     )
 
@@ -63,7 +76,7 @@ def page_abstract_lines(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("<"), "url", F.lit('> <http://ex.org/abstract> "'),
         F.regexp_replace("html", r"[\r\n]+", " "), F.lit('"@en .')
     )
-    return table(spark, sf, "pages").select(
+    return texts(spark, sf, "pages", "page_id").select(
         key_block("page_id").alias("block"), F.col("page_id").alias("ord"), line.alias("line")
     )
 
@@ -76,7 +89,7 @@ def document_type_lines(spark: SparkSession, sf: str) -> DataFrame:
         F.format_string(line, subject, "lang"),
         F.format_string(line, subject, F.concat("lang", F.lit("_"), "source")),
     )
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id").select(
         key_block("doc_id").alias("block"), "doc_id", F.posexplode(lines).alias("pos", "line")
     ).select("block", (F.col("doc_id") * 2 + F.col("pos")).alias("ord"), "line")
 
@@ -86,7 +99,7 @@ def document_type_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
     """(doc_id, catch_all): every document with its whole text."""
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id").select(
         F.col("doc_id").cast("string").alias("doc_id"), F.col("text").alias("catch_all")
     )
 
@@ -95,7 +108,7 @@ def type_pieces(spark: SparkSession, sf: str) -> DataFrame:
     """Whole document texts as pieces of two types each: language, and language and
     source. More than half of all texts belong to one type."""
     types = F.array("lang", F.concat_ws("/", "lang", "source"))
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id").select(
         F.explode(types).alias("type"),
         key_block("doc_id").alias("block"),
         F.col("doc_id").alias("ord"),
@@ -103,23 +116,25 @@ def type_pieces(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_indexes: dict[tuple, Index] = {}
+_stored: dict[tuple, object] = {}
 
 
-def _index(spark: SparkSession, sf: str, kind: str, documents, stem: bool = False) -> Index:
-    key = (spark.sparkContext.applicationId, sf, kind)
-    if key not in _indexes:
-        _indexes[key] = build_index(documents(spark, sf), stem=stem)
-    return _indexes[key]
+def stored(spark: SparkSession, sf: str, name: str, build):
+    """What ``build`` writes, once per application and folder: indexes and tables that
+    a user of the operators has on disk."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _stored:
+        _stored[key] = build()
+    return _stored[key]
 
 
 def corpus_index(spark: SparkSession, sf: str) -> Index:
-    """Index of the documents, stored once per application and folder."""
-    return _index(spark, sf, "corpus", corpus)
+    """Index of the documents."""
+    return stored(spark, sf, "corpus", lambda: build_index(corpus(spark, sf)))
 
 
 def stemmed_corpus_index(spark: SparkSession, sf: str) -> Index:
-    return _index(spark, sf, "stemmed", corpus, stem=True)
+    return stored(spark, sf, "stemmed", lambda: build_index(corpus(spark, sf), stem=True))
 
 
 def type_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -128,7 +143,7 @@ def type_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def type_index(spark: SparkSession, sf: str) -> Index:
     """Index of the type documents."""
-    return _index(spark, sf, "types", type_documents)
+    return stored(spark, sf, "types", lambda: build_index(type_documents(spark, sf)))
 
 
 # Questions
@@ -139,7 +154,7 @@ def questions(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "benchmark").select(
         F.concat(F.lit("b"), "item_id").alias("id"), F.col("text").alias("question")
     )
-    said = table(spark, sf, "conversations").where("role = 'user'").select(
+    said = texts(spark, sf, "conversations", "conv_id").where("role = 'user'").select(
         F.concat_ws("-", F.concat(F.lit("c"), "conv_id"), "turn").alias("id"),
         F.col("text").alias("question"),
     )
@@ -194,7 +209,7 @@ def categorized_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
     annotated = table(spark, sf, "labels").select("doc_id", F.lit(True).alias("annotated"))
     return (
-        table(spark, sf, "documents")
+        texts(spark, sf, "documents", "doc_id")
         .join(annotated, "doc_id", "left")
         .select(
             F.col("doc_id").cast("string").alias("id"),
@@ -247,15 +262,21 @@ def hierarchy(spark: SparkSession, sf: str) -> DataFrame:
     return region.unionByName(nation).unionByName(supplier)
 
 
-_paths: dict[tuple, DataFrame] = {}
+def paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Paths of the hierarchy."""
+    return stored(spark, sf, "paths", lambda: staged(type_paths(hierarchy(spark, sf)), "paths"))
 
 
-def paths(spark: SparkSession, sf: str) -> DataFrame:
-    """Paths of the hierarchy, stored once per application and folder."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _paths:
-        _paths[key] = staged(type_paths(hierarchy(spark, sf)), "paths")
-    return _paths[key]
+def answers(spark: SparkSession, sf: str) -> DataFrame:
+    """The gold answers of the orders as a table."""
+    return stored(spark, sf, "answers", lambda: staged(order_answers(spark, sf), "answers"))
+
+
+def predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """The predicted answers of the orders as a table."""
+    return stored(
+        spark, sf, "predictions", lambda: staged(order_predictions(spark, sf), "predictions")
+    )
 
 
 def supplied_lines(spark: SparkSession, sf: str) -> DataFrame:

@@ -86,7 +86,7 @@ def index_documents(spark, sf):
 
 @query
 def html_preprocess(spark, sf):
-    pages = inputs.table(spark, sf, "pages")
+    pages = inputs.texts(spark, sf, "pages", "page_id")
     return pages.select("page_id", text.preprocess(F.col("html")).alias("text"))
 
 
@@ -397,7 +397,7 @@ def expanded_types(spark, sf):
 
 def _gold(spark, sf):
     return questions.known_gold_types(
-        inputs.order_answers(spark, sf), inputs.hierarchy(spark, sf)
+        inputs.answers(spark, sf), inputs.hierarchy(spark, sf)
     )
 
 
@@ -408,7 +408,7 @@ def _depth(spark, sf):
 def _gains(spark, sf):
     found = inputs.paths(spark, sf)
     gold = evaluation.gold_rows(_gold(spark, sf), found)
-    predicted = evaluation.predicted_rows(inputs.order_predictions(spark, sf))
+    predicted = evaluation.predicted_rows(inputs.predictions(spark, sf))
     return gold, evaluation.type_gains(predicted, gold, found, _depth(spark, sf))
 
 
@@ -439,8 +439,8 @@ def dcg_ndcg(spark, sf):
 
 def _order_evaluation(spark, sf):
     return runs.evaluate(
-        inputs.order_answers(spark, sf),
-        inputs.order_predictions(spark, sf),
+        inputs.answers(spark, sf),
+        inputs.predictions(spark, sf),
         inputs.hierarchy(spark, sf),
     )
 

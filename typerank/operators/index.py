@@ -88,7 +88,7 @@ def build_index(
     """Index ``documents`` (doc_id, text) and write its tables to ``path``.
 
     Each table is written once and the next is derived from the stored one, so the
-    texts are tokenized once and every later join sees the true sizes.
+    texts are tokenized only once and every later join sees the true sizes.
     """
     spark = documents.sparkSession
     path = path or new_folder(spark, "index")
@@ -105,7 +105,7 @@ def build_index(
     else:
         postings = stored(document_postings(documents, text), "postings")
     term_stats = stored(term_statistics(postings), "term_stats")
-    doc_stats = stored(document_stats(documents, text), "doc_stats")
+    doc_stats = stored(postings.select("doc_id", "dl").distinct(), "doc_stats")
     field_stats = stored(field_statistics(doc_stats), "field_stats")
     return Index(postings, term_stats, doc_stats, field_stats, stems)
 

@@ -15,16 +15,18 @@ from typerank.sources.stage import staged
 # of several units of the last digit, so rounding cannot change a result.
 DIGITS = 6
 MARGIN = 1e-5
-# A term is frequent when it is in more than one of RARE documents. Documents have a
-# bounded number of distinct terms on average, so there are at most RARE times that
-# many frequent terms, whatever the number of documents.
+# A term is frequent, and its postings are split, when it is in more than one of RARE
+# documents and in more than SPLIT_ABOVE. Documents have a bounded number of distinct
+# terms on average, so there are at most RARE times that many frequent terms, whatever
+# the number of documents.
 RARE = 64
+SPLIT_ABOVE = 10_000
 SHARDS = 64
 # Documents per query and k that are scored to find the floor of the pruned plan.
 SEEDS = 10
-# Limits of the direct plan: about 100 MB of broadcast query terms, and some minutes
-# of work for every core.
-BROADCAST_ROWS = 1_000_000
+# Limits of the plans that score all pairs: about 200 MB of broadcast query terms, and
+# some minutes of work for every core.
+BROADCAST_ROWS = 2_000_000
 PAIRS_PER_CORE = 100_000_000
 
 
@@ -86,7 +88,28 @@ def top_k(scores: DataFrame, k: int) -> DataFrame:
     )
 
 
-def direct_scores(weighted: DataFrame, index: Index) -> DataFrame:
+def _join_sharded(query: DataFrame, postings: DataFrame, index: Index) -> DataFrame:
+    """Join on term; a frequent term is spread over ``SHARDS`` partitions by document.
+
+    Both sides use document frequencies already known: no counting pass is needed.
+    The list of frequent terms is bounded (see ``RARE``), so it is broadcast.
+    """
+    many = F.greatest(field_value(index, "doc_count") / RARE, F.lit(SPLIT_ABOVE))
+    frequent = F.col("df") > many
+    hot = index.term_stats.where(frequent).select("term", F.lit(True).alias("hot"))
+    shard = F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).cast("int")
+    sharded = postings.join(F.broadcast(hot), "term", "left").withColumn(
+        "shard", F.when(F.col("hot"), shard).otherwise(0)
+    )
+    shards = F.when(frequent, F.sequence(F.lit(0), F.lit(SHARDS - 1))).otherwise(
+        F.array(F.lit(0))
+    )
+    return query.withColumn("shard", F.explode(shards)).join(
+        sharded.drop("hot"), ["term", "shard"]
+    )
+
+
+def broadcast_scores(weighted: DataFrame, index: Index) -> DataFrame:
     """(id, doc_id, score) of every document with any query term.
 
     The postings of the asked terms are partitioned by document and the query terms,
@@ -106,24 +129,10 @@ def direct_scores(weighted: DataFrame, index: Index) -> DataFrame:
     )
 
 
-def _join_sharded(query: DataFrame, postings: DataFrame, index: Index) -> DataFrame:
-    """Join on term; a frequent term is spread over ``SHARDS`` partitions by document.
-
-    Both sides use document frequencies already known: no counting pass is needed.
-    The list of frequent terms is bounded (see ``RARE``), so it is broadcast.
-    """
-    frequent = F.col("df") * RARE > field_value(index, "doc_count")
-    hot = index.term_stats.where(frequent).select("term", F.lit(True).alias("hot"))
-    shard = F.pmod(F.xxhash64("doc_id"), F.lit(SHARDS)).cast("int")
-    sharded = postings.join(F.broadcast(hot), "term", "left").withColumn(
-        "shard", F.when(F.col("hot"), shard).otherwise(0)
-    )
-    shards = F.when(frequent, F.sequence(F.lit(0), F.lit(SHARDS - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    return query.withColumn("shard", F.explode(shards)).join(
-        sharded.drop("hot"), ["term", "shard"]
-    )
+def direct_scores(weighted: DataFrame, index: Index) -> DataFrame:
+    """The same for query terms of any number: both sides are shuffled by term."""
+    pairs = _join_sharded(weighted, impacts(index), index)
+    return pairs.groupBy("id", "doc_id").agg(F.sum(contribution()).alias("score"))
 
 
 def looked_up(pairs: DataFrame, query: DataFrame, postings: DataFrame, name: str) -> DataFrame:
@@ -219,18 +228,23 @@ def pruned_scores(weighted: DataFrame, index: Index, k: int) -> DataFrame:
 def scores(query_terms: DataFrame, index: Index, k: int, plan: str = "auto") -> DataFrame:
     """(id, doc_id, score) with at least the ``k`` best documents of each query.
 
-    'direct' scores all documents with a query term, 'pruned' only those that can be
-    among the best; both are exact. 'auto' measures the query: direct while its terms
-    fit a broadcast and its postings pairs keep the cores busy for minutes at most.
-    The weighted terms are stored first: a term may occur in a third of all queries,
-    and a stored join side lets the adaptive planner split it.
+    'broadcast' and 'direct' score all documents with a query term, 'pruned' only
+    those that can be among the best; all are exact. 'auto' measures the query: pruned
+    where the pairs of query terms and postings would keep the cores busy for long,
+    else broadcast while the query terms fit. The weighted terms are stored first: a
+    term may occur in a third of all queries, and a stored join side lets the adaptive
+    planner split it.
     """
     weighted = staged(weighted_query(query_terms, index), "weighted")
     if plan == "auto":
         size = weighted.agg(F.count(F.lit(1)).alias("rows"), F.sum("df").alias("pairs")).first()
         cores = weighted.sparkSession.sparkContext.defaultParallelism
-        small = size.rows <= BROADCAST_ROWS and (size.pairs or 0) <= PAIRS_PER_CORE * cores
-        plan = "direct" if small else "pruned"
+        if (size.pairs or 0) > PAIRS_PER_CORE * cores:
+            plan = "pruned"
+        else:
+            plan = "broadcast" if size.rows <= BROADCAST_ROWS else "direct"
+    if plan == "broadcast":
+        return broadcast_scores(weighted, index)
     if plan == "direct":
         return direct_scores(weighted, index)
     return pruned_scores(weighted, index, k)
