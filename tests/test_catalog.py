@@ -70,7 +70,7 @@ def test_query_equals_sql(spark, db, name):
 
 
 def test_orders_reach_every_rule(spark):
-    scores = entry.queries()["question_scores"](spark, FOLDER)
+    scores = entry.queries()["question_scores"](spark, "/root/testdata/sf0.01")
     assert {r.rule for r in scores.select("rule").distinct().collect()} == set(range(1, 7))
 
 

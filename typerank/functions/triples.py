@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from typerank.schemas import ABSTRACT_WORDS, PUNCTUATION, TYPE_PREFIX
+from typerank.schemas import ABSTRACT_WORDS, PUNCTUATION
 
 
 def is_comment(line: Column) -> Column:
@@ -21,10 +21,6 @@ def local_name(token: Column) -> Column:
     return F.replace(F.replace(last, F.lit("_"), F.lit(" ")), F.lit("  "), F.lit(" "))
 
 
-def type_name(token: Column, prefix: str = TYPE_PREFIX) -> Column:
-    return F.concat(F.lit(prefix), local_name(token))
-
-
 def literal_text(tokens: Column) -> Column:
     """Object literal of a split line: everything between predicate and final dot."""
     return F.array_join(
