@@ -28,11 +28,11 @@ WITH RECURSIVE words AS (
 ), edges AS (
   SELECT a, b FROM links UNION SELECT b, a FROM links
 ), reach AS (
-  SELECT rep AS id, rep AS at FROM classes
+  SELECT rep AS id, rep AS node FROM classes
   UNION
-  SELECT r.id, e.b FROM reach r JOIN edges e ON r.at = e.a
+  SELECT r.id, e.b FROM reach r JOIN edges e ON r.node = e.a
 ), lowest AS (
-  SELECT id, min(at) AS component_id FROM reach GROUP BY id
+  SELECT id, min(node) AS component_id FROM reach GROUP BY id
 )
 SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles,
   coalesce(l.component_id, d.doc_id) AS component_id,
@@ -63,3 +63,43 @@ SELECT w.doc_id, len(w.w) AS n_words, len(w.w) - coalesce(k.n, 0) AS n_removed,
   sha256(coalesce(k.t, '')) AS kept_sha256
 FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id
 """
+
+# Fixed values, as in the filter: strict and soft terms.
+_STRICT = "porn xxx adult casino hentai escort camgirls warez malware phishing spam"
+_SOFT = (
+    "cheap pills free bets bet win bonus poker loan loans viagra cialis dating singles "
+    "ads track click farm deal deals promo popup torrent crack keygen replica"
+)
+
+
+def _count(terms: str) -> str:
+    one = "CASE WHEN regexp_matches(u, '(^|[^a-z0-9]){}([^a-z0-9]|$)') THEN 1 ELSE 0 END"
+    return "(" + " + ".join(one.format(t) for t in terms.split()) + ")"
+
+
+SQL["op1_url_filter"] = f"""
+WITH parts AS (
+  SELECT page_id, coalesce(url, '') AS url,
+    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), split AS (
+  SELECT page_id, translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS u,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parts
+), rules(verdict, host, path) AS (VALUES
+  ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), best AS (
+  SELECT page_id, max_by(r.host || r.path, len(r.host || r.path)) AS rule,
+    max_by(r.verdict, len(r.host || r.path)) AS verdict
+  FROM split s JOIN rules r ON ('.' || s.host) LIKE ('%.' || r.host) AND starts_with(s.path, r.path)
+  GROUP BY page_id
+), counted AS (
+  SELECT page_id, {_count(_STRICT)} AS strict_hits, {_count(_SOFT)} AS soft_hits FROM split
+)
+SELECT s.page_id, s.host, s.path, b.rule,
+  coalesce(b.verdict, CASE WHEN c.strict_hits > 0 OR c.soft_hits >= 2 THEN 'block' ELSE 'allow' END) AS verdict,
+  c.strict_hits, c.soft_hits
+FROM split s JOIN counted c USING (page_id) LEFT JOIN best b USING (page_id)
+"""

@@ -2,10 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from typerank.llm import neardup, substring
+from typerank.llm import bpe, fingerprint, neardup, packing, substring, urls
 from typerank.llm.common import read
 
 
+def url_filter(spark, sf):
+    """Host rules and the weighted vocabulary on every page."""
+    judged = urls.judge_urls(read(spark, sf, "pages").select("page_id", "url"))
+    return judged.drop("url")
+
+
 def near_duplicates(spark, sf):
     """MinHash near-duplicate classes of all documents."""
     found = neardup.near_duplicates(read(spark, sf, "documents"))
@@ -23,7 +29,27 @@ def substring_dedup(spark, sf):
     )
 
 
+def bpe_round_trip(spark, sf):
+    """All documents encoded and decoded again."""
+    return bpe.round_trip(read(spark, sf, "documents"), bpe.public_vocabulary())
+
+
+def packed_sequences(spark, sf):
+    """All documents packed into windows of 2048 tokens."""
+    return packing.pack(read(spark, sf, "documents"), packing.public_tokens())
+
+
+def fingerprints(spark, sf):
+    """One-permutation fingerprints of all documents and of their edited texts."""
+    found = fingerprint.edited_fingerprints(read(spark, sf, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
+    "op1_url_filter": url_filter,
     "op2_near_duplicates": near_duplicates,
     "op3_substring_dedup": substring_dedup,
+    "op4_bpe_round_trip": bpe_round_trip,
+    "op8_packing": packed_sequences,
+    "op10_fingerprints": fingerprints,
 }
