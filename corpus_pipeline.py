@@ -1,28 +1,55 @@
 """Curation of a corpus: each stage works on all that the one before it kept."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from typerank.llm import neardup, substring
+from typerank.llm import neardup, packing, quality, substring, toxicity
 from typerank.llm.common import read, staged
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line field rejects go. It is fitted on labelled documents that
+    are not held out; where none are labelled, all stay."""
+    field = quality.train(docs, read(spark, sf_dir, "labels"))
+    scored = quality.score(docs, field)
+    return scored.where(F.col("_quality") >= quality.THRESHOLD).select(docs.columns)
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model rejects go; without toxic labels all stay."""
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.where(F.col("_severity") < toxicity.THRESHOLD).select(docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the smallest id."""
-    found = neardup.near_duplicates(docs, p=neardup.STAGE).where("kept")
-    return docs.join(found.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    """One document of each group of near duplicates stays: the smallest id, and of rows
+    that share it the first text. Rows without an id are not compared and stay."""
+    gone = neardup.near_duplicates(docs, p=neardup.STAGE).where("NOT kept").select(F.col("id").alias("doc_id"))
+    left = docs.join(gone, "doc_id", "left_anti")
+    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    turn = F.row_number().over(W.partitionBy("doc_id", "_row").orderBy("text"))
+    return left.withColumn("_row", alone).withColumn("_turn", turn).where("_turn = 1").select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Long passages that repeat are cut out of the texts; documents left empty go."""
+    """Long passages that repeat are cut out of the texts; every document stays."""
     cut = substring.remove_repeats(docs)
-    cut = cut.withColumn("n_chars", F.length("text").cast("long"))
-    return cut.where("text != ''").select(docs.columns)
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in windows of 2048 tokens."""
+    return packing.pack(docs, packing.public_tokens())
 
 
 STAGES = [
+    ("quality", good_quality),
+    ("toxicity", not_toxic),
     ("near_duplicates", near_duplicates),
     ("repeated_passages", repeated_passages),
+    ("packing", packed),
 ]
 
 #: The trained stages have no SQL form; tests compare the others with brute force.

@@ -103,3 +103,15 @@ SELECT s.page_id, s.host, s.path, b.rule,
   c.strict_hits, c.soft_hits
 FROM split s JOIN counted c USING (page_id) LEFT JOIN best b USING (page_id)
 """
+
+SQL["op7_warc_round_trip"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS d FROM pages
+), firsts AS (
+  SELECT d, max(page_id) AS first FROM p WHERE octet_length(b) >= 1000 GROUP BY d
+)
+SELECT page_id, octet_length(b) AS payload_bytes, p.d AS payload_digest,
+  CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first != page_id THEN first END AS refers_to
+FROM p LEFT JOIN firsts ON firsts.d = p.d
+"""

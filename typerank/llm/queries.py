@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from typerank.llm import bpe, fingerprint, neardup, packing, substring, urls
+from typerank.llm import ann, bpe, fingerprint, neardup, packing, quality, substring, toxicity, urls, warc
 from typerank.llm.common import read
 
 
@@ -34,6 +34,42 @@ def bpe_round_trip(spark, sf):
     return bpe.round_trip(read(spark, sf, "documents"), bpe.public_vocabulary())
 
 
+def document_quality(spark, sf):
+    """Quality of all documents by the line field, fitted on labelled ones not held out."""
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    field = quality.train(docs, read(spark, sf, "labels"))
+    return quality.score(docs, field).select(
+        "doc_id",
+        quality.held_out("doc_id").alias("held_out"),
+        F.col("_quality").alias("score"),
+        F.when(F.col("_quality") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def nearest_vectors(spark, sf):
+    """The 20 nearest of every twentieth embedding among all others."""
+    return ann.nearest(read(spark, sf, "embeddings"), "id % 20 = 0", k=20)
+
+
+def warc_round_trip(spark, sf):
+    """All pages written as WARC archives and read back."""
+    return warc.round_trip(read(spark, sf, "pages"))
+
+
+def document_toxicity(spark, sf):
+    """Expected severity of all documents, fitted on labelled ones not held out."""
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read(spark, sf, "labels"))
+    severity = F.col("_severity")
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        quality.held_out("doc_id").alias("held_out"),
+        severity.alias("severity"),
+        F.round(severity).cast("int").alias("grade"),
+        F.when(severity >= toxicity.THRESHOLD, 1).otherwise(0).alias("toxic"),
+    )
+
+
 def packed_sequences(spark, sf):
     """All documents packed into windows of 2048 tokens."""
     return packing.pack(read(spark, sf, "documents"), packing.public_tokens())
@@ -50,6 +86,10 @@ QUERIES = {
     "op2_near_duplicates": near_duplicates,
     "op3_substring_dedup": substring_dedup,
     "op4_bpe_round_trip": bpe_round_trip,
+    "op5_quality": document_quality,
+    "op6_nearest_vectors": nearest_vectors,
+    "op7_warc_round_trip": warc_round_trip,
     "op8_packing": packed_sequences,
+    "op9_toxicity": document_toxicity,
     "op10_fingerprints": fingerprints,
 }
