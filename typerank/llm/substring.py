@@ -29,7 +29,7 @@ from typerank.sources.stage import shared_folder
 WIDTH = 35
 #: Words of an anchor, bytes of text in a chunk.
 ANCHOR, CHUNK_BYTES = 11, 4 << 20
-MAX_BUCKETS = 100_000
+MAX_BUCKETS, SPREAD = 100_000, 64
 
 _PACKED = "bucket int, chunk long, hashes binary, before binary, after binary, flags binary"
 _ANSWER = "chunk long, kind int, bucket int, bits binary"
@@ -203,7 +203,7 @@ def _path_starts(chunk: _Chunk, answers: dict) -> tuple[np.ndarray, np.ndarray]:
     return at, begins
 
 
-_PATHS = "chunk long, text_no int, path long, edges int, first_word int, words_hash binary"
+_PATHS = "chunk long, text_no int, path long, edges int, first_word int, words1 long, words2 long"
 
 
 def paths(chunks: DataFrame, n: int, width: int) -> DataFrame:
@@ -238,13 +238,15 @@ def paths(chunks: DataFrame, n: int, width: int) -> DataFrame:
             span = data[words.starts[a] : words.ends[b - 1]]
             digests.append(hashlib.blake2b(b" ".join(span.split()), digest_size=16).digest())
         row = chunk.row[at[start]]
+        digest = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
         return pa.table(
             [
                 pa.array([chunk.number] * len(start), pa.int64()), pa.array(row, pa.int32()),
                 pa.array(chunk.hashes[at[start]].view(np.int64)), pa.array(length, pa.int32()),
-                pa.array(first - words.bounds[row], pa.int32()), pa.array(digests, pa.binary()),
+                pa.array(first - words.bounds[row], pa.int32()),
+                pa.array(digest[:, 0]), pa.array(digest[:, 1]),
             ],
-            names=["chunk", "text_no", "path", "edges", "first_word", "words_hash"],
+            names=["chunk", "text_no", "path", "edges", "first_word", "words1", "words2"],
         )
 
     texts = chunks.select("chunk", "id", "text", "row")
@@ -264,17 +266,20 @@ _EMPTY = pa.table(
 
 
 def verified(occurrences: DataFrame) -> DataFrame:
-    """Occurrences of the paths whose words are the same at every source coordinate."""
-    source = F.min(F.struct("chunk", "text_no", "first_word")).alias("source")
+    """Occurrences of the paths whose words are the same at every source coordinate.
+
+    A path may have a third of all occurrences: they are counted before the shuffle, and
+    spread over ``SPREAD`` keys to be joined with the paths in doubt, of which there are
+    as many as there are collisions of 64-bit hashes.
+    """
+    sides = [f(c).alias(f"{n}_{c}") for c in ("words1", "words2") for n, f in (("low", F.min), ("high", F.max))]
     doubtful = (
-        occurrences.groupBy("path")
-        .agg(
-            source, F.count(F.lit(1)).alias("n"),
-            F.min("words_hash").alias("one"), F.max("words_hash").alias("two"),
-        )
-        .where("n < 2 OR one != two")
+        occurrences.groupBy("path").agg(F.count(F.lit(1)).alias("n"), *sides)
+        .where("n < 2 OR low_words1 != high_words1 OR low_words2 != high_words2")
+        .select("path", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part"))
     )
-    return occurrences.join(doubtful.select("path"), "path", "left_anti")
+    part = F.pmod(F.xxhash64("chunk", "text_no", "first_word"), F.lit(SPREAD)).cast("int")
+    return occurrences.withColumn("part", part).join(doubtful, ["path", "part"], "left_anti")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
