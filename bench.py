@@ -19,6 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from typerank.catalog import inputs  # noqa: E402
 from typerank.catalog.queries import QUERIES  # noqa: E402
 from typerank.operators.index import build_index  # noqa: E402
+from typerank.sources.stage import clear  # noqa: E402
 
 HEADLINE = [
     "type_documents",
@@ -35,7 +36,7 @@ HEADLINE = [
 
 def index_build(spark, sf):
     """Tokenize all documents and write the tables of their index."""
-    return build_index(inputs.corpus(spark, sf)).field_stats
+    return build_index(inputs.corpus(spark, sf), unique=True).field_stats
 
 
 def main() -> None:
@@ -64,6 +65,7 @@ def main() -> None:
             times.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(times[1:] or times), 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
+    clear(spark)
     spark.stop()
     print(
         json.dumps(

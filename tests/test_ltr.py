@@ -102,10 +102,10 @@ def test_question_files(spark, rows, tmp_path):
     records = [dict(zip(("id", "question", "category", "type"), q)) for q in QUESTIONS]
     records.append({**records[0], "question": "again"})
     path.write_text(json.dumps(records))
-    read = readers.read_questions(spark, str(path))
+    read = readers.read_questions(spark, str(path), array=True)
     assert dict(rows(read.select("id", "question")))["a"] == "again"
-    assert readers.read_labelled_questions(spark, str(path)).count() == 5
-    first, rest = readers.train_split(readers.read_questions(spark, str(path)), 2)
+    assert readers.read_labelled_questions(spark, str(path), array=True).count() == 5
+    first, rest = readers.train_split(read, 2)
     assert [r.id for r in first.orderBy("ord").collect()] == ["b", "c"]
     assert rest.count() == 0
 

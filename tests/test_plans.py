@@ -4,7 +4,7 @@ import contextlib
 
 from pyspark.sql import functions as F
 
-from typerank.operators import index, search, typedocs
+from typerank.operators import features, index, search, typedocs
 from typerank.sources.stage import staged
 
 
@@ -53,12 +53,18 @@ def test_top_k_is_cut_before_the_shuffle(spark, capsys):
     built = index.build_index(docs)
     asked = spark.createDataFrame([("q", "red fox")], "id string, question string")
     terms = search.analyze_queries(asked, built)
-    plan = plan_of(search.bm25_topk(terms, built, 5, "broadcast"), capsys)
+    plan = plan_of(search.bm25_topk(terms, built, 5), capsys)
     cut = plan.index("Partial", plan.index("WindowGroupLimit", plan.index("Exchange")))
-    pairs = plan.index("HashAggregate(keys=[id")
-    assert cut < pairs
-    between = plan[pairs : plan.index("BroadcastHashJoin")]
-    assert "Exchange" not in between
+    assert cut < plan.index("HashAggregate(keys=[id")
+
+
+def test_only_the_postings_of_asked_documents_are_shuffled(spark, capsys):
+    docs = spark.createDataFrame([("d1", "red fox"), ("d2", "fox")], "doc_id string, catch_all string")
+    built = index.build_index(docs)
+    terms = search.analyze_queries(spark.createDataFrame([("q", "fox")], "id string, question string"), built)
+    pairs = spark.createDataFrame([("q", "d1")], "id string, doc_id string")
+    plan = plan_of(features.query_doc_features(pairs, terms, built), capsys)
+    assert "LeftSemi" in plan
 
 
 def test_scans_read_only_what_they_need(spark, capsys):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from typerank.operators import typedocs
 from typerank.operators.hierarchy import type_paths
-from typerank.operators.index import Index, build_index
+from typerank.operators.index import Index, build_index, build_index_from_pieces
 from typerank.operators.questions import ordered_list
 from typerank.sources.stage import staged
 
@@ -130,31 +130,27 @@ def stored(spark: SparkSession, sf: str, name: str, build):
 
 def corpus_index(spark: SparkSession, sf: str) -> Index:
     """Index of the documents."""
-    return stored(spark, sf, "corpus", lambda: build_index(corpus(spark, sf)))
+    return stored(spark, sf, "corpus", lambda: build_index(corpus(spark, sf), unique=True))
 
 
 def stemmed_corpus_index(spark: SparkSession, sf: str) -> Index:
-    return stored(spark, sf, "stemmed", lambda: build_index(corpus(spark, sf), stem=True))
-
-
-def type_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return typedocs.indexable(typedocs.type_documents(type_pieces(spark, sf)))
+    return stored(spark, sf, "stemmed", lambda: build_index(corpus(spark, sf), stem=True, unique=True))
 
 
 def type_index(spark: SparkSession, sf: str) -> Index:
-    """Index of the type documents."""
-    return stored(spark, sf, "types", lambda: build_index(type_documents(spark, sf)))
+    """Index of the whole type documents."""
+    return stored(spark, sf, "types", lambda: build_index_from_pieces(type_pieces(spark, sf)))
 
 
 # Questions
 
 
 def questions(spark: SparkSession, sf: str) -> DataFrame:
-    """(id, question): benchmark items and what users said in conversations."""
+    """(id, question): benchmark items and what was said in conversations."""
     items = table(spark, sf, "benchmark").select(
         F.concat(F.lit("b"), "item_id").alias("id"), F.col("text").alias("question")
     )
-    said = texts(spark, sf, "conversations", "conv_id").where("role = 'user'").select(
+    said = texts(spark, sf, "conversations", "conv_id").select(
         F.concat_ws("-", F.concat(F.lit("c"), "conv_id"), "turn").alias("id"),
         F.col("text").alias("question"),
     )
@@ -164,14 +160,13 @@ def questions(spark: SparkSession, sf: str) -> DataFrame:
 def labelled_items(spark: SparkSession, sf: str) -> DataFrame:
     """Benchmark items as labelled questions (id, question, category, type, ord).
 
-    The good documents of ``labels`` are dealt out to the items in turn as gold
+    The documents of ``labels`` are dealt out to the items in turn as gold
     types; items with more than one toxic one count as literal questions.
     """
     items = table(spark, sf, "benchmark")
     n_items = items.agg(F.count(F.lit(1))).scalar()
     dealt = (
         table(spark, sf, "labels")
-        .where("quality = 1")
         .groupBy((F.col("doc_id") % n_items).alias("item_id"))
         .agg(ordered_list("doc_id", "doc_id").alias("docs"), F.sum("toxic").alias("toxic"))
     )
@@ -199,32 +194,37 @@ def category_of(lang: str) -> Column:
 
 
 def categorized_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Every document as a labelled question (id, question, category, type, ord,
-    annotated). Its type is its language and source."""
+    """Every document as a labelled question (id, question, category, type, ord). Its
+    type is its language and source."""
+    return as_questions(texts(spark, sf, "documents", "doc_id"))
+
+
+def as_questions(documents: DataFrame) -> DataFrame:
     category = category_of("lang")
     types = (
         F.when(category == "boolean", F.array(F.lit("boolean")))
         .when(category == "literal", F.array(F.lit("string")))
         .otherwise(F.array(F.concat_ws("/", "lang", "source")))
     )
-    annotated = table(spark, sf, "labels").select("doc_id", F.lit(True).alias("annotated"))
-    return (
-        texts(spark, sf, "documents", "doc_id")
-        .join(annotated, "doc_id", "left")
-        .select(
-            F.col("doc_id").cast("string").alias("id"),
-            F.col("text").alias("question"),
-            category.alias("category"),
-            types.alias("type"),
-            F.col("doc_id").alias("ord"),
-            F.coalesce("annotated", F.lit(False)).alias("annotated"),
-        )
+    return documents.select(
+        F.col("doc_id").cast("string").alias("id"),
+        F.col("text").alias("question"),
+        category.alias("category"),
+        types.alias("type"),
+        F.col("doc_id").alias("ord"),
     )
 
 
 def train_documents(spark: SparkSession, sf: str) -> DataFrame:
     """The training set: the documents that ``labels`` covers."""
-    return categorized_documents(spark, sf).where("annotated").drop("annotated")
+    labels = table(spark, sf, "labels").select("doc_id")
+    return as_questions(texts(spark, sf, "documents", "doc_id").join(labels, "doc_id", "left_semi"))
+
+
+def unseen_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents that the training set lacks."""
+    labels = table(spark, sf, "labels").select("doc_id")
+    return as_questions(texts(spark, sf, "documents", "doc_id").join(labels, "doc_id", "left_anti"))
 
 
 def document_types(spark: SparkSession, sf: str) -> DataFrame:
@@ -343,27 +343,28 @@ def order_answers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """System output for the orders above 20,000 in price: the ten types with the
-    largest open quantity; a wrong category where a medium order is partly open."""
+    """System output for the orders: their types by quantity; a wrong category where a
+    medium order is partly open, no category where one without a priority is, and no types
+    where an order has no lines."""
     quantity = (
         supplied_lines(spark, sf)
-        .where("l_linestatus = 'O'")
         .select("l_orderkey", "l_quantity", F.explode(F.array("s", "n", "r")).alias("type"))
         .groupBy("l_orderkey", "type")
         .agg(F.sum("l_quantity").alias("quantity"))
     )
     pairs = F.sort_array(F.collect_list(F.struct((-F.col("quantity")).alias("cost"), "type")))
     listed = quantity.groupBy("l_orderkey").agg(
-        F.transform(F.slice(pairs, 1, 10), lambda p: p["type"]).alias("types")
+        F.transform(pairs, lambda p: p["type"]).alias("types")
     )
     category = (
         F.when(F.col("o_orderpriority") == "1-URGENT", "boolean")
         .when(F.col("o_orderpriority") == "2-HIGH", "literal")
         .when((F.col("o_orderpriority") == "3-MEDIUM") & (F.col("o_orderstatus") == "P"), "literal")
+        .when((F.col("o_orderpriority") == "4-NOT SPECIFIED") & (F.col("o_orderstatus") == "P"), None)
         .otherwise("resource")
     )
     label = F.when(F.col("o_orderstatus") == "O", "number").otherwise("date")
-    orders = table(spark, sf, "orders").where("o_totalprice >= 20000")
+    orders = table(spark, sf, "orders")
     return orders.join(listed, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         F.col("o_orderkey").cast("string").alias("id"),
         category.alias("category"),

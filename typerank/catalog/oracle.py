@@ -4,7 +4,6 @@ from typerank.functions.text import LONG_WORD, POSSESSIVE, SPACES, TAG, WORD
 from typerank.schemas import (
     BM25_B,
     BM25_K1,
-    DOCUMENT_CHARS,
     FEATURES,
     PUNCTUATION,
     PUNCTUATION_WITHOUT_PERIOD,
@@ -48,12 +47,12 @@ def vectorizer_tokens(text: str) -> str:
 
 
 def word_tokens(text: str) -> str:
-    return f"regexp_extract_all(lower({text}), {literal(WORD)})"
+    without = rf"regexp_replace({text}, {literal(POSSESSIVE)}, '\1', 'g')"
+    return f"regexp_extract_all(lower({without}), {literal(WORD)})"
 
 
 def index_tokens(text: str) -> str:
-    without = rf"regexp_replace({text}, {literal(POSSESSIVE)}, '\1', 'g')"
-    return f"list_filter({word_tokens(without)}, lambda w: w NOT IN {words(STOP_WORDS)})"
+    return f"list_filter({word_tokens(text)}, lambda w: w NOT IN {words(STOP_WORDS)})"
 
 
 def local_name(token: str) -> str:
@@ -118,19 +117,20 @@ TYPE_PIECES = """type_pieces AS (
   SELECT lang || '/' || source, doc_id, text FROM documents)"""
 
 
-def type_documents(pieces: str) -> str:
+def type_documents(pieces: str, max_chars: int | None = None) -> str:
+    text = "' ' || string_agg(piece, ' ' ORDER BY ord)"
+    if max_chars:
+        text = f"substring({text}, 1, {max_chars})"
     return f"""type_docs AS (
   SELECT type AS doc_id, type, catch_all
-  FROM (SELECT type, substring(' ' || string_agg(piece, ' ' ORDER BY ord), 1,
-               {DOCUMENT_CHARS}) AS catch_all
-        FROM {pieces} GROUP BY type)
+  FROM (SELECT type, {text} AS catch_all FROM {pieces} GROUP BY type)
   WHERE type <> '' AND catch_all <> '')"""
 
 
 QUESTIONS = """questions AS (
   SELECT 'b' || item_id AS id, text AS question FROM benchmark
   UNION ALL
-  SELECT 'c' || conv_id || '-' || turn, text FROM conversations WHERE role = 'user')"""
+  SELECT 'c' || conv_id || '-' || turn, text FROM conversations)"""
 
 CORPUS = "corpus AS (SELECT doc_id::VARCHAR AS doc_id, text AS catch_all FROM documents)"
 
@@ -196,7 +196,7 @@ ITEMS = """items AS (
   FROM benchmark LEFT JOIN (
     SELECT doc_id % (SELECT count(*) FROM benchmark) AS item_id,
            list(doc_id::VARCHAR ORDER BY doc_id) AS docs, sum(toxic) AS toxic
-    FROM labels WHERE quality = 1 GROUP BY 1) USING (item_id))"""
+    FROM labels GROUP BY 1) USING (item_id))"""
 
 BLANK = """CASE WHEN len(type) = 1 AND type[1] IN ('boolean', 'string', 'number', 'date')
        THEN [] ELSE type END"""
@@ -317,7 +317,7 @@ NAIVE_BAYES = (
     """predicted AS (
   SELECT id, category, score
   FROM (SELECT id, category, round(raw, 3) AS score,
-               row_number() OVER (PARTITION BY id ORDER BY round(raw, 3) DESC, category) AS place
+               row_number() OVER (PARTITION BY id ORDER BY round(raw, 6) DESC, category) AS place
         FROM nb_scores)
   WHERE place = 1)""",
 )
@@ -380,10 +380,10 @@ PREDICTIONS = (
     """quantities AS (
   SELECT l_orderkey, type, sum(l_quantity) AS quantity
   FROM (SELECT l_orderkey, l_quantity, unnest([s, n, r]) AS type
-        FROM lines WHERE l_linestatus = 'O')
+        FROM lines)
   GROUP BY l_orderkey, type)""",
     """guesses AS (
-  SELECT l_orderkey, list(type ORDER BY quantity DESC, type)[1:10] AS types
+  SELECT l_orderkey, list(type ORDER BY quantity DESC, type) AS types
   FROM quantities GROUP BY l_orderkey)""",
     """system AS (
   SELECT id, category,
@@ -394,8 +394,9 @@ PREDICTIONS = (
                CASE WHEN o_orderpriority = '1-URGENT' THEN 'boolean'
                     WHEN o_orderpriority = '2-HIGH' THEN 'literal'
                     WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P' THEN 'literal'
+                    WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' THEN NULL
                     ELSE 'resource' END AS category
-        FROM orders WHERE o_totalprice >= 20000)
+        FROM orders)
        LEFT JOIN guesses ON l_orderkey = o_orderkey)""",
 )
 
@@ -435,8 +436,7 @@ GAINS = (
         FROM (SELECT g.id, d.type2, 1 - min(d.distance) / any_value(m.h) AS gain
               FROM specific g JOIN distances d ON d.type1 = g.type,
                    (SELECT CAST(max(depth) AS DOUBLE) AS h FROM hierarchy) m
-              GROUP BY g.id, d.type2))
-  WHERE pos < 10)""",
+              GROUP BY g.id, d.type2)))""",
 )
 
 
@@ -521,10 +521,23 @@ SQL: dict[str, str] = {
 FROM parsed_parts""",
     ),
     "type_documents": with_(
-        TYPE_PIECES, type_documents("type_pieces"), select="SELECT * FROM type_docs"
+        TYPE_PIECES, type_documents("type_pieces", 20_000), select="SELECT * FROM type_docs"
+    ),
+    "type_postings": with_(
+        TYPE_PIECES,
+        type_documents("type_pieces"),
+        *postings("type_docs"),
+        select="SELECT * FROM postings",
     ),
-    "index_documents": f"""SELECT lang || '/' || source AS doc_id,
-       substring(arg_max(text, doc_id), 1, {DOCUMENT_CHARS}) AS catch_all
+    "index_reloaded": with_(
+        """loads AS (
+  SELECT lang || '/' || source AS doc_id, arg_max(text, doc_id) AS catch_all
+  FROM documents GROUP BY lang, source)""",
+        *postings("loads"),
+        select="SELECT p.*, round(avgdl, 6) AS avgdl FROM postings p, field_stats",
+    ),
+    "index_documents": """SELECT lang || '/' || source AS doc_id,
+       arg_max(text, doc_id) AS catch_all
 FROM documents GROUP BY lang, source""",
     "html_preprocess": f"SELECT page_id, {preprocess('html')} AS text FROM pages",
     "clean_query": with_(
@@ -532,8 +545,8 @@ FROM documents GROUP BY lang, source""",
     ),
     "nonempty_questions": """SELECT conv_id AS id, arg_max(text, turn) AS question
 FROM conversations WHERE coalesce(text, '') <> '' GROUP BY conv_id""",
-    "train_questions": f"""SELECT conv_id || '-' || turn AS id, text AS question
-FROM conversations ORDER BY conv_id, turn LIMIT {TRAIN_QUESTIONS}""",
+    "train_questions": """SELECT conv_id || '-' || turn AS id, text AS question
+FROM conversations ORDER BY conv_id, turn LIMIT 100""",
     "literal_types_blanked": with_(
         *ANSWERS,
         select=f"""SELECT id, array_to_string({BLANK}, ' ') AS types,
@@ -556,6 +569,7 @@ FROM postings GROUP BY doc_id""",
         *SEARCH, select="SELECT id, CAST(pos AS INTEGER) AS pos, term FROM query_terms"
     ),
     "bm25_top10": with_(*SEARCH, hits(10), select="SELECT * FROM hits"),
+    "bm25_top10_pruned": with_(*SEARCH, hits(10), select="SELECT * FROM hits"),
     "bm25_top5": with_(*SEARCH, hits(5), select="SELECT * FROM hits"),
     "ltr_first_pass_rankings": with_(*SEARCH, hits(5), select="SELECT * FROM hits"),
     "bm25_two_fields": with_(
@@ -612,7 +626,7 @@ FROM corpus LEFT JOIN tokens USING (doc_id)""",
     "ltr_training_set_doc": training("(id, doc_id) IN (SELECT (id, doc_id) FROM resource)"),
     "term_counts": with_(*COUNTS, select="SELECT * FROM counts"),
     "count_features": with_(
-        *COUNTS, select="SELECT * FROM counts WHERE term IN (SELECT term FROM vocabulary)"
+        *COUNTS, select="SELECT c.id, c.term, c.n FROM counts c JOIN vocabulary v ON v.term = c.term"
     ),
     "tfidf_l2": with_(
         *COUNTS,
@@ -631,7 +645,7 @@ FROM raw""",
         *NAIVE_BAYES,
         select="""SELECT count(*) AS n,
        round(avg(CASE WHEN e.category = p.category THEN 1.0 ELSE 0.0 END), 6) AS accuracy
-FROM every e LEFT JOIN predicted p ON p.id = e.id""",
+FROM every e LEFT JOIN predicted p ON p.id = e.id WHERE NOT e.annotated""",
     ),
     "hierarchy_closure": recursive(with_(HIERARCHY, CLOSURE, select="SELECT * FROM closure")),
     "type_path": recursive(
@@ -708,7 +722,7 @@ FROM ruled WHERE predicted_category IS NULL OR rule = 5""",
     ),
     "end_to_end_index": with_(
         ABSTRACT_LINES,
-        entity_abstracts("abstract_lines", 10),
+        entity_abstracts("abstract_lines", None),
         """pieces AS (
   SELECT type, ord, abstract AS piece
   FROM (SELECT 'dbo:' || lang AS type, doc_id * 2 AS ord, doc_id FROM documents

@@ -19,7 +19,7 @@ from typerank.operators import (
     typedocs,
 )
 from typerank.plans import runs
-from typerank.schemas import DOCUMENT_CHARS, FEATURES
+from typerank.schemas import ABSTRACT_WORDS, DOCUMENT_CHARS, FEATURES
 from typerank.sources import readers
 from typerank.sources.stage import staged
 
@@ -49,7 +49,8 @@ def triples_entity_types(spark, sf):
 
 @query
 def triples_entity_abstracts(spark, sf):
-    parsed = typedocs.parse_abstracts(inputs.abstract_lines(spark, sf))
+    """The first ten words of each abstract: the limit is the feature."""
+    parsed = typedocs.parse_abstracts(inputs.abstract_lines(spark, sf), ABSTRACT_WORDS)
     return typedocs.entity_abstracts(parsed)
 
 
@@ -67,18 +68,38 @@ def type_entity_lists(spark, sf):
 
 @query
 def type_documents(spark, sf):
-    return inputs.type_documents(spark, sf)
+    """The first 20,000 characters of each type document: the cap is the feature."""
+    pieces = inputs.type_pieces(spark, sf)
+    return typedocs.indexable(typedocs.type_documents(pieces, DOCUMENT_CHARS))
+
+
+@query
+def type_postings(spark, sf):
+    """Postings of the whole type documents, added up over their pieces."""
+    return inputs.type_index(spark, sf).postings
 
 
 @query
 def index_documents(spark, sf):
     """Repeated loads of one id: the last document of each source and language stays."""
-    loads = inputs.table(spark, sf, "documents").select(
+    loads = _loads(spark, sf)
+    return typedocs.indexable(questions.last_per_key(loads, "doc_id", "ord")).drop("ord")
+
+
+def _loads(spark, sf):
+    return inputs.table(spark, sf, "documents").select(
         F.concat_ws("/", "lang", "source").alias("doc_id"),
-        F.substring("text", 1, DOCUMENT_CHARS).alias("catch_all"),
+        F.col("text").alias("catch_all"),
         F.col("doc_id").alias("ord"),
     )
-    return typedocs.indexable(questions.last_per_key(loads, "doc_id", "ord")).drop("ord")
+
+
+@query
+def index_reloaded(spark, sf):
+    """Postings after repeated loads of each id: the last one replaces the others."""
+    built = index.build_index(_loads(spark, sf), order="ord")
+    average = F.round(built.field_stats.select("avgdl").scalar(), 6)
+    return built.postings.select("doc_id", "term", "tf", "dl", average.alias("avgdl"))
 
 
 # Text
@@ -110,13 +131,13 @@ def nonempty_questions(spark, sf):
 
 @query
 def train_questions(spark, sf):
-    """The first 1000 questions in order."""
+    """The first hundred questions in order."""
     turns = inputs.table(spark, sf, "conversations").select(
         F.concat_ws("-", "conv_id", "turn").alias("id"),
         F.col("text").alias("question"),
         F.struct("conv_id", "turn").alias("ord"),
     )
-    first, _ = readers.train_split(turns)
+    first, _ = readers.train_split(turns, n=100)
     return first.select("id", "question")
 
 
@@ -185,6 +206,12 @@ def bm25_top10(spark, sf):
     return search.bm25_topk(query_terms(spark, sf), inputs.corpus_index(spark, sf), 10)
 
 
+@query
+def bm25_top10_pruned(spark, sf):
+    """The same result by scoring only what can be among the best."""
+    return search.bm25_topk(query_terms(spark, sf), inputs.corpus_index(spark, sf), 10, plan="pruned")
+
+
 @query
 def bm25_top5(spark, sf):
     return search.first_pass(query_terms(spark, sf), inputs.corpus_index(spark, sf), 5)
@@ -193,8 +220,8 @@ def bm25_top5(spark, sf):
 @query
 def bm25_two_fields(spark, sf):
     """Type documents by name and text: the better field counts."""
-    documents = inputs.type_documents(spark, sf)
-    names = index.build_index(documents, text="type")
+    named = typedocs.named_types(inputs.type_pieces(spark, sf))
+    names = index.build_index(named, text="type", unique=True)
     indexes = {"type": names, "catch_all": inputs.type_index(spark, sf)}
     asked = inputs.questions(spark, sf)
     terms = {field: search.analyze_queries(asked, i) for field, i in indexes.items()}
@@ -334,20 +361,19 @@ def nb_model(spark, sf):
     return rounded(classify.nb_log_likelihoods(model), "log_likelihood")
 
 
-def _nb_predicted(spark, sf):
-    model = classify.nb_fit(inputs.train_documents(spark, sf))
-    return classify.nb_predict(model, inputs.categorized_documents(spark, sf), digits=3)
-
-
 @query
 def nb_predict(spark, sf):
-    return _nb_predicted(spark, sf)
+    model = classify.nb_fit(inputs.train_documents(spark, sf))
+    found = classify.nb_predict(model, inputs.categorized_documents(spark, sf))
+    return rounded(found, "score", digits=3)
 
 
 @query
 def nb_accuracy(spark, sf):
-    gold = inputs.categorized_documents(spark, sf)
-    return rounded(classify.accuracy(gold, _nb_predicted(spark, sf)), "accuracy")
+    """On the documents that the training set lacks."""
+    model = classify.nb_fit(inputs.train_documents(spark, sf))
+    gold = inputs.unseen_documents(spark, sf)
+    return rounded(classify.accuracy(gold, classify.nb_predict(model, gold)), "accuracy")
 
 
 @query
@@ -432,7 +458,8 @@ def ideal_gains(spark, sf):
 @query
 def dcg_ndcg(spark, sf):
     gold, gains = _gains(spark, sf)
-    ideal = evaluation.ideal_gains(gold, inputs.paths(spark, sf), _depth(spark, sf))
+    depth = max(evaluation.CUTOFFS)
+    ideal = evaluation.ideal_gains(gold, inputs.paths(spark, sf), _depth(spark, sf), depth)
     values = evaluation.ndcg(gains, ideal)
     return rounded(values, *[c for c in values.columns if c != "id"])
 

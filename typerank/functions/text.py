@@ -57,10 +57,11 @@ def vectorizer_tokens(text: Column) -> Column:
 
 
 def word_tokens(text: Column) -> Column:
-    """Lower-cased words in position order (query analysis)."""
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    """Lower-cased words in position order, possessives removed (query analysis)."""
+    plain = F.regexp_replace(text, POSSESSIVE, "$1")
+    return F.regexp_extract_all(F.lower(plain), F.lit(WORD), F.lit(0))
 
 
 def index_tokens(text: Column) -> Column:
     """Document analysis before stemming: possessives and stop words removed."""
-    return without(word_tokens(F.regexp_replace(text, POSSESSIVE, "$1")), STOP_WORDS)
+    return without(word_tokens(text), STOP_WORDS)

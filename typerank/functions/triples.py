@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from typerank.schemas import ABSTRACT_WORDS, PUNCTUATION
+from typerank.schemas import PUNCTUATION
 
 
 def is_comment(line: Column) -> Column:
@@ -28,8 +28,8 @@ def literal_text(tokens: Column) -> Column:
     )
 
 
-def abstract_text(tokens: Column, n_words: int | None = ABSTRACT_WORDS) -> Column:
-    """First words of an object literal, without quotes, language tag and punctuation."""
+def abstract_text(tokens: Column, n_words: int | None = None) -> Column:
+    """An object literal, or its first words, without quotes, language tag and punctuation."""
     text = F.replace(
         F.replace(literal_text(tokens), F.lit('"'), F.lit("")), F.lit("@en"), F.lit("")
     )

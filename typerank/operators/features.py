@@ -57,10 +57,13 @@ def query_doc_features(
     terms = term_counts_per_query(query_terms, raw_lookup)
     matched = F.when(F.col("tf").isNotNull(), F.col("n")).otherwise(0)
     total = F.coalesce(F.sum(F.col("n") * F.col("tf")), F.lit(0)).cast("double")
+    # Only the postings of the documents asked for are shuffled.
+    asked = pairs.select("doc_id").distinct()
+    postings = index.postings.select("doc_id", "term", "tf").join(asked, "doc_id", "left_semi")
     return (
         pairs.select("id", "doc_id")
         .join(terms, "id")
-        .join(index.postings.select("doc_id", "term", "tf"), ["doc_id", "term"], "left")
+        .join(postings, ["doc_id", "term"], "left")
         .groupBy("id", "doc_id")
         .agg(
             F.sum(matched).cast("double").alias("unique_query_terms_in_catch_all"),

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from typerank.functions.text import index_tokens
+from typerank.operators.questions import last_per_key
 from typerank.operators.stems import stem_table
-from typerank.sources.stage import new_folder
+from typerank.sources.stage import new_folder, staged
 
 
 @dataclass(frozen=True)
@@ -82,15 +83,55 @@ def field_statistics(doc_stats: DataFrame) -> DataFrame:
     return doc_stats.agg(F.count(F.lit(1)).alias("doc_count"), F.avg("dl").alias("avgdl"))
 
 
+def piece_postings(pieces: DataFrame) -> DataFrame:
+    """(type, piece) -> (doc_id, term, tf) of the type documents.
+
+    Words never cross pieces, so the postings of a document are the sums over its
+    pieces, and no document text is built, however many entities a type has.
+    """
+    return (
+        pieces.select(F.col("type").alias("doc_id"), F.explode(index_tokens(F.col("piece"))).alias("term"))
+        .groupBy("doc_id", "term")
+        .agg(F.count(F.lit(1)).alias("tf"))
+    )
+
+
 def build_index(
-    documents: DataFrame, path: str | None = None, text: str = "catch_all", stem: bool = False
+    documents: DataFrame,
+    path: str | None = None,
+    text: str = "catch_all",
+    stem: bool = False,
+    unique: bool = False,
+    order: str | None = None,
 ) -> Index:
     """Index ``documents`` (doc_id, text) and write its tables to ``path``.
 
+    A later load of an id replaces the earlier one: the row that is last by the column
+    ``order``, else in reading order, is indexed. ``unique`` says that no id repeats,
+    which spares the shuffle of the texts.
+    """
+    if not unique:
+        at = F.col(order) if order else F.monotonically_increasing_id()
+        loads = documents.select("doc_id", text, at.alias("load"))
+        documents = last_per_key(loads, "doc_id", "load")
+    return _stored_index(document_postings(documents, text), path, stem)
+
+
+def build_index_from_pieces(pieces: DataFrame, path: str | None = None, stem: bool = False) -> Index:
+    """Index of the type documents that ``pieces`` (type, piece) make up."""
+    counts = staged(piece_postings(pieces.where("type <> ''")), "piece-postings")
+    lengths = staged(counts.groupBy("doc_id").agg(F.sum("tf").alias("dl")), "lengths")
+    postings = counts.join(lengths, "doc_id").select("doc_id", "term", "tf", "dl")
+    return _stored_index(postings, path, stem)
+
+
+def _stored_index(surface: DataFrame, path: str | None, stem: bool) -> Index:
+    """Tables of an index from its unstemmed postings.
+
     Each table is written once and the next is derived from the stored one, so the
     texts are tokenized only once and every later join sees the true sizes.
     """
-    spark = documents.sparkSession
+    spark = surface.sparkSession
     path = path or new_folder(spark, "index")
 
     def stored(table: DataFrame, name: str) -> DataFrame:
@@ -99,11 +140,11 @@ def build_index(
 
     stems = None
     if stem:
-        surface = stored(document_postings(documents, text), "surface")
+        surface = stored(surface, "surface")
         stems = stored(stem_table(surface), "stems")
         postings = stored(stemmed_postings(surface, stems), "postings")
     else:
-        postings = stored(document_postings(documents, text), "postings")
+        postings = stored(surface, "postings")
     term_stats = stored(term_statistics(postings), "term_stats")
     doc_stats = stored(postings.select("doc_id", "dl").distinct(), "doc_stats")
     field_stats = stored(field_statistics(doc_stats), "field_stats")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from typerank.functions.scoring import bm25_idf, bm25_impact
 from typerank.functions.text import word_tokens
 from typerank.operators.index import Index
-from typerank.operators.stems import porter_stems
+from typerank.operators.stems import stem_table
 from typerank.schemas import BASELINE_DEPTH, FIRST_PASS_DEPTH
 from typerank.sources.stage import staged
 
@@ -24,10 +24,6 @@ SPLIT_ABOVE = 10_000
 SHARDS = 64
 # Documents per query and k that are scored to find the floor of the pruned plan.
 SEEDS = 10
-# Limits of the plans that score all pairs: about 200 MB of broadcast query terms, and
-# some minutes of work for every core.
-BROADCAST_ROWS = 2_000_000
-PAIRS_PER_CORE = 100_000_000
 
 
 def query_tokens(questions: DataFrame) -> DataFrame:
@@ -43,11 +39,16 @@ def analyze_queries(questions: DataFrame, index: Index) -> DataFrame:
     ``term`` is the token as the index stores it: the stem, in a stemmed index.
     """
     tokens = query_tokens(questions)
-    term = F.col("token") if index.stems is None else porter_stems("token")
+    if index.stems is None:
+        tokens = tokens.withColumn("term", F.col("token"))
+    else:
+        # Each distinct token is stemmed once.
+        stems = stem_table(tokens.select(F.col("token").alias("term")))
+        stems = staged(stems.select(F.col("term").alias("token"), F.col("stem").alias("term")), "stems")
+        tokens = tokens.join(stems, "token")
     known = index.term_stats.select("term")
     return (
-        tokens.withColumn("term", term)
-        .join(known, "term", "left_semi")
+        tokens.join(known, "term", "left_semi")
         .select("id", "pos", "token", "term")
     )
 
@@ -109,28 +110,9 @@ def _join_sharded(query: DataFrame, postings: DataFrame, index: Index) -> DataFr
     )
 
 
-def broadcast_scores(weighted: DataFrame, index: Index) -> DataFrame:
-    """(id, doc_id, score) of every document with any query term.
-
-    The postings of the asked terms are partitioned by document and the query terms,
-    whose number the caller has checked, are broadcast. All contributions to a score
-    then meet in one partition, so the pairs are added up where they arise and are
-    never shuffled; no term or query is hot there.
-    """
-    asked = weighted.select("term").distinct()
-    shards = max(SHARDS, int(weighted.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return (
-        impacts(index)
-        .join(F.broadcast(asked), "term", "left_semi")
-        .repartition(shards, "doc_id")
-        .join(F.broadcast(weighted.select("id", "term", "weight")), "term")
-        .groupBy("id", "doc_id")
-        .agg(F.sum(contribution()).alias("score"))
-    )
-
-
 def direct_scores(weighted: DataFrame, index: Index) -> DataFrame:
-    """The same for query terms of any number: both sides are shuffled by term."""
+    """(id, doc_id, score) of every document with any query term; both sides are
+    shuffled by term."""
     pairs = _join_sharded(weighted, impacts(index), index)
     return pairs.groupBy("id", "doc_id").agg(F.sum(contribution()).alias("score"))
 
@@ -225,47 +207,36 @@ def pruned_scores(weighted: DataFrame, index: Index, k: int) -> DataFrame:
     )
 
 
-def scores(query_terms: DataFrame, index: Index, k: int, plan: str = "auto") -> DataFrame:
+def scores(query_terms: DataFrame, index: Index, k: int, plan: str = "direct") -> DataFrame:
     """(id, doc_id, score) with at least the ``k`` best documents of each query.
 
-    'broadcast' and 'direct' score all documents with a query term, 'pruned' only
-    those that can be among the best; all are exact. 'auto' measures the query: pruned
-    where the pairs of query terms and postings would keep the cores busy for long,
-    else broadcast while the query terms fit. The weighted terms are stored first: a
-    term may occur in a third of all queries, and a stored join side lets the adaptive
+    'direct' scores all documents with a query term, 'pruned' only those that can be
+    among the best; both are exact, at every size. The weighted terms are stored first:
+    a term may occur in a third of all queries, and a stored join side lets the adaptive
     planner split it.
     """
     weighted = staged(weighted_query(query_terms, index), "weighted")
-    if plan == "auto":
-        size = weighted.agg(F.count(F.lit(1)).alias("rows"), F.sum("df").alias("pairs")).first()
-        cores = weighted.sparkSession.sparkContext.defaultParallelism
-        if (size.pairs or 0) > PAIRS_PER_CORE * cores:
-            plan = "pruned"
-        else:
-            plan = "broadcast" if size.rows <= BROADCAST_ROWS else "direct"
-    if plan == "broadcast":
-        return broadcast_scores(weighted, index)
     if plan == "direct":
         return direct_scores(weighted, index)
     return pruned_scores(weighted, index, k)
 
 
 def bm25_topk(
-    query_terms: DataFrame, index: Index, k: int = BASELINE_DEPTH, plan: str = "auto"
+    query_terms: DataFrame, index: Index, k: int = BASELINE_DEPTH, plan: str = "direct"
 ) -> DataFrame:
     """(id, rank, doc_id, score): the ``k`` best documents of each query."""
     return top_k(scores(query_terms, index, k, plan), k)
 
 
 def retrieve(
-    questions: DataFrame, index: Index, k: int = BASELINE_DEPTH, plan: str = "auto"
+    questions: DataFrame, index: Index, k: int = BASELINE_DEPTH, plan: str = "direct"
 ) -> DataFrame:
     """Baseline retrieval: any-term match on the text field, ``k`` best documents."""
     return bm25_topk(analyze_queries(questions, index), index, k, plan)
 
 
 def first_pass(
-    query_terms: DataFrame, index: Index, k: int = FIRST_PASS_DEPTH, plan: str = "auto"
+    query_terms: DataFrame, index: Index, k: int = FIRST_PASS_DEPTH, plan: str = "direct"
 ) -> DataFrame:
     """Candidate retrieval of the learning-to-rank method."""
     return bm25_topk(query_terms, index, k, plan)

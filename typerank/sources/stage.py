@@ -4,23 +4,29 @@ A staged table cuts the lineage, survives the loss of executors, and has a known
 size, so the adaptive planner can choose a broadcast or split a skewed join side.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: dict[str, list[str]] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only where unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="typerank-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """Folder named by ``spark.checkpoint.dir``, else the warehouse of the session.
+
+    Both are shared by all executors; a folder of one machine is never used.
+    """
+    for setting in ("spark.checkpoint.dir", "spark.sql.warehouse.dir"):
+        folder = spark.conf.get(setting, None)
+        if folder:
+            return folder
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/typerank-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/typerank-{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def staged(df: DataFrame, name: str = "table") -> DataFrame:
@@ -29,3 +35,16 @@ def staged(df: DataFrame, name: str = "table") -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete the tables that this application has staged; their number.
+
+    Call it when a run's results are written: what still reads a staged table fails.
+    """
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in paths:
+        place = hadoop.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
