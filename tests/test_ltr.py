@@ -142,3 +142,15 @@ def test_runs(spark, train, built):
     assert baseline == {"t": ["city", "river", "lake"], "u": []}
     output = {r.id: r.type for r in runs.ltr_output(train, test, predicted, built).output.collect()}
     assert sorted(output["t"]) == ["city", "lake", "river"] and output["u"] == []
+
+
+def test_first_pass_over_further_fields(spark):
+    docs = spark.createDataFrame(
+        [("fox", "fox", "red hound"), ("dog", "dog", "blue fox")], "doc_id string, type string, catch_all string"
+    )
+    text = index.build_index(docs.select("doc_id", "catch_all"), unique=True)
+    names = index.build_index(docs.select("doc_id", "type"), text="type", unique=True)
+    asked = spark.createDataFrame([("q", "fox")], "id string, question string")
+    assert [r.doc_id for r in ltr.rankings(None, asked, text).collect()] == ["dog"]
+    both = ltr.rankings(None, asked, text, fields={"type": names})
+    assert {r.doc_id for r in both.collect()} == {"dog", "fox"}

@@ -142,6 +142,16 @@ def type_index(spark: SparkSession, sf: str) -> Index:
     return stored(spark, sf, "types", lambda: build_index_from_pieces(type_pieces(spark, sf)))
 
 
+def type_name_index(spark: SparkSession, sf: str) -> Index:
+    """Index of the names of the types that have a text."""
+
+    def build():
+        names = typedocs.named_types(type_pieces(spark, sf))
+        return build_index(names, text="type", unique=True)
+
+    return stored(spark, sf, "type-names", build)
+
+
 # Questions
 
 

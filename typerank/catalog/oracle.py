@@ -502,6 +502,23 @@ def recursive(sql: str) -> str:
     return sql.replace("WITH ", "WITH RECURSIVE ", 1)
 
 
+TWO_FIELDS = with_(
+    QUESTIONS,
+    TYPE_PIECES,
+    type_documents("type_pieces"),
+    *postings("type_docs", "text_"),
+    *query_terms("questions", "text_"),
+    bm25("text_"),
+    *postings("type_docs", "name_", "type"),
+    *query_terms("questions", "name_"),
+    bm25("name_"),
+    """both_fields AS (
+  SELECT id, doc_id, max(raw) AS raw
+  FROM (SELECT * FROM text_bm25 UNION ALL SELECT * FROM name_bm25) GROUP BY id, doc_id)""",
+    hits(5, "both_fields"),
+    select="SELECT * FROM hits",
+)
+
 SQL: dict[str, str] = {
     "triples_entity_types": with_(PART_LINES, PARSED_PARTS, select="SELECT * FROM parsed_parts"),
     "triples_entity_abstracts": with_(
@@ -572,21 +589,16 @@ FROM postings GROUP BY doc_id""",
     "bm25_top10_pruned": with_(*SEARCH, hits(10), select="SELECT * FROM hits"),
     "bm25_top5": with_(*SEARCH, hits(5), select="SELECT * FROM hits"),
     "ltr_first_pass_rankings": with_(*SEARCH, hits(5), select="SELECT * FROM hits"),
-    "bm25_two_fields": with_(
-        QUESTIONS,
-        TYPE_PIECES,
-        type_documents("type_pieces"),
-        *postings("type_docs", "text_"),
-        *query_terms("questions", "text_"),
-        bm25("text_"),
-        *postings("type_docs", "name_", "type"),
-        *query_terms("questions", "name_"),
-        bm25("name_"),
-        """both_fields AS (
-  SELECT id, doc_id, max(raw) AS raw
-  FROM (SELECT * FROM text_bm25 UNION ALL SELECT * FROM name_bm25) GROUP BY id, doc_id)""",
-        hits(5, "both_fields"),
-        select="SELECT * FROM hits",
+    "bm25_two_fields": TWO_FIELDS,
+    "ltr_first_pass_two_fields": TWO_FIELDS,
+    "ltr_rerank_members": with_(
+        *SEARCH,
+        hits(5),
+        select="""SELECT id, string_agg(doc_id, ' ' ORDER BY doc_id) AS docs,
+       string_agg(rank::VARCHAR, ' ' ORDER BY rank) AS ranks FROM hits GROUP BY id""",
+    ),
+    "svm_above_majority": with_(
+        EVERY, select="SELECT count(*) AS n, true AS above FROM every WHERE NOT annotated"
     ),
     "ranking_lists": with_(
         *SEARCH,

@@ -220,9 +220,7 @@ def bm25_top5(spark, sf):
 @query
 def bm25_two_fields(spark, sf):
     """Type documents by name and text: the better field counts."""
-    named = typedocs.named_types(inputs.type_pieces(spark, sf))
-    names = index.build_index(named, text="type", unique=True)
-    indexes = {"type": names, "catch_all": inputs.type_index(spark, sf)}
+    indexes = {"type": inputs.type_name_index(spark, sf), "catch_all": inputs.type_index(spark, sf)}
     asked = inputs.questions(spark, sf)
     terms = {field: search.analyze_queries(asked, i) for field, i in indexes.items()}
     return search.multi_field_topk(terms, indexes, 5)
@@ -324,6 +322,24 @@ def ltr_first_pass_rankings(spark, sf):
     return ltr.rankings(None, asked, built)
 
 
+@query
+def ltr_first_pass_two_fields(spark, sf):
+    """The first pass of the ranking run over both fields of the type documents."""
+    names = {"type": inputs.type_name_index(spark, sf)}
+    return ltr.rankings(None, inputs.questions(spark, sf), inputs.type_index(spark, sf), fields=names)
+
+
+@query
+def ltr_rerank_members(spark, sf):
+    """What the re-ranking cannot change: each question's documents, and gapless ranks."""
+    ranked = _reranked(spark, sf, ltr.fit_ranker).groupBy("id")
+    members = ranked.agg(
+        F.array_join(F.sort_array(F.collect_list("doc_id")), " ").alias("docs"),
+        F.array_join(F.sort_array(F.collect_list("rank")).cast("array<string>"), " ").alias("ranks"),
+    )
+    return members
+
+
 @query
 def ltr_rerank(spark, sf):
     return _reranked(spark, sf, ltr.fit_ranker)
@@ -376,6 +392,16 @@ def nb_accuracy(spark, sf):
     return rounded(classify.accuracy(gold, classify.nb_predict(model, gold)), "accuracy")
 
 
+@query
+def svm_above_majority(spark, sf):
+    """Whether the SVM is right more often than the largest category, on unseen rows."""
+    test = inputs.unseen_documents(spark, sf)
+    predicted = classify.svm_predict(classify.train_svm(inputs.train_documents(spark, sf)), test)
+    largest = test.groupBy("category").count().agg(F.max("count")).scalar()
+    found = classify.accuracy(test, predicted)
+    return found.select("n", (F.col("accuracy") > largest / F.col("n")).alias("above"))
+
+
 @query
 def svm_predict(spark, sf):
     model = classify.train_svm(inputs.train_documents(spark, sf))
