@@ -1,9 +1,9 @@
 """Byte-level BPE in recursive DuckDB queries, one database inside each task.
 
 Texts are cut into words by the pattern of the vocabulary. A task keeps the tokens of
-words it has met; new words become (word, position, token) rows, single bytes at first. A
-recursive query joins neighbouring tokens with the merge table and contracts, in each
-step, the leftmost pair of minimum rank of every word, until no word has a pair left.
+words it has met; new words begin as (word, position, token) rows of single bytes. Each
+step of a recursive query joins the rows of neighbouring tokens with the merge table and
+contracts the leftmost pair of minimum rank of every word, until no word has a pair left.
 Decoding joins the tokens with the vocabulary and aggregates their bytes in order.
 """
 
@@ -21,25 +21,26 @@ from typerank.llm.common import slices
 KEPT_WORDS, QUERY_WORDS = 300_000, 50_000
 
 _CONTRACT = """
-WITH RECURSIVE state(word, pos, tok, live) AS (
-  SELECT word, pos, tok, true FROM bytes_of
-  UNION ALL
-  SELECT word, pos, CASE WHEN pos = cut THEN (best >> 32)::INT ELSE tok END, best IS NOT NULL
-  FROM (
-    SELECT word, pos, tok, before, best, (best & 4294967295)::INT AS cut
-    FROM (
-      SELECT word, pos, tok, before, min(pair) OVER (PARTITION BY word) AS best
-      FROM (
-        SELECT n.word, n.pos, n.tok, n.before, (m.merged::BIGINT << 32) + n.pos AS pair
-        FROM (
-          SELECT word, pos, tok, lead(tok) OVER w AS next, lag(pos) OVER w AS before
-          FROM state WHERE live WINDOW w AS (PARTITION BY word ORDER BY pos)
-        ) n LEFT JOIN merges m ON n.tok = m.lhs AND n.next = m.rhs
-      )
+WITH RECURSIVE state(word, tokens, live) AS (
+  SELECT word, list(tok ORDER BY pos), true FROM bytes_of GROUP BY word
+  UNION ALL (
+    WITH pairs AS (
+      SELECT word, unnest(tokens[:-2]) AS lhs, unnest(tokens[2:]) AS rhs,
+        generate_subscripts(tokens[2:], 1) AS pos
+      FROM state WHERE live AND len(tokens) > 1
+    ), lowest AS (
+      SELECT p.word, min((m.merged::BIGINT << 32) + p.pos) AS best
+      FROM pairs p JOIN merges m ON p.lhs = m.lhs AND p.rhs = m.rhs GROUP BY p.word
     )
-  ) WHERE best IS NULL OR before IS DISTINCT FROM cut
+    SELECT s.word,
+      CASE WHEN best IS NULL THEN tokens ELSE list_concat(
+        list_append(tokens[:(best & 4294967295) - 1], (best >> 32)::INT),
+        tokens[(best & 4294967295) + 2:]) END,
+      best IS NOT NULL
+    FROM state s LEFT JOIN lowest b ON b.word = s.word WHERE s.live
+  )
 )
-SELECT tok, word FROM state WHERE NOT live ORDER BY word, pos
+SELECT unnest(tokens) AS tok, word FROM (SELECT word, tokens FROM state WHERE NOT live ORDER BY word)
 """
 _DECODE = """
 SELECT unhex(string_agg(v.hex, '' ORDER BY t.pos)) AS bytes, t.doc
@@ -61,43 +62,52 @@ def public_vocabulary(name: str = "byte_bpe_multi_50k.tiktoken") -> Vocabulary:
     return Vocabulary(public_tokenizers.path(name), public_tokenizers.PATTERN)
 
 
+def _ranks(vocabulary: Vocabulary) -> dict[bytes, int]:
+    import base64
+
+    with open(vocabulary.path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in (x.split() for x in lines if x.strip())}
+
+
+def _database():
+    import duckdb
+
+    return duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB"})
+
+
+def _table(db, name: str, columns: dict) -> None:
+    db.register("given", pa.table(columns))
+    db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM given")
+    db.unregister("given")
+
+
 class _Coder:
     def __init__(self, vocabulary: Vocabulary):
-        import base64
-
-        import duckdb
         import regex
 
-        with open(vocabulary.path, "rb") as lines:
-            pairs = (line.split() for line in lines if line.strip())
-            ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
+        ranks = _ranks(vocabulary)
         self.words = regex.compile(vocabulary.pattern)
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        #: Words that are tokens as they stand, and words met so far.
+        #: Words met so far; words that are tokens as they stand.
         self.known = {token: np.int32(rank).tobytes() for token, rank in ranks.items()}
         self.base = dict(self.known)
-        self.valid = np.zeros(max(ranks.values()) + 1, dtype=bool)
-        self.valid[list(ranks.values())] = True
         merges = [
             (left, right, rank)
             for token, rank in ranks.items()
             for i in range(1, len(token))
             if (left := ranks.get(token[:i])) is not None and (right := ranks.get(token[i:])) is not None
         ]
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
+        self.db = _database()
         columns = zip(*merges, strict=True) if merges else ((), (), ())
-        self._table("merges", dict(zip(("lhs", "rhs", "merged"), (pa.array(c, pa.int32()) for c in columns), strict=True)))
-        self._table("vocabulary", {"tok": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]})
+        _table(self.db, "merges", dict(zip(("lhs", "rhs", "merged"), (pa.array(c, pa.int32()) for c in columns), strict=True)))
 
-    def _table(self, name: str, columns: dict) -> None:
-        self.db.register("given", pa.table(columns))
-        self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM given")
-        self.db.unregister("given")
-
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, words: list[str]) -> None:
         """Tokens of new words, into ``known``."""
-        for first in range(0, len(words), QUERY_WORDS):
-            part = words[first : first + QUERY_WORDS]
+        coded = [w.encode() for w in words]
+        self.known.update((w, self.base[c]) for w, c in zip(words, coded, strict=True) if c in self.base)
+        rest = [(w, c) for w, c in zip(words, coded, strict=True) if c not in self.base]
+        for first in range(0, len(rest), QUERY_WORDS):
+            names, part = zip(*rest[first : first + QUERY_WORDS], strict=True)
             size = np.array([len(w) for w in part])
             start = np.cumsum(size) - size
             data = np.frombuffer(b"".join(part), dtype=np.uint8)
@@ -106,21 +116,29 @@ class _Coder:
                 "pos": (np.arange(len(data)) - np.repeat(start, size)).astype(np.int32),
                 "tok": self.byte[data],
             }
-            self._table("bytes_of", {k: pa.array(v) for k, v in rows.items()})
+            _table(self.db, "bytes_of", {k: pa.array(v) for k, v in rows.items()})
             found = self.db.execute(_CONTRACT).fetchnumpy()
-            tokens, cuts = np.asarray(found["tok"], dtype=np.int32), np.searchsorted(found["word"], np.arange(len(part) + 1))
-            blob, cuts = tokens.tobytes(), (cuts * 4).tolist()
-            self.known.update(zip(part, (blob[a:b] for a, b in zip(cuts, cuts[1:])), strict=True))
+            blob = np.asarray(found["tok"], dtype=np.int32).tobytes()
+            cuts = (np.searchsorted(found["word"], np.arange(len(part) + 1)) * 4).tolist()
+            self.known.update(zip(names, (blob[a:b] for a, b in zip(cuts, cuts[1:])), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        words = [[w.encode() for w in self.words.findall(t)] if t else [] for t in texts]
-        new = list(dict.fromkeys(w for ws in words for w in ws if w not in self.known))
-        if new and len(self.known) + len(new) > KEPT_WORDS + len(self.base):
-            self.known = dict(self.base)
-            new = list(dict.fromkeys(w for ws in words for w in ws if w not in self.known))
-        self.learn(new)
+        words = [self.words.findall(t) if t else [] for t in texts]
+        every = dict.fromkeys(w for ws in words for w in ws)
+        if len(self.known) > KEPT_WORDS:
+            self.known = {w: self.known[w] for w in every if w in self.known}
+        self.learn([w for w in every if w not in self.known])
         return [b"".join(map(self.known.__getitem__, ws)) for ws in words]
 
+
+class _Decoder:
+    def __init__(self, vocabulary: Vocabulary):
+        ranks = _ranks(vocabulary)
+        self.valid = np.zeros(max(ranks.values()) + 1, dtype=bool)
+        self.valid[list(ranks.values())] = True
+        self.db = _database()
+        _table(self.db, "vocabulary", {"tok": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]})
+
     def decode(self, tokens: np.ndarray, counts: np.ndarray) -> list[bytes]:
         doc = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
         pos = np.arange(len(tokens), dtype=np.int32)
@@ -138,6 +156,11 @@ def _coder(vocabulary: Vocabulary) -> _Coder:
     return _Coder(vocabulary)
 
 
+@functools.lru_cache(maxsize=2)
+def _decoder(vocabulary: Vocabulary) -> _Decoder:
+    return _Decoder(vocabulary)
+
+
 def _with_column(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
     kept = [n for n in batch.schema.names if n != name]
     return pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), column], [*kept, name])
@@ -160,7 +183,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_
     def run(batches):
         coder = _coder(vocabulary)
         for whole in batches:
-            for batch in slices(whole, text_col, 4 << 20):
+            for batch in slices(whole, text_col, 2 << 20):
                 coded = coder.encode(batch.column(text_col).to_pylist())
                 cuts = np.concatenate([[0], np.cumsum([len(x) // 4 for x in coded])]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(coded), dtype=np.int32))
@@ -176,13 +199,13 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", bytes_
     """
 
     def run(batches):
-        coder = _coder(vocabulary)
+        coder = _decoder(vocabulary)
         for batch in batches:
             lists = batch.column(ids_col)
             size = np.array([0 if x is None else x for x in lists.value_lengths().to_pylist()], dtype=np.int64)
             first = 0
             while first < len(size):
-                last = first + max(1, int(np.searchsorted(np.cumsum(size[first:]), 2_000_000)))
+                last = first + max(1, int(np.searchsorted(np.cumsum(size[first:]), 500_000)))
                 part = batch.slice(first, last - first)
                 ids = part.column(ids_col).flatten().to_numpy(zero_copy_only=False).astype(np.int32)
                 if len(ids) and not (coder.valid[np.clip(ids, 0, len(coder.valid) - 1)] & (ids >= 0) & (ids < len(coder.valid))).all():
