@@ -29,8 +29,8 @@ class MinMax:
     """``percent``: least similarity, 100 * intersection >= percent * union.
 
     ``permutations`` yield twice as many signature values, cut into bands of ``rows``.
-    At a similarity of 0.85 a pair shares no band with a probability of 4e-7, at 0.8 of
-    3e-7 with the values of :data:`STAGE`.
+    At a similarity of 0.85 a pair shares no band with a probability of 4e-7, and at 0.8
+    of 2e-9 with the values of :data:`STAGE`.
     """
 
     width: int = 3
