@@ -131,15 +131,23 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = docs.select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     ).where("id IS NOT NULL")
-    after = texts.groupBy(F.col("id").alias("next_id")).agg(F.min("text").alias("next_text"))
-    after = after.withColumn("next_fingerprint", fingerprint(F.col("next_text"), width))
-    rows = texts.join(followers(texts), "id").join(after, "next_id")
-    n = F.length("text")
-    half = F.floor(n / 2).cast("int")
-    out = rows.select(
+    half = F.floor(F.length("text") / 2).cast("int")
+    # One exchange of the texts by id serves both sides; of the next text only the part
+    # that is put in travels to the edited one.
+    by_id = texts.repartition("id")
+    after = by_id.groupBy("id").agg(F.min("text").alias("next_text")).select(
+        F.col("id").alias("next_id"), "next_text", fingerprint(F.col("next_text"), width).alias("next_fingerprint")
+    )
+    asked = texts.groupBy("id").agg(F.max(half).alias("most")).join(followers(texts), "id")
+    given = asked.join(after, "next_id").select(
+        "id", F.substring("next_text", F.lit(1), F.col("most")).alias("given"), "next_fingerprint"
+    )
+    out = by_id.join(given, "id").select(
         "id",
-        n.cast("long").alias("n_chars"),
-        F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half)).alias("edited"),
+        F.length("text").cast("long").alias("n_chars"),
+        F.concat(
+            F.substring("text", F.lit(1), F.length("text") - half), F.substring("given", F.lit(1), half)
+        ).alias("edited"),
         "next_fingerprint",
         fingerprint(F.col("text"), width).alias("fingerprint"),
     ).withColumn("edited_fingerprint", fingerprint(F.col("edited"), width))
