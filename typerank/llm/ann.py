@@ -18,7 +18,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from typerank.llm.common import mix, staged
@@ -38,6 +37,8 @@ class Index:
 _CELLS = "key long, ids binary, vectors binary"
 #: Candidates a task holds before it keeps the best of each query, and vectors of a block.
 HELD, BLOCK = 1_000_000, 4096
+#: Vectors for each part of the queries whose candidates one task merges.
+PART = 256
 
 
 def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -146,8 +147,12 @@ def _best(query: np.ndarray, other: np.ndarray, score: np.ndarray, k: int) -> np
     return order[place < k]
 
 
-def _ranked(met: DataFrame, k: int, dimension: int) -> DataFrame:
-    """(query_id, vec_id, score): the k best of each query in each task."""
+_FOUND = "part int, qids binary, ids binary, scores binary"
+
+
+def _ranked(met: DataFrame, k: int, dimension: int, parts: int) -> DataFrame:
+    """The k best candidates of each query in each task, one row for each part of the
+    queries."""
 
     def run(batches):
         held, n = [], 0
@@ -157,6 +162,16 @@ def _ranked(met: DataFrame, k: int, dimension: int) -> DataFrame:
             best = _best(query, other, score, k)
             return query[best], other[best], score[best]
 
+        def packed(columns):
+            part = (mix(columns[0].view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            full, first = np.unique(part[order], return_index=True)
+            cuts = [*first, len(part)]
+            blobs = (
+                pa.array([c[order][x:y].tobytes() for x, y in zip(cuts, cuts[1:])], pa.binary()) for c in columns
+            )
+            return pa.RecordBatch.from_arrays([pa.array(full), *blobs], ["part", "qids", "ids", "scores"])
+
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("qids", "queries", "ids", "vectors")), strict=True):
                 qids, ids = np.frombuffer(row[0], np.int64), np.frombuffer(row[2], np.int64)
@@ -178,22 +193,30 @@ def _ranked(met: DataFrame, k: int, dimension: int) -> DataFrame:
                     held = [kept()]
                     n = len(held[0][0])
                     if n > HELD // 2:
-                        yield _batch(held.pop())
+                        yield packed(held.pop())
                         n = 0
-        if held:
-            yield _batch(kept())
+        if n:
+            yield packed(kept())
 
-    return met.select("qids", "queries", "ids", "vectors").mapInArrow(run, "query_id long, vec_id long, score double")
+    return met.select("qids", "queries", "ids", "vectors").mapInArrow(run, _FOUND)
 
 
-def _batch(columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
+def _top(found: DataFrame, k: int) -> DataFrame:
+    """(query_id, rank, vec_id, score) from the candidates of all tasks, part by part."""
 
+    def merge(table):
+        blob = lambda name, of: np.frombuffer(b"".join(table.column(name).to_pylist()), of)
+        query, other, score = blob("qids", np.int64), blob("ids", np.int64), blob("scores", np.float64)
+        best = _best(query, other, score, k)
+        query = query[best]
+        first = np.flatnonzero(np.concatenate([[len(query) > 0], query[1:] != query[:-1]]))
+        rank = np.arange(len(query)) - np.repeat(first, np.diff(np.append(first, len(query)))) + 1
+        return pa.table(
+            [pa.array(query), pa.array(rank, pa.int32()), pa.array(other[best]), pa.array(score[best])],
+            names=["query_id", "rank", "vec_id", "score"],
+        )
 
-def _top(found: DataFrame, k: int) -> DataFrame:
-    order = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return found.groupBy("part").applyInArrow(merge, "query_id long, rank int, vec_id long, score double")
 
 
 def nearest(
@@ -221,7 +244,9 @@ def nearest(
     queries = vectors.where(is_query)
     cells = index_blocks(vectors, longest, p)
     probes = probe_blocks(queries, longest, p).select("key", F.col("ids").alias("qids"), F.col("vectors").alias("queries"))
-    found = staged(_top(_ranked(cells.join(probes, "key"), k, dimension), k), "neighbours")
+    parts = max(1, n // PART)
+    candidates = staged(_ranked(cells.join(probes, "key"), k, dimension, parts), "candidates")
+    found = staged(_top(candidates, k), "neighbours")
     # Queries that met too few candidates.
     count = found.groupBy(F.col("query_id").alias("id")).agg(F.count(F.lit(1)).alias("met"))
     short = queries.join(count, "id", "left").where(F.coalesce("met", F.lit(0)) < min(k, max(n - 1, 0)))
@@ -229,5 +254,5 @@ def nearest(
     few = staged(_blocks(short, alone).select(F.col("ids").alias("qids"), F.col("vectors").alias("queries")), "short")
     if few.limit(1).count():
         every = _blocks(vectors, alone).select("ids", "vectors")
-        found = _top(found.select("query_id", "vec_id", "score").union(_ranked(every.crossJoin(few), k, dimension)), k)
-    return found.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+        found = _top(candidates.union(_ranked(every.crossJoin(few), k, dimension, parts)), k)
+    return found
