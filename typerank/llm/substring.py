@@ -9,10 +9,11 @@ is removed.
 How it runs: texts are dealt once into chunks of a few MB, stored bucketed by chunk, so
 that later steps read them in place. A task hashes the windows of a chunk with numpy and
 sends each distinct hash once, packed by hash range; the task of a range counts over all
-chunks and answers each chunk with one bit a hash. Two such exchanges are made: of anchors
-(minimizers, a twelfth of the positions), then of the edges whose anchor is repeated, with
-the hashes before and after them. Group sizes are bounded by the chunk and range sizes,
-whatever the number of copies of a passage.
+chunks and answers each chunk with a few bits a hash. Three such exchanges are made, each a
+grouping by range and a join by chunk: of anchors (minimizers, a twelfth of the positions),
+of the edges whose anchor is repeated, with the hashes before and after them, and of the
+compacted paths, with a digest of the words at their source coordinates. Group sizes are
+bounded by the chunk and range sizes, whatever the number of copies of a passage.
 """
 
 import hashlib
@@ -29,7 +30,7 @@ from typerank.sources.stage import shared_folder
 WIDTH = 35
 #: Words of an anchor, bytes of text in a chunk.
 ANCHOR, CHUNK_BYTES = 11, 4 << 20
-MAX_BUCKETS, SPREAD = 100_000, 64
+MAX_BUCKETS = 100_000
 
 _PACKED = "bucket int, chunk long, hashes binary, before binary, after binary, flags binary"
 _ANSWER = "chunk long, kind int, bucket int, bits binary"
@@ -171,7 +172,7 @@ def _answers(kind: int, table: pa.Table) -> pa.Table:
     told = [many | (seen & _MANY > 0)]
     if kind:
         for name, bit in (("before", _IN), ("after", _OUT)):
-            side = np.concatenate(blob(name, np.uint32))[order]
+            side = np.concatenate(blob(name, np.uint32 if kind == 1 else np.uint64))[order]
             told.append((np.minimum.reduceat(side, first) != np.maximum.reduceat(side, first)) | (seen & bit > 0))
     bits, at = [], 0
     for x in parts:
@@ -203,15 +204,26 @@ def _path_starts(chunk: _Chunk, answers: dict) -> tuple[np.ndarray, np.ndarray]:
     return at, begins
 
 
-_PATHS = "chunk long, text_no int, path long, edges int, first_word int, words1 long, words2 long"
+def _lengths(begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of the windows that begin a path, windows of each path)."""
+    start = np.flatnonzero(begins)
+    return start, np.diff(np.append(start, len(begins)))
 
 
-def paths(chunks: DataFrame, n: int, width: int) -> DataFrame:
-    """Occurrences of the compacted paths.
+def _verified(chunk: _Chunk, answers: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, number of windows, path) of each path whose words were the same at
+    all its places."""
+    at, begins = _path_starts(chunk, answers)
+    start, length = _lengths(begins)
+    path = chunk.hashes[at[start]]
+    distinct = np.unique(path)
+    many, one, two = chunk.told(answers, 2, distinct, 3)
+    good = (many & ~one & ~two)[np.searchsorted(distinct, path)]
+    return at[start[good]], length[good], path[good]
 
-    One row for each occurrence: its source coordinates (chunk, text_no, first_word), the
-    path (hash of its first edge), its number of edges, and a digest of its words.
-    """
+
+def _answered(chunks: DataFrame, n: int, width: int) -> DataFrame:
+    """The answers to each chunk about its anchors, edges and paths."""
 
     def anchors(table):
         chunk = _Chunk(table, width, n)
@@ -228,58 +240,55 @@ def paths(chunks: DataFrame, n: int, width: int) -> DataFrame:
     def compact(table, told):
         chunk = _Chunk(table, width, n)
         at, begins = _path_starts(chunk, _replies(told))
-        start = np.flatnonzero(begins)
-        length = np.diff(np.append(start, len(at)))
+        start, length = _lengths(begins)
         words, first = chunk.words, chunk.first[at[start]]
-        # Words as they stand in the text, one space between them.
-        data = words.data.tobytes()
-        digests = []
+        # The words at the source coordinates, one space between them.
+        data, digests = words.data.tobytes(), []
         for a, b in zip(first, first + length + width - 1, strict=True):
             span = data[words.starts[a] : words.ends[b - 1]]
             digests.append(hashlib.blake2b(b" ".join(span.split()), digest_size=16).digest())
-        row = chunk.row[at[start]]
-        digest = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
-        return pa.table(
-            [
-                pa.array([chunk.number] * len(start), pa.int64()), pa.array(row, pa.int32()),
-                pa.array(chunk.hashes[at[start]].view(np.int64)), pa.array(length, pa.int32()),
-                pa.array(first - words.bounds[row], pa.int32()),
-                pa.array(digest[:, 0]), pa.array(digest[:, 1]),
-            ],
-            names=["chunk", "text_no", "path", "edges", "first_word", "words1", "words2"],
-        )
+        digest = np.frombuffer(b"".join(digests), dtype=np.uint64).reshape(-1, 2)
+        return next(_packed(chunk, chunk.hashes[at[start]], digest[:, 0], digest[:, 1]), _EMPTY)
 
-    texts = chunks.select("chunk", "id", "text", "row")
-    by_chunk = texts.groupBy("chunk")
+    by_chunk = chunks.select("chunk", "id", "text", "row").groupBy("chunk")
     answer = lambda kind, packed: staged(
         packed.groupBy("bucket").applyInArrow(lambda table: _answers(kind, table), _ANSWER), "answers"
     )
     told = answer(0, by_chunk.applyInArrow(anchors, _PACKED))
     told = told.union(answer(1, by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(edges, _PACKED)))
-    return staged(by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(compact, _PATHS), "paths")
+    return told.union(answer(2, by_chunk.cogroup(told.groupBy("chunk")).applyInArrow(compact, _PACKED)))
 
 
-_EMPTY = pa.table(
-    {"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int64())}
-    | {c: pa.array([], pa.binary()) for c in ("hashes", "before", "after", "flags")}
-)
+def repeated_paths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """(id, first_word, n_words, path): all verified occurrences of the compacted paths.
 
+    ``path`` names a path; its occurrences in a text overlap where a graph node branches.
+    """
+    chunks, n = _chunks(docs, id_col, text_col)
 
-def verified(occurrences: DataFrame) -> DataFrame:
-    """Occurrences of the paths whose words are the same at every source coordinate.
+    def rows(table, told):
+        chunk = _Chunk(table, width, n)
+        first, length, path = _verified(chunk, _replies(told))
+        row, word = chunk.row[first], chunk.first[first]
+        return pa.table(
+            [
+                chunk.rows.take(pa.array(row)), pa.array(word - chunk.words.bounds[row], pa.int32()),
+                pa.array(length + width - 1, pa.int32()), pa.array(path.view(np.int64)),
+            ],
+            names=["row", "first_word", "n_words", "path"],
+        )
 
-    A path may have a third of all occurrences: they are counted before the shuffle, and
-    spread over ``SPREAD`` keys to be joined with the paths in doubt, of which there are
-    as many as there are collisions of 64-bit hashes.
-    """
-    sides = [f(c).alias(f"{n}_{c}") for c in ("words1", "words2") for n, f in (("low", F.min), ("high", F.max))]
-    doubtful = (
-        occurrences.groupBy("path").agg(F.count(F.lit(1)).alias("n"), *sides)
-        .where("n < 2 OR low_words1 != high_words1 OR low_words2 != high_words2")
-        .select("path", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part"))
+    texts = chunks.select("chunk", "id", "text", "row").groupBy("chunk")
+    out = texts.cogroup(_answered(chunks, n, width).groupBy("chunk")).applyInArrow(
+        rows, f"row {chunks.schema['row'].dataType.simpleString()}, first_word int, n_words int, path long"
     )
-    part = F.pmod(F.xxhash64("chunk", "text_no", "first_word"), F.lit(SPREAD)).cast("int")
-    return occurrences.withColumn("part", part).join(doubtful, ["path", "part"], "left_anti")
+    return out.select(F.col(f"row.`{id_col}`").alias("id"), "first_word", "n_words", "path")
+
+
+_EMPTY = pa.table(
+    {"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int64())}
+    | {c: pa.array([], pa.binary()) for c in ("hashes", "before", "after", "flags")}
+)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -293,16 +302,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shorter than ``width`` words are never cut. An empty table gives an empty result.
     """
     chunks, n = _chunks(docs, id_col, text_col)
-    spans = verified(paths(chunks, n, width)).select("chunk", "text_no", "first_word", "edges")
+    answers = _answered(chunks, n, width)
     names = [c for c in docs.columns if c != text_col]
 
     def cut(table, told):
         chunk = _Chunk(table, width, n)
         words = chunk.words
-        first = told.column("first_word").to_numpy() + words.bounds[told.column("text_no").to_numpy()]
+        window, length, _ = _verified(chunk, _replies(told))
+        first = chunk.first[window]
         change = np.zeros(len(words.starts) + 1, dtype=np.int64)
         np.add.at(change, first, 1)
-        np.add.at(change, first + told.column("edges").to_numpy() + width - 1, -1)
+        np.add.at(change, first + length + width - 1, -1)
         keep = np.cumsum(change[:-1]) == 0
         text_no = np.repeat(np.arange(len(words.bounds) - 1), np.diff(words.bounds))
         kept = np.flatnonzero(keep)
@@ -328,7 +338,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     row_type = chunks.schema["row"].dataType.simpleString()
     texts = chunks.select("chunk", "id", "text", "row")
-    out = texts.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(
+    out = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         cut, f"row {row_type}, text string, _n_words long, _n_removed long"
     )
     columns = {c: F.col(f"row.`{c}`") for c in names} | {text_col: F.col("text")}
