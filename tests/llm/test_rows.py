@@ -125,6 +125,21 @@ def test_fast_ids_equal_the_tokenizer(texts):
     assert [x.tolist() for x in packing.token_ids(pa.array(texts, pa.string()), t)] == want
 
 
+def test_added_tokens_in_texts_have_their_own_ids(table):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    t = packing.public_tokens()
+    exact, end = Tokenizer.from_file(t.path), "<|endoftext|>"
+    texts = [f"one {end} two", end, f"é{end}{end} ß", f"漢字 {end}\n{end}a", "<|endoftext|", f"x<|{end}|>", None, "plain"]
+    want = [[*exact.encode(x or "", add_special_tokens=False).ids, 1] for x in texts]
+    assert want[0] == [505, 220, 50256, 734, 1]
+    assert [x.tolist() for x in packing.token_ids(pa.array(texts, pa.string()), t)] == want
+    rows = packing.pack(table(list(enumerate(texts)), "doc_id long, text string", 1), t).collect()
+    assert {r.doc_id: r.doc_tokens for r in rows} == {i: len(w) for i, w in enumerate(want)}
+    assert all(r.ids_crc32 == zlib.crc32(np.array(want[r.doc_id], "<u4").tobytes()) for r in rows if r.length == r.doc_tokens)
+
+
 def test_sum_of_squares_takes_the_best_level():
     packer = packing.Packer(16, 0)
     ids = np.arange(16, dtype="<u4")

@@ -51,24 +51,30 @@ def _encoders(tokens: Tokens):
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(tokens.path)
-    exact.encode_special_tokens = True
+    added = [t.content for t in exact.get_added_tokens_decoder().values()]
     if not tokens.ranks:
-        return exact, None
+        return exact, None, added
     with open(tokens.ranks, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return exact, tiktoken.Encoding("ranks", pat_str=tokens.pattern, mergeable_ranks=ranks, special_tokens={})
+    fast = tiktoken.Encoding("ranks", pat_str=tokens.pattern, mergeable_ranks=ranks, special_tokens={})
+    return exact, fast, added
 
 
 def token_ids(column: pa.Array, tokens: Tokens) -> list[np.ndarray]:
-    """Ids of each text with the end id after them; null is an empty text."""
-    exact, fast = _encoders(tokens)
+    """Ids of each text with the end id after them; null is an empty text.
+
+    An added token of the tokenizer file that stands in a text has its own id; the ranks
+    do not know it, so such texts go to the tokenizer.
+    """
+    exact, fast, added = _encoders(tokens)
     texts = [t or "" for t in column.to_pylist()]
     out: list = [None] * len(texts)
     if fast is not None:
         data, offsets = text_bytes(column)
         high = np.concatenate([[0], np.cumsum(data >= 0xCA)])[offsets]
         for i in np.flatnonzero(np.diff(high) == 0):
-            out[i] = fast.encode_ordinary(texts[i])
+            if not any(a in texts[i] for a in added):
+                out[i] = fast.encode_ordinary(texts[i])
     rest = [i for i, ids in enumerate(out) if ids is None]
     coded = exact.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)
     for i, ids in zip(rest, coded, strict=True):
