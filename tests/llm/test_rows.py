@@ -297,3 +297,24 @@ def test_fewer_vectors_than_neighbours(table, n):
     rows = [(i, rng.normal(size=4).tolist(), 0, 0) for i in range(n)]
     got = ann.nearest(table(rows, VECTORS), "id % 20 = 0").collect()
     assert [r.vec_id for r in sorted(got, key=lambda r: r.rank)] == (plain_nearest([r[:2] for r in rows], 20).get(0, []))
+
+
+def test_large_groups_of_equal_vectors_take_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(1500, 64))
+    x[:1200] = x[0]
+    ids = rng.permutation(1500).astype(np.int64)
+    tracemalloc.start()
+    found = list(ann._met(ids, x, ids, x, 20))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # All pairs of equal vectors would take 1200 * 1200 * 64 doubles, 737 MB.
+    assert peak < 250e6
+    query, other, score = (np.concatenate(c) for c in zip(*found))
+    for i in (ids[3], ids[700], ids[1400]):
+        own = x[ids == i][0]
+        want = sorted((-(own * v).sum(), o) for v, o in zip(x, ids) if o != i)[:20]
+        at = query == i
+        assert list(other[at]) == [o for _, o in want] and np.allclose(score[at], [-s for s, _ in want])

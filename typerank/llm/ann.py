@@ -37,6 +37,8 @@ class Index:
 _CELLS = "key long, ids binary, vectors binary"
 #: Candidates a task holds before it keeps the best of each query, and vectors of a block.
 HELD, BLOCK = 1_000_000, 4096
+#: Numbers that are multiplied together at a time.
+CELLS = 1 << 22
 #: Vectors for each part of the queries whose candidates one task merges.
 PART = 256
 
@@ -147,6 +149,33 @@ def _best(query: np.ndarray, other: np.ndarray, score: np.ndarray, k: int) -> np
     return order[place < k]
 
 
+def _met(qids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int):
+    """(query, candidate, score) of the k best of the block for its queries, some queries
+    at a time. Blocks may hold any number of equal vectors: of those only the k + 1
+    smallest ids can be among the k best, as one of them may be the query's own."""
+    whole = np.ascontiguousarray(x).view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel()
+    same = np.unique(whole, return_inverse=True)[1]
+    few = np.sort(_best(same, ids, np.zeros(len(ids)), k + 1))
+    ids, x = ids[few], x[few]
+    rows, pairs = max(1, CELLS // max(1, len(ids))), max(1, CELLS // x.shape[1])
+    for a in range(0, len(q), rows):
+        own, some = qids[a : a + rows], q[a : a + rows]
+        about = np.round(some @ x.T, 12)
+        about[own[:, None] == ids[None, :]] = -np.inf
+        if len(ids) > k:
+            least = np.partition(about, len(ids) - k, axis=1)[:, len(ids) - k]
+            i, j = np.nonzero((about >= least[:, None]) & (about > -np.inf))
+        else:
+            i, j = np.nonzero(about > -np.inf)
+        # The score is summed in one fixed order, so equal vectors tie exactly.
+        score = np.empty(len(i))
+        for b in range(0, len(i), pairs):
+            at = slice(b, b + pairs)
+            score[at] = (some[i[at]] * x[j[at]]).sum(axis=1)
+        best = _best(own[i], ids[j], score, k)
+        yield own[i][best], ids[j][best], score[best]
+
+
 _FOUND = "part int, qids binary, ids binary, scores binary"
 
 
@@ -177,24 +206,15 @@ def _ranked(met: DataFrame, k: int, dimension: int, parts: int) -> DataFrame:
                 qids, ids = np.frombuffer(row[0], np.int64), np.frombuffer(row[2], np.int64)
                 q = np.frombuffer(row[1], np.float64).reshape(-1, dimension)
                 x = np.frombuffer(row[3], np.float64).reshape(-1, dimension)
-                about = np.round(q @ x.T, 12)
-                about[qids[:, None] == ids[None, :]] = -np.inf
-                if len(ids) > k:
-                    least = np.partition(about, len(ids) - k, axis=1)[:, len(ids) - k]
-                    i, j = np.nonzero((about >= least[:, None]) & (about > -np.inf))
-                else:
-                    i, j = np.nonzero(about > -np.inf)
-                # The score is summed in one fixed order, so equal vectors tie exactly.
-                score = (q[i] * x[j]).sum(axis=1)
-                best = _best(qids[i], ids[j], score, k)
-                held.append((qids[i][best], ids[j][best], score[best]))
-                n += len(best)
-                if n > HELD:
-                    held = [kept()]
-                    n = len(held[0][0])
-                    if n > HELD // 2:
-                        yield packed(held.pop())
-                        n = 0
+                for found in _met(qids, q, ids, x, k):
+                    held.append(found)
+                    n += len(found[0])
+                    if n > HELD:
+                        held = [kept()]
+                        n = len(held[0][0])
+                        if n > HELD // 2:
+                            yield packed(held.pop())
+                            n = 0
         if n:
             yield packed(kept())
 
