@@ -88,6 +88,19 @@ def test_held_out_toxicity(spark):
     assert not toxic[label == 0].any() and (toxic == label).mean() >= 0.9
 
 
+def test_rare_toxic_words_keep_their_place(table, spark):
+    """Words of few toxic documents count beside the many forms of frequent ones."""
+    often = [f"{a}{b}mudworm" for a in "bcdfghjklmnp" for b in "aeiouyaeiouy"[:6]]
+    often += [w.replace("mud", "rot") for w in often]
+    rows = [(i, f"some plain words here w{i % 7}", 0) for i in range(200)]
+    rows += [(1000 + i, "some plain words " + " ".join(often), 1) for i in range(60)]
+    rows += [(2000 + i, "some plain words zzz here", 1) for i in range(20)]
+    docs = table([(i, t, "en", "s", 0) for i, t, _ in rows], DOCS)
+    model = toxicity.train(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    assert "zzz" in model.index and len(often) * 3 < len(model.index)
+    assert model.expected(["zzz is a word here"])[0] >= toxicity.THRESHOLD > model.expected(["a plain word here"])[0]
+
+
 ODD = [(1, None, "l", "s", 0), (2, "", "l", "s", 0), (None, "text", "l", "s", 0), (3, "word " * 40_000, "l", "s", 0), (3, "word", "l", "s", 0)]
 
 

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from typerank.llm.common import slices
 from typerank.llm.quality import held_out
 
-#: Labelled documents the model is fitted on, at most; features chosen among their words.
-SAMPLE, FEATURES = 20_000, 512
+#: Labelled documents the model is fitted on, at most; they bound the number of features.
+SAMPLE = 20_000
 GRADES = 4
 #: Expected grade from which a document is toxic; the clean ones lie near 0.
 THRESHOLD = 0.25
@@ -115,11 +115,11 @@ def fit(rows: list[dict], grades: np.ndarray, n_columns: int, steps: int = 300,
     return theta[:n_columns], theta[n_columns] + np.concatenate([[0.0], np.cumsum(np.exp(theta[n_columns + 1 :]))])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> Severity:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Severity:
     """The model, from at most ``sample`` labelled documents that are not held out.
 
-    Rows with a null id, text or label are not learnt from. Without toxic rows nothing is
-    toxic.
+    Every feature that is in three toxic documents and has log-odds above 2 is used. Rows
+    with a null id, text or label are not learnt from. Without toxic rows nothing is toxic.
     """
     known = (
         labels.select("doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out("doc_id"))
@@ -149,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
         .groupBy("feature")
         .agg(*(F.sum(F.when(F.col("toxic") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in (0, 1)))
         .where("n1 >= 3").withColumn("odds", F.log(rate(1) / rate(0))).where("odds > 2")
-        .orderBy((F.col("n1") * F.col("odds")).desc(), "feature").limit(features)
+        .orderBy((F.col("n1") * F.col("odds")).desc(), "feature")
     )
     index = {r.feature: i for i, r in enumerate(chosen.select("feature").collect())}
     if not index:
