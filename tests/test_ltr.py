@@ -154,3 +154,20 @@ def test_first_pass_over_further_fields(spark):
     assert [r.doc_id for r in ltr.rankings(None, asked, text).collect()] == ["dog"]
     both = ltr.rankings(None, asked, text, fields={"type": names})
     assert {r.doc_id for r in both.collect()} == {"dog", "fox"}
+
+
+def test_registered_run_searches_the_names_too(spark, monkeypatch):
+    from typerank.catalog import inputs, queries
+
+    folder, asked = "/root/testdata/sf0.001", []
+    hits = ltr.field_hits
+
+    def field_hits(questions, terms, index, k, fields=None):
+        asked.append((index, fields))
+        return hits(questions, terms, index, k, fields)
+
+    monkeypatch.setattr(ltr, "field_hits", field_hits)
+    queries.QUERIES["end_to_end_ltr"](spark, folder).count()
+    # The training set and the ranking.
+    text, names = inputs.type_index(spark, folder), inputs.type_name_index(spark, folder)
+    assert asked == [(text, {"type": names})] * 2

@@ -566,10 +566,11 @@ def end_to_end_baseline(spark, sf):
 
 @query
 def end_to_end_ltr(spark, sf):
-    """Categories, re-ranked retrieval and scores of the learning-to-rank method."""
+    """Categories, re-ranked retrieval and scores of the learning-to-rank method, over the
+    texts and the names of the types."""
     train, test = inputs.train_documents(spark, sf), inputs.categorized_documents(spark, sf)
-    built = inputs.type_index(spark, sf)
-    run = runs.ltr_output(train, test, _predicted(spark, sf), built)
+    built, names = inputs.type_index(spark, sf), {"type": inputs.type_name_index(spark, sf)}
+    run = runs.ltr_output(train, test, _predicted(spark, sf), built, fields=names)
     output = staged(run.output, "output")
     scores = runs.evaluate(test, output, inputs.document_types(spark, sf)).scores
     return rounded(scores, "ndcg_5", "ndcg_10")
