@@ -37,14 +37,27 @@ def staged(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(table: DataFrame) -> None:
+    """Delete the staged folders that ``table`` reads; other files stay."""
+    spark = table.sparkSession
+    written = _written.get(spark.sparkContext.applicationId, [])
+    files = table.inputFiles()
+    for path in [p for p in written if any(p.rsplit("/", 1)[1] in f for f in files[:1])]:
+        _delete(spark, path)
+        written.remove(path)
+
+
 def clear(spark: SparkSession) -> int:
     """Delete the tables that this application has staged; their number.
 
     Call it when a run's results are written: what still reads a staged table fails.
     """
     paths = _written.pop(spark.sparkContext.applicationId, [])
-    hadoop = spark._jvm.org.apache.hadoop.fs
     for path in paths:
-        place = hadoop.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _delete(spark, path)
     return len(paths)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
