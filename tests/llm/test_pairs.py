@@ -27,20 +27,29 @@ def shingles(text, width):
     return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} or ({tuple(w)} if w else set())
 
 
-def components(rows, width, percent):
-    sets = [(i, shingles(t, width)) for i, t in rows if i is not None]
-    parent = {i: i for i, _ in sets}
+def grouped(rows, width, percent):
+    """(id, set, smallest id of the group) of each row; every row is a document."""
+    sets = [(i, shingles(t, width)) for i, t in rows]
+    parent = list(range(len(sets)))
 
     def root(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for (i, a), (j, b) in itertools.combinations(sets, 2):
+    for x, y in itertools.combinations(range(len(sets)), 2):
+        a, b = sets[x][1], sets[y][1]
         if a and b and 100 * len(a & b) >= percent * len(a | b):
-            low, high = sorted((root(i), root(j)))
-            parent[high] = low
-    return {(i, len(s), root(i), root(i) == i) for i, s in sets}
+            parent[root(y)] = root(x)
+    groups = {}
+    for x in range(len(sets)):
+        groups.setdefault(root(x), []).append(sets[x][0])
+    lowest = {r: min((i for i in ids if i is not None), default=None) for r, ids in groups.items()}
+    return [(i, s, lowest[root(x)]) for x, (i, s) in enumerate(sets)]
+
+
+def components(rows, width, percent):
+    return {(i, len(s), low, low == i) for i, s, low in grouped(rows, width, percent)}
 
 
 @pytest.fixture(scope="module")
@@ -64,10 +73,40 @@ def test_near_duplicates_against_brute_force(table, corpus, p):
     docs = table([(i, t, "en", "clash") for i, t in corpus], DOCS)
     got = neardup.near_duplicates(docs, p=p)
     rows = [tuple(r) for r in got.collect()]
-    assert len(rows) == len(corpus) - 1
+    assert len(rows) == len(corpus)
     assert set(rows) == components(corpus, p.width, p.percent)
 
 
+REPEATED = [(3, "A b c d e f"), (5, "A b c d e f"), (5, "other words that stand here alone"), (7, None), (7, "a good text of its own")]
+
+
+def test_ids_that_repeat_with_other_texts(table):
+    """Each text is judged on its own, and no text without a copy is lost."""
+    docs = table([(i, t, "", "") for i, t in REPEATED], DOCS)
+    got = {tuple(r) for r in neardup.near_duplicates(docs, p=neardup.STAGE).collect()}
+    assert got == {(3, 2, 3, True), (5, 2, 3, False), (5, 2, 5, True), (7, 0, 7, True), (7, 2, 7, True)}
+    kept = neardup.survivors(docs).select("doc_id", "text").collect()
+    assert {tuple(r) for r in kept} == {REPEATED[0], *REPEATED[2:]} and len(kept) == 4
+
+
+def test_survivors_are_one_of_each_group(table):
+    rng = random.Random(4)
+    base = [prose(rng, 60) for _ in range(6)]
+    texts = [(i, rng.choice([str, str.upper])(base[i % 6])) for i in range(30)] + [(4, base[4].upper()), (None, base[1])]
+    texts += [(None, "no id here but some words"), (None, "no id here but some words"), (None, None), (9, " "), (9, " ")]
+    rows = [(i, t, "x", "y") for i, t in texts]
+    schema = "doc_id long, text string, id string, set_hash string"
+    kept = neardup.survivors(table(rows, schema))
+    assert kept.columns == ["doc_id", "text", "id", "set_hash"]
+    got = sorted((tuple(r) for r in kept.collect()), key=repr)
+    groups = {}
+    for (i, t), (_, s, _) in zip(texts, grouped(texts, 5, 80)):
+        groups.setdefault(frozenset(s) or object(), []).append((i is None, i or 0, t))
+    want = [min(g) for g in groups.values() if g[0][2] and g[0][2].strip()]
+    want = [(None if none else i, t, "x", "y") for none, i, t in want]
+    assert got == sorted(want + [(None, None, "x", "y"), (9, " ", "x", "y"), (9, " ", "x", "y")], key=repr)
+
+
 def test_links_beyond_the_hub_are_found(table):
     """A chain of neighbours: most are not similar to the first, and are linked all the same."""
     w = [f"t{i}" for i in range(400)]
@@ -163,6 +202,15 @@ def test_words_of_any_text(texts):
     assert [by_word[s] for s in spans] == found.hashes.tolist() and len(set(by_word.values())) == len(by_word)
 
 
+def test_components_grow_with_further_links(spark):
+    pairs = [(i, i + 1) for i in range(0, 40, 2)]
+    more = [(i, i + 1) for i in range(1, 20, 2)] + [(60, 61)]
+    make = lambda x: spark.createDataFrame(x, "a long, b long")
+    first = common.joined_components(None, make(pairs))
+    got = {tuple(r) for r in common.joined_components(first, make(more)).collect()}
+    assert got == {tuple(r) for r in common.connected(make(pairs + more)).collect()}
+
+
 def test_components_of_chains_and_stars(spark):
     pairs = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 130)] + [(200, 200)]
     got = {tuple(r) for r in common.connected(spark.createDataFrame(pairs, "a long, b long")).collect()}

@@ -1,7 +1,6 @@
 """Helpers shared by the operators: shared tables, words, hashes, components."""
 
 import functools
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from typerank.sources.stage import shared_folder
+from typerank.sources import stage
 
 #: Bytes of text that a task looks at together.
 SLICE_BYTES = 2 << 20
@@ -19,11 +18,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder of the cluster and read it back.
 
-    Cuts the lineage; the table outlives lost executors.
+    Cuts the lineage; the table outlives lost executors and is among those that
+    ``stage.clear`` deletes.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stage.staged(df, f"llm-{name}")
+
+
+def dropped(*tables: DataFrame | None) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        if table is not None:
+            stage.drop(table)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -154,20 +159,21 @@ class Words:
         return out, bounds
 
 
-def connected(links: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+def connected(links: DataFrame) -> DataFrame:
     """(id, component) of every id in ``links`` (a, b); component is the smallest id.
 
     Each round hooks every tree to the smallest label next to it and then halves the
-    paths; the rounds grow with the logarithm of the size. One staged table a round, no
-    links on the driver.
+    paths; the rounds grow with the logarithm of the size. The tables of a round are
+    staged, so a tree that holds most ids is split by the adaptive planner; those of the
+    round before are deleted. No links on the driver.
     """
     edges = staged(
         links.select("a", "b").union(links.select("b", "a")).where("a != b").distinct(), "edges"
     )
-    labels = edges.groupBy(F.col("a").alias("id")).agg(
-        F.least(F.min("b"), F.col("a")).alias("component")
+    labels = staged(
+        edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("a")).alias("component")),
+        "labels",
     )
-    labels = staged(labels, "labels")
     while True:
         at = labels.select(F.col("id").alias("b"), F.col("component").alias("there"))
         # The smallest label next to a tree is put on its root, then each node takes its root's.
@@ -175,8 +181,10 @@ def connected(links: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
         hooked = labels.join(near, "id").select(
             "id", "component", F.least("near", "component").alias("low")
         )
-        roots = hooked.groupBy(F.col("component").alias("id")).agg(F.min("low").alias("root"))
-        lower = hooked.join(roots.withColumnRenamed("id", "component"), "component").select(
+        hooked = staged(hooked, "hooked")
+        roots = hooked.groupBy("component").agg(F.min("low").alias("root"))
+        roots = staged(roots, "roots")
+        lower = hooked.join(roots, "component").select(
             "id", F.least("low", "root").alias("component"), F.col("component").alias("old")
         )
         jumped = lower.join(
@@ -185,6 +193,36 @@ def connected(links: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
         ).select("id", F.least("up", "component").alias("component"), "old")
         new = staged(jumped, "labels")
         changed = new.where("component != old").limit(1).count()
+        dropped(labels, hooked, roots)
         labels = new.select("id", "component")
         if not changed:
+            dropped(edges)
             return labels
+
+
+def joined_components(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components (id, component) after further ``links`` (a, b), staged. Only the
+    components that the new links touch are worked on."""
+    if labels is None:
+        return connected(links)
+
+    def at(end: str) -> DataFrame:
+        return labels.select(F.col("id").alias(end), F.col("component").alias(f"at_{end}"))
+
+    ends = links.join(at("a"), "a", "left").join(at("b"), "b", "left")
+    ends = staged(
+        ends.select(
+            "a", "b", F.coalesce("at_a", "a").alias("at_a"), F.coalesce("at_b", "b").alias("at_b")
+        ),
+        "ends",
+    )
+    over = connected(ends.select(F.col("at_a").alias("a"), F.col("at_b").alias("b")))
+    new = ends.select(F.col("a").alias("id"), F.col("at_a").alias("component")).union(
+        ends.select("b", "at_b")
+    )
+    every = labels.union(new).distinct().join(
+        over.select(F.col("id").alias("component"), F.col("component").alias("up")), "component", "left"
+    )
+    found = staged(every.select("id", F.coalesce("up", "component").alias("component")), "labels")
+    dropped(ends, over, labels)
+    return found

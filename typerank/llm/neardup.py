@@ -5,12 +5,14 @@ its minimum and its maximum; both agree between two sets with (about) the probab
 their Jaccard similarity, and the pair estimates it with a lower variance than two
 independent minima. Bands of signature values become join keys.
 
-Sets that are equal are one class, represented by their smallest id. Classes that share a
-band are candidates; every link is confirmed on the full sets. A band value that many
-classes share is not expanded into pairs: its classes are compared with hubs first, those
-already connected need no further comparison, and only classes that are still apart are
-compared with each other, in blocks, by bit maps that bound the similarity from above. So every candidate pair is either confirmed, refuted, or inside
-one component already; no bucket is capped.
+Sets that are equal are one class with a number. Classes that share a band are
+candidates; every link is confirmed on the full sets. A band value that many classes
+share is not expanded into pairs: its classes are compared with hubs first, those already
+connected need no further comparison, and only classes that are still apart are compared
+with each other, in blocks, by bit maps that bound the similarity from above. So every
+candidate pair is either confirmed, refuted, or inside one component already; no bucket
+is capped. One text of each class that shares a band is stored once, and only these texts
+are moved to confirm pairs.
 """
 
 import hashlib
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from typerank.llm.common import Words, connected, mix, slices, staged
+from typerank.llm.common import Words, dropped, joined_components, mix, slices, staged
 
 
 @dataclass(frozen=True)
@@ -93,7 +95,7 @@ def signatures(docs: DataFrame, p: MinMax) -> DataFrame:
                 for i in range(batch.num_rows):
                     own = np.unique(hashes[bounds[i] : bounds[i + 1]])
                     sizes.append(len(own))
-                    digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+                    digests.append(_digest(own))
                 marked = np.zeros((batch.num_rows, BITS), dtype=bool)
                 marked[np.repeat(np.arange(batch.num_rows), np.diff(bounds)), hashes % np.uint64(BITS)] = True
                 bits = pa.array([x.tobytes() for x in np.packbits(marked, axis=1)], pa.binary())
@@ -109,8 +111,46 @@ def signatures(docs: DataFrame, p: MinMax) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, SIGNATURES)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, p: MinMax) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets are similar enough."""
+def _digest(hashes: np.ndarray) -> bytes:
+    """Name of a set of shingle hashes, given in order and without repeats."""
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
+def with_set_hash(rows: DataFrame, p: MinMax) -> DataFrame:
+    """``rows`` (.., text) and the ``set_hash`` of each text, as in :func:`signatures`."""
+
+    @F.arrow_udf("binary")
+    def named(texts: pa.Array) -> pa.Array:
+        out = []
+        for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text", 1 << 20):
+            hashes, bounds = Words(part.column("text"), lower=True).shingles(p.width)
+            out += [_digest(np.unique(hashes[i:j])) for i, j in zip(bounds, bounds[1:])]
+        return pa.array(out, pa.binary())
+
+    return rows.withColumn("set_hash", named("text"))
+
+
+def class_texts(classes: DataFrame, docs: DataFrame, p: MinMax) -> DataFrame:
+    """(node, text): one text of each class (node, set_hash, id), staged.
+
+    The texts of the ids are looked up, in one exchange at most; an id that repeats with
+    other texts is told by the set hash, and repeated rows are reduced before the shuffle.
+    """
+    wanted = classes.select("node", "set_hash", F.col("id").alias("of"))
+    mine = docs.join(wanted.select(F.col("of").alias("id")).distinct(), "id", "left_semi")
+    if wanted.where("of IS NULL").limit(1).count():
+        mine = mine.union(docs.where("id IS NULL"))
+    found = with_set_hash(mine.select("text"), p).join(wanted, "set_hash")
+    return staged(found.groupBy("node").agg(F.min("text").alias("text")), "class-texts")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, p: MinMax) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets are similar enough, staged.
+
+    ``pairs`` and ``texts`` (node, text) are stored tables: few pairs are sent to the
+    texts, many are shuffled, each text with the pairs in which it is the second, and
+    then to the first. A first text that most pairs share is split by the planner.
+    """
 
     def run(batches):
         for whole in batches:
@@ -130,10 +170,11 @@ def confirmed(pairs: DataFrame, docs: DataFrame, p: MinMax) -> DataFrame:
                     keep.append(100 * same >= p.percent * (len(both) - same))
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = docs.select(F.col("id").alias("a"), "text")
-    right = docs.select(F.col("id").alias("b"), F.col("text").alias("other"))
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return joined.select("a", "b", "text", "other").mapInArrow(run, "a long, b long")
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("other"))
+    left = texts.select(F.col("node").alias("a"), "text")
+    left = left.join(pairs.select("a").distinct(), "a", "left_semi")
+    joined = pairs.select("a", "b").join(right, "b").join(left, "a")
+    return staged(joined.select("a", "b", "text", "other").mapInArrow(run, "a long, b long"), "links")
 
 
 def _similar_size(one: str, two: str, percent: int):
@@ -188,66 +229,131 @@ def _still_possible(apart: DataFrame, p: MinMax) -> DataFrame:
     return met.mapInArrow(run, "a long, b long")
 
 
-def links(classes: DataFrame, docs: DataFrame, p: MinMax) -> tuple[DataFrame, DataFrame]:
-    """Confirmed links (a, b) between classes that hold them together, and their components.
+def links(classes: DataFrame, marks: DataFrame, docs: DataFrame, p: MinMax) -> DataFrame:
+    """(id, component): components of the nodes that confirmed links hold together.
 
-    ``classes``: (id, n_shingles, bands, bits), one row per set.
+    ``classes``: (node, set_hash, n_shingles, id, bands), one row per set, stored;
+    ``marks`` holds the bit maps by set hash. Several links of a component are not looked
+    for once it is held together.
     """
-    keys = classes.select("id", "n_shingles", F.explode("bands").alias("key"))
+    keys = classes.select("node", "n_shingles", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "n_shingles")).alias("hub")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "n_shingles")).alias("hub")
     ).where("n > 1")
+    shared = staged(shared, "shared")
     members = staged(keys.join(shared, "key"), "members")
+    dropped(shared)
     # Every class with the first one of its bucket: one pair a member at most.
-    first = members.where("id != hub.id").where(
+    first = members.where("node != hub.node").where(
         _similar_size("n_shingles", "hub.n_shingles", p.percent)
     )
-    pairs = first.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
-    found = staged(confirmed(pairs, docs, p), "links")
+    pairs = staged(first.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    in_buckets = members.select("node").distinct()
+    texts = class_texts(classes.join(in_buckets, "node", "left_semi"), docs, p)
+    found = confirmed(pairs, texts, p)
+    labels = joined_components(None, found)
+    dropped(found)
     for last in (False, True):
         # Buckets that still hold several components.
-        at = members.select("key", "id", "n_shingles", "n").join(connected(found), "id", "left")
-        at = at.withColumn("component", F.coalesce("component", "id"))
+        at = members.select("key", "node", "n_shingles", "n").join(
+            labels.withColumnRenamed("id", "node"), "node", "left"
+        )
+        at = staged(at.withColumn("component", F.coalesce("component", "node")), "at")
         mixed = at.groupBy("key").agg(
             F.min("component").alias("low"),
             F.max("component").alias("high"),
-            F.min_by(F.struct("id", "n_shingles", "component"), F.xxhash64("id")).alias("hub"),
+            F.min_by(F.struct("node", "n_shingles", "component"), F.xxhash64("node")).alias("hub"),
         ).where("low != high")
-        apart = at.join(mixed.select("key", "hub"), "key")
+        mixed = staged(mixed.select("key", "hub"), "mixed")
+        apart = staged(at.join(mixed, "key"), "apart")
+        dropped(at, mixed)
         if last:
-            more = _still_possible(apart.join(classes.select("id", "bits"), "id"), p)
+            named = classes.join(apart.select("node").distinct(), "node", "left_semi").select("node", "set_hash")
+            maps = marks.select("set_hash", "bits").join(named, "set_hash").groupBy("node").agg(
+                F.first("bits").alias("bits")
+            )
+            more = _still_possible(apart.join(maps, "node").withColumnRenamed("node", "id"), p)
         else:
             # Each component with a second hub of the bucket.
             more = apart.where("component != hub.component").where(
                 _similar_size("n_shingles", "hub.n_shingles", p.percent)
-            ).select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
-        more = more.distinct().join(pairs, ["a", "b"], "left_anti")
-        found = found.union(staged(confirmed(more, docs, p), "links"))
-    return found, connected(found)
+            ).select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+        more = staged(more.distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+        found = confirmed(more, texts, p)
+        labels = joined_components(labels, found)
+        dropped(apart, more, found)
+    dropped(members, pairs, texts)
+    return labels
+
+
+def _judged(docs: DataFrame, p: MinMax) -> DataFrame:
+    """(id, n_shingles, set_hash, component_id): one row per row of ``docs`` (id, text)."""
+    marks = staged(signatures(docs, p), "signatures")
+    sets = marks.where("n_shingles > 0").groupBy("set_hash", "n_shingles")
+    classes = sets.agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
+    classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    labels = links(classes, marks, docs, p)
+    at = classes.select("node", "set_hash", "id").join(
+        labels.withColumnRenamed("id", "node"), "node", "left"
+    )
+    at = staged(at.withColumn("component", F.coalesce("component", "node")), "at")
+    lowest = staged(at.groupBy("component").agg(F.min("id").alias("component_id")), "lowest")
+    of_set = staged(at.join(lowest, "component").select("set_hash", "component", "component_id"), "of-set")
+    dropped(labels, at, lowest, classes)
+    return marks.select("id", "n_shingles", "set_hash").join(of_set, "set_hash", "left")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: MinMax = QUERY) -> DataFrame:
-    """(id, n_shingles, component_id, kept) for each row with an id.
+    """(id, n_shingles, component_id, kept) for each row.
+
+    Every row is a document: one that repeats an id with another text is linked through
+    its own text only, and rows that repeat both get the same verdict. Empty or null texts
+    have no shingles and stand alone. A text with fewer words than ``width`` has its whole
+    sequence as the one shingle. A row without an id takes part; its ``component_id`` is
+    the smallest id of its group, null if the group has none. ``kept``: the two are the
+    same. Other columns are not read. An empty table gives an empty result.
+    """
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = _judged(docs, p).select(
+        "id",
+        "n_shingles",
+        F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+    return rows.withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
+
+
+def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: MinMax = STAGE) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates, all columns as they are.
 
-    Empty or null texts have no shingles and stand alone. A text with fewer words than
-    ``width`` has its whole sequence as the one shingle. Rows that repeat an id with the
-    same text are one class; an id with several texts is linked through each of them.
-    Rows without an id are left out, since a class is named by an id. Other columns are
-    not read. An empty table gives an empty result.
+    The row with the smallest id stays (one without an id only if no row of the group has
+    one); of rows that share it, the smallest set hash and then the smallest text. Rows
+    without words are no copies of each other: all stay. Only copies that share id and
+    words are shuffled with their texts, reduced to one a task before.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
-    marks = staged(signatures(docs, p), "signatures")
-    classes = (
-        marks.where("n_shingles > 0")
-        .groupBy("set_hash", "n_shingles")
-        .agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
+    names = docs.columns
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"))
+    rows = rows.select(
+        "row", F.col("row")[id_col].cast("long").alias("id"), F.col("row")[text_col].alias("text")
+    )
+    judged = _judged(rows.select("id", "text"), p).where("component IS NOT NULL")
+    sets = judged.groupBy("component", "id", "set_hash").agg(F.count(F.lit(1)).alias("copies"))
+    sets = staged(sets, "sets")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "set_hash")
+    best = staged(sets.groupBy("component").agg(F.min(order).alias("best")), "best")
+    # What needs an answer other than "the only row of its group": gone, or one of several.
+    told = sets.join(best, "component").withColumn("gone", order != F.col("best"))
+    told = staged(
+        told.where("gone OR copies > 1").select(F.col("id").alias("_id"), F.col("set_hash").alias("_set"), "gone"),
+        "told",
     )
-    classes = staged(classes, "classes")
-    _, components = links(classes, docs, p)
-    found = classes.join(components, "id", "left").select(
-        "set_hash", "n_shingles", F.coalesce("component", "id").alias("component_id")
+    dropped(sets, best)
+    found = with_set_hash(rows, p).select("row", "id", "set_hash").join(
+        told, F.col("id").eqNullSafe(F.col("_id")) & (F.col("set_hash") == F.col("_set")), "left"
     )
-    rows = marks.select("id", "n_shingles", "set_hash").join(found, ["set_hash", "n_shingles"], "left").select(
-        "id", "n_shingles", F.coalesce("component_id", "id").alias("component_id")
+    single = found.where("gone IS NULL").select("row")
+    if not told.where("NOT gone").limit(1).count():
+        return single.select("row.*")
+    several = found.where("NOT gone").groupBy("id", "set_hash").agg(
+        F.min_by("row", F.col("row")[text_col]).alias("row")
     )
-    return rows.withColumn("kept", F.col("id") == F.col("component_id"))
+    return single.union(several.select("row")).select("row.*")
