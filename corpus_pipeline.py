@@ -1,7 +1,6 @@
 """Curation of a corpus: each stage works on all that the one before it kept."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from typerank.llm import neardup, packing, quality, substring, toxicity
@@ -24,13 +23,9 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the smallest id, and of rows
-    that share it the first text. Rows without an id are not compared and stay."""
-    gone = neardup.near_duplicates(docs, p=neardup.STAGE).where("NOT kept").select(F.col("id").alias("doc_id"))
-    left = docs.join(gone, "doc_id", "left_anti")
-    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    turn = F.row_number().over(W.partitionBy("doc_id", "_row").orderBy("text"))
-    return left.withColumn("_row", alone).withColumn("_turn", turn).where("_turn = 1").select(docs.columns)
+    """One document of each group of near duplicates stays: that with the smallest id.
+    Documents that repeat an id are judged by their own texts; those without words stay."""
+    return neardup.survivors(docs, p=neardup.STAGE)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
