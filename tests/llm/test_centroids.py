@@ -1,0 +1,98 @@
+"""Clustering and its lower bounds against plain integers."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from typerank.llm import centroids
+
+SCHEMA = "vec_id long, embedding array<float>, cluster int, v string"
+
+
+def plain(rows, p):
+    kept = []
+    for i, x in rows:
+        if x is None or len(x) != p.dim or any(e is None or not math.isfinite(e) for e in x):
+            continue
+        kept.append((i, tuple(max(-p.limit, min(p.limit, math.floor(p.scale * float(np.float32(e))))) for e in x)))
+    begin = sorted((hashlib.sha256(f"{p.seed}:{i}".encode()).hexdigest(), v) for i, v in kept if i is not None)
+    c = [v for _, v in begin[: p.k]]
+
+    def assign():
+        return [min((sum((a - b) ** 2 for a, b in zip(v, m)), k) for k, m in enumerate(c)) for _, v in kept]
+
+    for _ in range(p.rounds):
+        where = assign()
+        for k in range(len(c)):
+            own = [v for (_, v), (_, at) in zip(kept, where) if at == k]
+            if own:
+                c[k] = tuple(sum(e) // len(own) for e in zip(*own))
+    where = assign()
+    inertia = [sum(d for d, at in where if at == k) for k in range(len(c))]
+    return sorted(
+        ((i, k, d, inertia[k], sum(inertia), hashlib.sha256(",".join(map(str, c[k])).encode()).hexdigest())
+         for (i, _), (d, k) in zip(kept, where)), key=repr
+    )
+
+
+def found(table, rows, p):
+    df = table([(i, x, 9, "clash") for i, x in rows], SCHEMA)
+    got = centroids.described(*centroids.clusters(df, p=p))
+    assert got.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    return sorted((tuple(r) for r in got.collect()), key=repr)
+
+
+def vectors(n, dim, spread, seed=0):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(0, spread, (5, dim))
+    return [(i, (middle[i % 5] + rng.normal(0, 0.1, dim)).astype(np.float32).tolist()) for i in range(n)]
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.05, 1.0])
+def test_clusters_against_plain_integers(table, spread):
+    p = centroids.Clustering(dim=6, rounds=4)
+    rows = vectors(200, 6, spread)
+    nan, inf = float("nan"), float("inf")
+    rows += [(300, None), (301, [1.0]), (302, [nan] * 6), (303, [inf, 0.0, 0.0, 0.0, 0.0, 0.0]), (304, [None] * 6)]
+    rows += [(305, []), (7, rows[7][1]), (8, rows[9][1]), (None, rows[3][1]), (306, [3e38] * 6), (307, [-0.0] * 6)]
+    assert found(table, rows, p) == plain(rows, p)
+
+
+def test_ties_go_to_the_smaller_number(table):
+    p = centroids.Clustering(dim=2, k=3, rounds=3)
+    rows = [(i, [float(i % 4), float(i % 3)]) for i in range(40)] + [(i, [0.5, 0.5]) for i in range(50, 60)]
+    assert found(table, rows, p) == plain(rows, p)
+
+
+def test_equal_vectors_and_few_of_them(table):
+    p = centroids.Clustering(dim=3, rounds=2)
+    for rows in ([(i, [0.1, 0.2, 0.3]) for i in range(30)], [(1, [1.0, 2.0, 3.0])], [(None, [1.0, 2.0, 3.0])], []):
+        assert found(table, rows, p) == (plain(rows, p) if any(i is not None for i, _ in rows) else [])
+
+
+def test_bounds_are_below_the_distances_and_spare_work():
+    rng = np.random.default_rng(4)
+    middle = rng.integers(-3000, 3000, (8, 16))
+    v = middle[rng.integers(0, 8, 4000)] + rng.integers(-60, 60, (4000, 16))
+    v = np.concatenate([v, middle, rng.integers(-(1 << 27), 1 << 27, (100, 16))])
+    pairs = centroids.pivot_pairs(middle)
+    far = lambda x: np.sqrt(np.stack([centroids.squared(x, c) for c in middle], axis=1).astype(float))
+    c = middle + rng.integers(-20, 20, middle.shape)
+    bounds = centroids.lower_bounds(far(v), far(c), pairs)
+    exact = np.stack([centroids.squared(v, x) for x in c], axis=1)
+    assert np.all(np.floor(bounds * bounds * (1 - 4 * centroids.SLACK)) <= exact)
+    cluster, distance, checked = centroids.nearest(v, far(v), c, far(c), pairs)
+    assert np.array_equal(cluster, exact.argmin(axis=1)) and np.array_equal(distance, exact.min(axis=1))
+    assert checked < 0.3 * exact.size
+
+
+def test_random_pivot_pairs_of_points_on_a_line():
+    rng = random.Random(1)
+    v = np.array([[rng.randint(-50, 50)] for _ in range(300)])
+    c = np.array([[-7], [0], [7], [7]])
+    far = lambda x: np.sqrt(np.stack([centroids.squared(x, p) for p in c], axis=1).astype(float))
+    cluster, _, _ = centroids.nearest(v, far(v), c, far(c), centroids.pivot_pairs(c))
+    assert cluster.tolist() == [min(range(4), key=lambda k: (abs(x - c[k, 0]), k)) for x in v[:, 0]]

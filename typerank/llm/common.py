@@ -1,6 +1,7 @@
 """Helpers shared by the operators: shared tables, words, hashes, components."""
 
 import functools
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -159,6 +160,39 @@ class Words:
         return out, bounds
 
 
+def set_digest(hashes: np.ndarray) -> bytes:
+    """Name of a set of shingle hashes, given in order and without repeats."""
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
+def with_set_hash(rows: DataFrame, width: int) -> DataFrame:
+    """``rows`` (.., text) with ``set_hash``, the name of the set of lower-cased shingles."""
+
+    @F.arrow_udf("binary")
+    def named(texts: pa.Array) -> pa.Array:
+        out = []
+        for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text", 1 << 20):
+            hashes, bounds = Words(part.column("text"), lower=True).shingles(width)
+            out += [set_digest(np.unique(hashes[i:j])) for i, j in zip(bounds, bounds[1:])]
+        return pa.array(out, pa.binary())
+
+    return rows.withColumn("set_hash", named("text"))
+
+
+def class_texts(classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(node, text): one text of each class (node, set_hash, id) of ``docs`` (id, text), staged.
+
+    The texts of the ids are looked up, in one exchange at most; an id that repeats with
+    other texts is told by the set hash, and repeated rows are reduced before the shuffle.
+    """
+    wanted = classes.select("node", "set_hash", F.col("id").alias("of"))
+    mine = docs.join(wanted.select(F.col("of").alias("id")).distinct(), "id", "left_semi")
+    if wanted.where("of IS NULL").limit(1).count():
+        mine = mine.union(docs.where("id IS NULL"))
+    found = with_set_hash(mine.select("text"), width).join(wanted, "set_hash")
+    return staged(found.groupBy("node").agg(F.min("text").alias("text")), "class-texts")
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(id, component) of every id in ``links`` (a, b); component is the smallest id.
 

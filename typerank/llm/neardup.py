@@ -15,7 +15,6 @@ is capped. One text of each class that shares a band is stored once, and only th
 are moved to confirm pairs.
 """
 
-import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from typerank.llm.common import Words, dropped, joined_components, mix, slices, staged
+from typerank.llm.common import (
+    Words,
+    class_texts,
+    dropped,
+    joined_components,
+    mix,
+    set_digest,
+    slices,
+    staged,
+    with_set_hash,
+)
 
 
 @dataclass(frozen=True)
@@ -95,7 +104,7 @@ def signatures(docs: DataFrame, p: MinMax) -> DataFrame:
                 for i in range(batch.num_rows):
                     own = np.unique(hashes[bounds[i] : bounds[i + 1]])
                     sizes.append(len(own))
-                    digests.append(_digest(own))
+                    digests.append(set_digest(own))
                 marked = np.zeros((batch.num_rows, BITS), dtype=bool)
                 marked[np.repeat(np.arange(batch.num_rows), np.diff(bounds)), hashes % np.uint64(BITS)] = True
                 bits = pa.array([x.tobytes() for x in np.packbits(marked, axis=1)], pa.binary())
@@ -111,39 +120,6 @@ def signatures(docs: DataFrame, p: MinMax) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, SIGNATURES)
 
 
-def _digest(hashes: np.ndarray) -> bytes:
-    """Name of a set of shingle hashes, given in order and without repeats."""
-    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
-
-
-def with_set_hash(rows: DataFrame, p: MinMax) -> DataFrame:
-    """``rows`` (.., text) and the ``set_hash`` of each text, as in :func:`signatures`."""
-
-    @F.arrow_udf("binary")
-    def named(texts: pa.Array) -> pa.Array:
-        out = []
-        for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text", 1 << 20):
-            hashes, bounds = Words(part.column("text"), lower=True).shingles(p.width)
-            out += [_digest(np.unique(hashes[i:j])) for i, j in zip(bounds, bounds[1:])]
-        return pa.array(out, pa.binary())
-
-    return rows.withColumn("set_hash", named("text"))
-
-
-def class_texts(classes: DataFrame, docs: DataFrame, p: MinMax) -> DataFrame:
-    """(node, text): one text of each class (node, set_hash, id), staged.
-
-    The texts of the ids are looked up, in one exchange at most; an id that repeats with
-    other texts is told by the set hash, and repeated rows are reduced before the shuffle.
-    """
-    wanted = classes.select("node", "set_hash", F.col("id").alias("of"))
-    mine = docs.join(wanted.select(F.col("of").alias("id")).distinct(), "id", "left_semi")
-    if wanted.where("of IS NULL").limit(1).count():
-        mine = mine.union(docs.where("id IS NULL"))
-    found = with_set_hash(mine.select("text"), p).join(wanted, "set_hash")
-    return staged(found.groupBy("node").agg(F.min("text").alias("text")), "class-texts")
-
-
 def confirmed(pairs: DataFrame, texts: DataFrame, p: MinMax) -> DataFrame:
     """Pairs (a, b) whose full shingle sets are similar enough, staged.
 
@@ -249,7 +225,7 @@ def links(classes: DataFrame, marks: DataFrame, docs: DataFrame, p: MinMax) -> D
     )
     pairs = staged(first.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     in_buckets = members.select("node").distinct()
-    texts = class_texts(classes.join(in_buckets, "node", "left_semi"), docs, p)
+    texts = class_texts(classes.join(in_buckets, "node", "left_semi"), docs, p.width)
     found = confirmed(pairs, texts, p)
     labels = joined_components(None, found)
     dropped(found)
@@ -347,7 +323,7 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
         "told",
     )
     dropped(sets, best)
-    found = with_set_hash(rows, p).select("row", "id", "set_hash").join(
+    found = with_set_hash(rows, p.width).select("row", "id", "set_hash").join(
         told, F.col("id").eqNullSafe(F.col("_id")) & (F.col("set_hash") == F.col("_set")), "left"
     )
     single = found.where("gone IS NULL").select("row")

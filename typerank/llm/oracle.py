@@ -44,6 +44,17 @@ LEFT JOIN classes c ON c.set_id = s.set_id
 LEFT JOIN lowest l ON l.id = c.rep
 """
 
+# The same sets and reach, from 90 percent on.
+_parts = SQL["op2_near_duplicates"].replace("85 *", "90 *").rsplit("SELECT d.doc_id", 1)
+SQL["op11_ngram_join"] = _parts[0] + """
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, coalesce(l.component_id, d.doc_id) AS component_id
+FROM documents d
+LEFT JOIN sizes z ON z.doc_id = d.doc_id
+LEFT JOIN sets s ON s.doc_id = d.doc_id
+LEFT JOIN classes c ON c.set_id = s.set_id
+LEFT JOIN lowest l ON l.id = c.rep
+"""
+
 SQL["op3_substring_dedup"] = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -115,3 +126,86 @@ SELECT page_id, octet_length(b) AS payload_bytes, p.d AS payload_digest,
   CASE WHEN first != page_id THEN first END AS refers_to
 FROM p LEFT JOIN firsts ON firsts.d = p.d
 """
+
+
+def _lloyd(rounds: int = 10) -> str:
+    """The rounds unrolled: assignment ``a``, then the floors of the means."""
+    assign = """a{i} AS MATERIALIZED (
+  SELECT vec_id, v, min_by(k, (d, k)) AS k, min(d) AS d FROM (
+    SELECT x.vec_id, x.v, c.k,
+      list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM x, c{i} c) GROUP BY vec_id, v
+)"""
+    move = """c{j} AS MATERIALIZED (
+  SELECT c.k, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN (
+    SELECT k, list(floor_mean ORDER BY i) AS v FROM (
+      SELECT k, i, ((sum(e) - ((sum(e) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS floor_mean
+      FROM (SELECT k, unnest(v) AS e, unnest(range(64)) AS i FROM a{i}) GROUP BY k, i) GROUP BY k
+  ) m ON m.k = c.k
+)"""
+    steps = []
+    for i in range(rounds):
+        steps += [assign.format(i=i), move.format(i=i, j=i + 1)]
+    return ", ".join([*steps, assign.format(i=rounds)])
+
+
+SQL["op12_centroids"] = f"""
+WITH x AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k, v
+  FROM (SELECT * FROM x ORDER BY sha256('3:' || vec_id) LIMIT 8)
+), {_lloyd()}
+SELECT vec_id, k::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c10.v, ',')) AS centroid_sha256
+FROM a10 JOIN c10 USING (k)
+"""
+
+_CRC_STEP = (
+    "list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]), "
+    "lambda r, z: xor(r >> 1, (r & 1) * 3988292384))"
+)
+
+SQL["op13_prefix_trie"] = f"""
+WITH turns AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+    ORDER BY turn NULLS FIRST, role, text) AS w
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), hashed AS (
+  SELECT conv_id, w, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda crc, byte: {_CRC_STEP}), 4294967295) % 9 AS h
+  FROM turns
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.w, [])[1:c.h], c.w[c.h + 1:]) AS w
+  FROM hashed c LEFT JOIN hashed b ON b.conv_id = c.conv_id - c.conv_id % 5
+), members AS (
+  SELECT conv_id, d, sha256(w[1:d]::VARCHAR || to_json(w[1:d])::VARCHAR) AS node, d = len(w) AS ends,
+    CASE WHEN d > 0 THEN octet_length(encode(w[d].t)) ELSE 0 END AS bytes
+  FROM (SELECT conv_id, w, unnest(range(0, len(w) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT d, node, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM members GROUP BY d, node
+), above AS (
+  SELECT n.d, n.node, a.d AS ad, a.node AS anode
+  FROM nodes n JOIN members a ON a.conv_id = n.conv_id AND a.d <= n.d
+), children AS (
+  SELECT ad, anode, count(*) AS n_children FROM above WHERE ad = d - 1 GROUP BY ad, anode
+), own AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children
+  FROM nodes n LEFT JOIN children c ON c.ad = n.d AND c.anode = n.node
+), totals AS (
+  SELECT ad, anode, sum((o.n_children = 0)::INT) AS n_leaves, sum((o.n_convs - 1) * o.bytes) AS saved
+  FROM above a JOIN own o ON o.d = a.d AND o.node = a.node GROUP BY ad, anode
+), parents AS (
+  SELECT a.d, a.node, p.conv_id AS parent_conv_id
+  FROM above a JOIN nodes p ON p.d = a.ad AND p.node = a.anode WHERE a.ad = a.d - 1
+)
+SELECT o.conv_id, o.d AS depth, p.parent_conv_id, o.n_convs, o.n_children, t.n_leaves::BIGINT AS n_leaves,
+  t.saved::BIGINT AS saved_tokens, o.ends_sha256
+FROM own o JOIN totals t ON t.ad = o.d AND t.anode = o.node
+LEFT JOIN parents p ON p.d = o.d AND p.node = o.node
+"""

@@ -2,8 +2,22 @@
 
 from pyspark.sql import functions as F
 
-from typerank.llm import ann, bpe, fingerprint, neardup, packing, quality, substring, toxicity, urls, warc
-from typerank.llm.common import read
+from typerank.llm import (
+    ann,
+    bpe,
+    centroids,
+    fingerprint,
+    neardup,
+    ngram_join,
+    packing,
+    quality,
+    substring,
+    toxicity,
+    trie,
+    urls,
+    warc,
+)
+from typerank.llm.common import read, staged
 
 
 def url_filter(spark, sf):
@@ -81,6 +95,22 @@ def fingerprints(spark, sf):
     return found.withColumnRenamed("id", "doc_id")
 
 
+def ngram_components(spark, sf):
+    """Components of the documents that share nine tenths of their word triples."""
+    return ngram_join.ngram_links(read(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def centroid_clusters(spark, sf):
+    """All embeddings clustered around eight centroids."""
+    return centroids.described(*centroids.clusters(read(spark, sf, "embeddings")))
+
+
+def conversation_trie(spark, sf):
+    """The prefix trie of all conversations with shared histories."""
+    turns = staged(trie.ordered_turns(read(spark, sf, "conversations")), "turns")
+    return trie.described(trie.prefix_trie(*trie.shared_histories(turns)))
+
+
 QUERIES = {
     "op1_url_filter": url_filter,
     "op2_near_duplicates": near_duplicates,
@@ -92,4 +122,7 @@ QUERIES = {
     "op8_packing": packed_sequences,
     "op9_toxicity": document_toxicity,
     "op10_fingerprints": fingerprints,
+    "op11_ngram_join": ngram_components,
+    "op12_centroids": centroid_clusters,
+    "op13_prefix_trie": conversation_trie,
 }
