@@ -1,8 +1,11 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from typerank.functions import text, triples
-from typerank.operators.stems import porter_stem, stem_table
+from tests.porter import porter_stem
+from typerank.operators.stems import STEP_2, STEP_3, STEP_4, stem_table, with_stems
 
 
 def value(spark, string, expression):
@@ -101,6 +104,24 @@ def test_porter_stem(word, stem):
     assert porter_stem(word) == stem
 
 
+def test_stem_expressions_equal_a_plain_stemmer(spark):
+    rng = random.Random(1)
+    ends = [r.split(":")[0] for x in (STEP_2, STEP_3, STEP_4) for r in x.split()]
+    ends += ["s", "es", "ed", "ing", "eed", "y", "ies", "sses", "ll", "e", ""]
+    words = set("yyy syy ayy oxyy y by yed sying toy éing étés 3d s ss ssed aed ying".split())
+    for _ in range(20_000):
+        start = "".join(rng.choice("aeiouybcdlstzrnwxé") for _ in range(rng.randint(0, 6)))
+        words.add(start + rng.choice(ends) + rng.choice(["", "", "s", "ed", "ing", "ly", "y"]))
+    words.discard("")
+    found = with_stems(spark.createDataFrame([(w,) for w in sorted(words)], "term string")).collect()
+    assert {r.term: r.stem for r in found} == {w: porter_stem(w) for w in words}
+
+
+def test_stems_use_no_python(spark, capsys):
+    stem_table(spark.createDataFrame([("cats",)], "term string")).explain()
+    assert "Python" not in capsys.readouterr().out
+
+
 def test_stem_table_is_distinct(spark, rows):
     terms = spark.createDataFrame([("cats",), ("cats",), ("cat",), ("été",)], "term string")
     assert rows(stem_table(terms)) == [("cat", "cat"), ("cats", "cat"), ("été", "été")]

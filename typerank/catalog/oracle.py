@@ -1,6 +1,7 @@
 """The same results in SQL, on the same tables, for checking the queries."""
 
 from typerank.functions.text import LONG_WORD, POSSESSIVE, SPACES, TAG, WORD
+from typerank.operators.stems import STEP_2, STEP_3, STEP_4
 from typerank.schemas import (
     BM25_B,
     BM25_K1,
@@ -498,6 +499,88 @@ BASELINE = (
 )
 
 
+# Stems: a y after a consonant is written Y and counts as a vowel.
+
+V, C = "[aeiouY]", "[^aeiouY]"
+
+
+def _matches(text: str, pattern: str) -> str:
+    return f"regexp_matches({text}, '{pattern}')"
+
+
+def _stem_steps() -> list[str]:
+    """One expression over ``w`` a step; ``+`` marks a stem that lost -ed or -ing."""
+    cut = lambda n, w="w": f"left({w}, length({w}) - {n})"
+    above_0, above_1 = f"^{C}*{V}+{C}", f"^{C}*{V}+{C}+{V}+{C}"
+    one, short = f"^{C}*{V}+{C}+{V}*$", f"{C}{V}[^aeiouYwxy]$"
+    bare = "rtrim(w, '+')"
+    steps = [
+        f"""CASE WHEN {_matches('w', '(sses|ies)$')} THEN {cut(2)}
+          WHEN ends_with(w, 's') AND length(w) > 1 AND NOT ends_with(w, 'ss') THEN {cut(1)} ELSE w END""",
+        f"""CASE WHEN ends_with(w, 'eed') THEN CASE WHEN {_matches(cut(3), above_0)} THEN {cut(1)} ELSE w END
+          WHEN ends_with(w, 'ed') AND {_matches(cut(2), V)} THEN {cut(2)} || '+'
+          WHEN ends_with(w, 'ing') AND {_matches(cut(3), V)} THEN {cut(3)} || '+' ELSE w END""",
+        f"""CASE WHEN NOT ends_with(w, '+') THEN w
+          WHEN {_matches(bare, '(at|bl|iz)$')} THEN {bare} || 'e'
+          WHEN {_matches(bare, f'{C}{C}$')} AND right({bare}, 1) = left(right({bare}, 2), 1)
+            AND right({bare}, 1) NOT IN ('l', 's', 'z') THEN {cut(1, bare)}
+          WHEN {_matches(bare, one)} AND {_matches(bare, short)} THEN {bare} || 'e' ELSE {bare} END""",
+        f"CASE WHEN right(w, 1) IN ('y', 'Y') AND {_matches(cut(1), V)} THEN {cut(1)} || 'i' ELSE w END",
+    ]
+    for rules, measure in ((STEP_2, above_0), (STEP_3, above_0), (STEP_4, above_1)):
+        cases = []
+        for rule in sorted(rules.split(), key=lambda r: -len(r.split(":")[0])):
+            old, new = rule.split(":")
+            fits = _matches(cut(len(old)), measure)
+            if old == "ion":
+                fits += " AND " + _matches(cut(3), "[st]$")
+            cases.append(f"WHEN ends_with(w, '{old}') THEN CASE WHEN {fits} THEN {cut(len(old))} || '{new}' ELSE w END")
+        steps.append("CASE " + "\n          ".join(cases) + " ELSE w END")
+    last_e = f"({_matches(cut(1), above_1)} OR ({_matches(cut(1), one)} AND NOT {_matches(cut(1), short)}))"
+    steps.append(f"CASE WHEN ends_with(w, 'e') AND {last_e} THEN {cut(1)} ELSE w END")
+    steps.append(f"CASE WHEN ends_with(w, 'll') AND {_matches('w', above_1)} THEN {cut(1)} ELSE w END")
+    return steps
+
+
+def stems(source: str) -> tuple[str, ...]:
+    """stems(term, stem) of the distinct terms of ``source``."""
+    ctes = [
+        f"""stem_0 AS (
+  SELECT DISTINCT term, regexp_replace(term, '([^aeiou])y', '\\1Y', 'g') AS w FROM {source})"""
+    ]
+    for i, step in enumerate(_stem_steps()):
+        ctes.append(f"stem_{i + 1} AS (SELECT term, {step} AS w FROM stem_{i})")
+    ctes.append(
+        f"""stems AS MATERIALIZED (
+  SELECT term, CASE WHEN length(term) < 3 THEN term ELSE replace(w, 'Y', 'y') END AS stem
+  FROM stem_{len(ctes) - 1})"""
+    )
+    return tuple(ctes)
+
+
+STEMMED = (
+    CORPUS,
+    *postings(prefix="surface_"),
+    QUESTIONS,
+    f"""asked_tokens AS (
+  SELECT id, generate_subscripts(t, 1) - 1 AS pos, unnest(t) AS token
+  FROM (SELECT id, {word_tokens("question")} AS t FROM questions))""",
+    """all_terms AS (SELECT term FROM surface_postings UNION SELECT token FROM asked_tokens)""",
+    *stems("all_terms"),
+    "tokens AS (SELECT doc_id, dl FROM surface_tokens)",
+    """postings AS (
+  SELECT doc_id, stem AS term, sum(tf)::BIGINT AS tf, any_value(dl) AS dl
+  FROM surface_postings JOIN stems USING (term) GROUP BY doc_id, stem)""",
+    "term_stats AS (SELECT term, count(*) AS df FROM postings GROUP BY term)",
+    "field_stats AS (SELECT * FROM surface_field_stats)",
+    """query_terms AS (
+  SELECT id, pos, token, stem AS term FROM asked_tokens JOIN stems ON stems.term = token
+  WHERE stem IN (SELECT term FROM term_stats))""",
+    "query_counts AS (SELECT id, term, count(*) AS n FROM query_terms GROUP BY id, term)",
+    bm25(),
+)
+
+
 def recursive(sql: str) -> str:
     return sql.replace("WITH ", "WITH RECURSIVE ", 1)
 
@@ -589,6 +672,17 @@ FROM postings GROUP BY doc_id""",
     "bm25_top10_pruned": with_(*SEARCH, hits(10), select="SELECT * FROM hits"),
     "bm25_top5": with_(*SEARCH, hits(5), select="SELECT * FROM hits"),
     "ltr_first_pass_rankings": with_(*SEARCH, hits(5), select="SELECT * FROM hits"),
+    "stemmed_postings": with_(*STEMMED, select="SELECT doc_id, term, tf, dl FROM postings"),
+    "bm25_stemmed": with_(*STEMMED, hits(10), select="SELECT * FROM hits"),
+    "ltr_features_raw": with_(
+        *STEMMED,
+        hits(5, name="candidates"),
+        "raw_counts AS (SELECT id, token AS term, count(*) AS n FROM query_terms GROUP BY id, token)",
+        QUERY_FEATURES.replace("query_counts", "raw_counts"),
+        QUERY_DOC_FEATURES.replace("query_counts", "raw_counts"),
+        ALL_FEATURES,
+        select=f"SELECT id, doc_id, {rounded(FEATURES)} FROM features",
+    ),
     "bm25_two_fields": TWO_FIELDS,
     "ltr_first_pass_two_fields": TWO_FIELDS,
     "ltr_rerank_members": with_(

@@ -1,15 +1,16 @@
-"""Porter stems of a vocabulary.
+"""Porter stems of a vocabulary, as column expressions.
 
-Spark has no stemmer, so the distinct terms are stemmed once, in Arrow batches, and
-the stems are joined back to the postings.
+The distinct terms are stemmed once and the stems are joined back to the postings. A word
+is a string of vowels and consonants, where y is a vowel after a consonant. Such a y is
+written Y while a word is worked on, so the measure of a stem (its number of vowel runs
+followed by consonants) and the other conditions are regular expressions, and each step of
+the algorithm is one case expression that stays in generated code.
 """
 
-import re
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # The suffix rules of the published Porter algorithm.
 STEP_2 = (
@@ -23,85 +24,106 @@ STEP_4 = (
     "iti: ous: ive: ize:"
 )
 
+VOWEL, CONSONANT = "[aeiouY]", "[^aeiouY]"
+HAS_VOWEL = VOWEL
+MEASURE_ABOVE_0 = f"^{CONSONANT}*{VOWEL}+{CONSONANT}"
+MEASURE_1 = f"^{CONSONANT}*{VOWEL}+{CONSONANT}+{VOWEL}*$"
+MEASURE_ABOVE_1 = f"^{CONSONANT}*{VOWEL}+{CONSONANT}+{VOWEL}+{CONSONANT}"
+SHORT_END = f"{CONSONANT}{VOWEL}[^aeiouYwxy]$"
+DOUBLE_END = f"{CONSONANT}{CONSONANT}$"
 
-def _rules(text: str) -> list[tuple[str, str]]:
-    pairs = [tuple(rule.split(":")) for rule in text.split()]
-    return sorted(pairs, key=lambda p: -len(p[0]))
 
+def _without(word: Column, n: int | Column) -> Column:
+    return F.substring(word, F.lit(1), F.length(word) - n)
 
-RULES_2, RULES_3, RULES_4 = _rules(STEP_2), _rules(STEP_3), _rules(STEP_4)
 
+def _plural(w: Column) -> Column:
+    return (
+        F.when(w.rlike("(sses|ies)$"), _without(w, 2))
+        .when(w.rlike("[^s]s$"), _without(w, 1))
+        .otherwise(w)
+    )
 
-def _shape(stem: str) -> str:
-    """The stem as a string of c and v; y is a vowel after a consonant."""
-    shape = ""
-    for ch in stem:
-        vowel = ch in "aeiou" or (ch == "y" and shape.endswith("c"))
-        shape += "v" if vowel else "c"
-    return shape
 
+def _past(w: Column) -> Column:
+    """The word cut by -ed or -ing, with a mark ``+`` where the stem is to be mended."""
+    return (
+        F.when(w.rlike("eed$"), F.when(_without(w, 3).rlike(MEASURE_ABOVE_0), _without(w, 1)).otherwise(w))
+        .when(w.rlike("ed$"), F.when(_without(w, 2).rlike(HAS_VOWEL), F.concat(_without(w, 2), F.lit("+"))).otherwise(w))
+        .when(w.rlike("ing$"), F.when(_without(w, 3).rlike(HAS_VOWEL), F.concat(_without(w, 3), F.lit("+"))).otherwise(w))
+        .otherwise(w)
+    )
 
-def _measure(stem: str) -> int:
-    return len(re.findall("v+c+", _shape(stem)))
 
+def _mended(w: Column) -> Column:
+    stem = F.regexp_replace(w, r"\+$", "")
+    double = stem.rlike(DOUBLE_END) & (F.substring(stem, -1, 1) == F.substring(stem, -2, 1))
+    mended = (
+        F.when(stem.rlike("(at|bl|iz)$"), F.concat(stem, F.lit("e")))
+        .when(double & ~stem.rlike("[lsz]$"), _without(stem, 1))
+        .when(stem.rlike(MEASURE_1) & stem.rlike(SHORT_END), F.concat(stem, F.lit("e")))
+        .otherwise(stem)
+    )
+    return F.when(w.endswith("+"), mended).otherwise(w)
 
-def _double_consonant(word: str) -> bool:
-    return word[-1:] == word[-2:-1] and _shape(word).endswith("cc")
 
+def _last_y(w: Column) -> Column:
+    return F.when(w.rlike(f"{VOWEL}.*[yY]$"), F.concat(_without(w, 1), F.lit("i"))).otherwise(w)
 
-def _short_end(word: str) -> bool:
-    return _shape(word).endswith("cvc") and word[-1] not in "wxy"
 
+def _suffix_step(text: str, measure: str) -> Callable[[Column], Column]:
+    """The longest suffix of the list that the word has is replaced, if what is before it
+    has the measure."""
+    rules = dict(rule.split(":") for rule in text.split())
 
-def _replace(word: str, rules: list[tuple[str, str]], measure: int) -> str:
-    for suffix, new in rules:
-        if word.endswith(suffix):
-            stem = word[: -len(suffix)]
-            if suffix == "ion" and stem[-1:] not in ("s", "t"):
-                return word
-            return stem + new if _measure(stem) > measure else word
-    return word
+    def step(w: Column) -> Column:
+        suffix = F.regexp_extract(w, f"({'|'.join(rules)})$", 0)
+        stem = _without(w, F.length(suffix))
+        new = F.lit("")
+        for old, put in rules.items():
+            if put:
+                new = F.when(suffix == old, put).otherwise(new)
+        fits = (suffix != "") & stem.rlike(measure)
+        if "ion" in rules:
+            fits &= (suffix != "ion") | stem.rlike("[st]$")
+        return F.when(fits, F.concat(stem, new)).otherwise(w)
 
+    return step
 
-def porter_stem(word: str) -> str:
-    if len(word) < 3:
-        return word
-    if word.endswith(("sses", "ies")):
-        word = word[:-2]
-    elif word.endswith("s") and not word.endswith("ss"):
-        word = word[:-1]
-    if word.endswith("eed"):
-        if _measure(word[:-3]) > 0:
-            word = word[:-1]
-    else:
-        cut = 2 if word.endswith("ed") else 3 if word.endswith("ing") else 0
-        if cut and "v" in _shape(word[:-cut]):
-            word = word[:-cut]
-            if word.endswith(("at", "bl", "iz")):
-                word += "e"
-            elif _double_consonant(word) and word[-1] not in "lsz":
-                word = word[:-1]
-            elif _measure(word) == 1 and _short_end(word):
-                word += "e"
-    if word.endswith("y") and "v" in _shape(word[:-1]):
-        word = word[:-1] + "i"
-    word = _replace(word, RULES_2, 0)
-    word = _replace(word, RULES_3, 0)
-    word = _replace(word, RULES_4, 1)
-    if word.endswith("e"):
-        measure = _measure(word[:-1])
-        if measure > 1 or (measure == 1 and not _short_end(word[:-1])):
-            word = word[:-1]
-    if word.endswith("ll") and _measure(word) > 1:
-        word = word[:-1]
-    return word
 
+def _last_e(w: Column) -> Column:
+    stem = _without(w, 1)
+    goes = stem.rlike(MEASURE_ABOVE_1) | (stem.rlike(MEASURE_1) & ~stem.rlike(SHORT_END))
+    return F.when(w.endswith("e") & goes, stem).otherwise(w)
 
-@F.pandas_udf(StringType())
-def porter_stems(terms: pd.Series) -> pd.Series:
-    return terms.map(porter_stem, na_action="ignore")
+
+def _last_ll(w: Column) -> Column:
+    return F.when(w.endswith("ll") & w.rlike(MEASURE_ABOVE_1), _without(w, 1)).otherwise(w)
+
+
+STEPS = [
+    _plural,
+    _past,
+    _mended,
+    _last_y,
+    _suffix_step(STEP_2, MEASURE_ABOVE_0),
+    _suffix_step(STEP_3, MEASURE_ABOVE_0),
+    _suffix_step(STEP_4, MEASURE_ABOVE_1),
+    _last_e,
+    _last_ll,
+]
+
+
+def with_stems(terms: DataFrame) -> DataFrame:
+    """``terms`` (term, ..) with their ``stem``. Words of one or two letters stay."""
+    word = F.regexp_replace("term", "([^aeiou])y", "$1Y")
+    found = terms.withColumn("stem", word)
+    for step in STEPS:
+        found = found.withColumn("stem", step(F.col("stem")))
+    short = F.length("term") < 3
+    return found.withColumn("stem", F.when(short, F.col("term")).otherwise(F.translate("stem", "Y", "y")))
 
 
 def stem_table(terms: DataFrame) -> DataFrame:
     """(term) -> (term, stem) of the distinct terms."""
-    return terms.select("term").distinct().withColumn("stem", porter_stems("term"))
+    return with_stems(terms.select("term").distinct())
