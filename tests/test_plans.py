@@ -53,9 +53,13 @@ def test_top_k_is_cut_before_the_shuffle(spark, capsys):
     built = index.build_index(docs)
     asked = spark.createDataFrame([("q", "red fox")], "id string, question string")
     terms = search.analyze_queries(asked, built)
-    plan = plan_of(search.bm25_topk(terms, built, 5), capsys)
-    cut = plan.index("Partial", plan.index("WindowGroupLimit", plan.index("Exchange")))
-    assert cut < plan.index("HashAggregate(keys=[id")
+    weighted = staged(search.weighted_query(terms, built), "weighted")
+    with search.cells_stay_together(spark):
+        plan = plan_of(search.top_k(search.direct_scores(weighted, built), 5), capsys)
+    # From the bottom of the plan to the join: the tables; above it: one exchange of the cut lists.
+    above = plan[: plan.index("ShuffledHashJoin")]
+    assert above.count("Exchange") == 1
+    assert above.index("WindowGroupLimit", above.index("Exchange")) < above.index("HashAggregate")
 
 
 def test_only_the_postings_of_asked_documents_are_shuffled(spark, capsys):

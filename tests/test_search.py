@@ -4,8 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tests.porter import porter_stem
 from typerank.operators import features, index, search
-from typerank.operators.stems import porter_stem
 from typerank.schemas import FEATURES, STOP_WORDS
 
 DOCS = [("d1", "red fox red"), ("d2", "fox"), ("d3", "blue whale fox fox"), ("d4", "the")]
@@ -117,6 +117,7 @@ def crowd():
 @pytest.mark.parametrize("k", [1, 10])
 def test_exact_top_k(spark, crowd, rows, plan, k, monkeypatch):
     monkeypatch.setattr(search, "SPLIT_ABOVE", 2)
+    monkeypatch.setattr(search, "PAIRS", 100)
     docs, asked = crowd
     built = index.build_index(spark.createDataFrame(docs, "doc_id string, catch_all string"))
     assert rows(search.retrieve(questions(spark, asked), built, k, plan)) == brute_force(
@@ -124,6 +125,20 @@ def test_exact_top_k(spark, crowd, rows, plan, k, monkeypatch):
     )
 
 
+def test_grid_follows_the_pairs(spark, monkeypatch):
+    docs = [(f"d{i:04}", f"hot x{i % 97}") for i in range(1000)]
+    built = index.build_index(spark.createDataFrame(docs, "doc_id string, catch_all string"))
+    terms = search.analyze_queries(questions(spark, [(f"q{i}", "hot") for i in range(50)]), built)
+    weighted = search.weighted_query(terms, built)
+    assert search.grid(weighted, built) == search.Grid(1, 1)
+    monkeypatch.setattr(search, "PAIRS", 1000)
+    # 50 cells; 2,000 postings and 50 terms, so rather more shards than blocks.
+    cells = search.grid(weighted, built)
+    assert cells.shards * cells.blocks >= 50 and cells.shards == 45
+    none = weighted.where("false")
+    assert search.grid(none, built) == search.Grid() and search.direct_scores(none, built).count() == 0
+
+
 def test_pruning_skips_frequent_terms(spark, crowd):
     """The frequent word must not bring all its documents into the scoring."""
     docs = [(f"d{i:04}", f"hot filler{i % 5} x{i % 97}") for i in range(1000)]

@@ -1,6 +1,17 @@
-"""Query analysis and exact BM25 top-k for whole tables of questions."""
+"""Query analysis and exact BM25 top-k for whole tables of questions.
 
-from pyspark.sql import Column, DataFrame
+The direct plan lays a grid over documents and queries: a cell holds the postings of one
+shard of the documents and the terms of one block of the queries. Both tables are shuffled
+once, to the cells; the join, the sums and the first cut to the best k run inside a cell,
+so matches, of which there may be nearly as many as pairs, are never shuffled. A cell has a
+bounded number of pairs whatever terms are frequent on either side.
+"""
+
+import contextlib
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,6 +35,8 @@ SPLIT_ABOVE = 10_000
 SHARDS = 64
 # Documents per query and k that are scored to find the floor of the pruned plan.
 SEEDS = 10
+# Pairs of a query and a document that a cell of the grid holds, about.
+PAIRS = 500_000
 
 
 def query_tokens(questions: DataFrame) -> DataFrame:
@@ -110,11 +123,69 @@ def _join_sharded(query: DataFrame, postings: DataFrame, index: Index) -> DataFr
     )
 
 
-def direct_scores(weighted: DataFrame, index: Index) -> DataFrame:
-    """(id, doc_id, score) of every document with any query term; both sides are
-    shuffled by term."""
-    pairs = _join_sharded(weighted, impacts(index), index)
-    return pairs.groupBy("id", "doc_id").agg(F.sum(contribution()).alias("score"))
+@dataclass(frozen=True)
+class Grid:
+    """Documents in ``shards``, queries in ``blocks``. Every posting is copied to each
+    block and every query term to each shard."""
+
+    shards: int = 1
+    blocks: int = 1
+
+
+def grid(weighted: DataFrame, index: Index) -> Grid:
+    """As many cells as the pairs need, in the proportion that copies the fewest rows."""
+    docs = index.field_stats.select("doc_count").first()[0]
+    postings = index.term_stats.agg(F.sum("df")).first()[0]
+    terms, queries = weighted.agg(F.count(F.lit(1)), F.count_distinct("id")).first()
+    if not postings or not terms:
+        return Grid()
+    cells = max(1, math.ceil(docs * queries / PAIRS))
+    shards = min(cells, docs, max(1, round(math.sqrt(cells * postings / terms))))
+    return Grid(shards, min(queries, math.ceil(cells / shards)))
+
+
+@contextlib.contextmanager
+def cells_stay_together(spark: SparkSession):
+    """Lets a join on (cell, term) run on tables that are partitioned by cell alone, and
+    sums by (cell, ..) after it; Spark exchanges them again by default."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def direct_scores(weighted: DataFrame, index: Index, cells: Grid | None = None) -> DataFrame:
+    """(id, doc_id, score) of every document with any query term, cell by cell.
+
+    Run it inside :func:`cells_stay_together`; outside the result is the same, with one
+    more exchange on either side.
+    """
+    cells = cells or grid(weighted, index)
+    spark = weighted.sparkSession
+    # With fewer than the default the planner would choose a partitioning of its own.
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def part(column: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(n))
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    cell = (F.col("shard") * cells.blocks + F.col("block")).alias("cell")
+    asked = weighted.select("id", "term", "weight", part("id", cells.blocks).alias("block"), every(cells.shards).alias("shard"))
+    asked = asked.select("id", "term", "weight", cell).repartition(tasks, "cell")
+    postings = impacts(index).join(weighted.select("term").distinct(), "term", "left_semi")
+    postings = postings.withColumn("shard", part("doc_id", cells.shards)).withColumn("block", every(cells.blocks))
+    postings = postings.select("doc_id", "term", "impact", cell).repartition(tasks, "cell")
+    return (
+        postings.join(asked.hint("shuffle_hash"), ["cell", "term"])
+        .groupBy("cell", "id", "doc_id")
+        .agg(F.sum(contribution()).alias("score"))
+        .select("id", "doc_id", "score")
+    )
 
 
 def looked_up(pairs: DataFrame, query: DataFrame, postings: DataFrame, name: str) -> DataFrame:
@@ -211,9 +282,8 @@ def scores(query_terms: DataFrame, index: Index, k: int, plan: str = "direct") -
     """(id, doc_id, score) with at least the ``k`` best documents of each query.
 
     'direct' scores all documents with a query term, 'pruned' only those that can be
-    among the best; both are exact, at every size. The weighted terms are stored first:
-    a term may occur in a third of all queries, and a stored join side lets the adaptive
-    planner split it.
+    among the best; both are exact, at every size. The weighted terms are stored first,
+    since both plans read them several times.
     """
     weighted = staged(weighted_query(query_terms, index), "weighted")
     if plan == "direct":
@@ -224,8 +294,9 @@ def scores(query_terms: DataFrame, index: Index, k: int, plan: str = "direct") -
 def bm25_topk(
     query_terms: DataFrame, index: Index, k: int = BASELINE_DEPTH, plan: str = "direct"
 ) -> DataFrame:
-    """(id, rank, doc_id, score): the ``k`` best documents of each query."""
-    return top_k(scores(query_terms, index, k, plan), k)
+    """(id, rank, doc_id, score): the ``k`` best documents of each query, stored."""
+    with cells_stay_together(query_terms.sparkSession):
+        return staged(top_k(scores(query_terms, index, k, plan), k), "hits")
 
 
 def retrieve(
@@ -245,9 +316,13 @@ def first_pass(
 def multi_field_topk(
     query_terms: dict[str, DataFrame], indexes: dict[str, Index], k: int = FIRST_PASS_DEPTH
 ) -> DataFrame:
-    """Retrieval over several fields: a document scores its best field."""
+    """Retrieval over several fields: a document scores its best field.
+
+    A document among the ``k`` best is so in its best field as well, so each field needs
+    to give its ``k`` best only.
+    """
     per_field = None
     for field, index in indexes.items():
-        hits = scores(query_terms[field], index, k)
+        hits = bm25_topk(query_terms[field], index, k).drop("rank")
         per_field = hits if per_field is None else per_field.unionByName(hits)
     return top_k(per_field.groupBy("id", "doc_id").agg(F.max("score").alias("score")), k)
