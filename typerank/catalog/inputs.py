@@ -209,7 +209,7 @@ def categorized_documents(spark: SparkSession, sf: str) -> DataFrame:
     return as_questions(texts(spark, sf, "documents", "doc_id"))
 
 
-def as_questions(documents: DataFrame) -> DataFrame:
+def as_questions(documents: DataFrame, *keep: str) -> DataFrame:
     category = category_of("lang")
     types = (
         F.when(category == "boolean", F.array(F.lit("boolean")))
@@ -222,6 +222,7 @@ def as_questions(documents: DataFrame) -> DataFrame:
         category.alias("category"),
         types.alias("type"),
         F.col("doc_id").alias("ord"),
+        *keep,
     )
 
 
@@ -231,6 +232,13 @@ def train_documents(spark: SparkSession, sf: str) -> DataFrame:
     return as_questions(texts(spark, sf, "documents", "doc_id").join(labels, "doc_id", "left_semi"))
 
 
+def marked_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document as a labelled question, with ``annotated``: in the training set."""
+    labels = table(spark, sf, "labels").select("doc_id").distinct().withColumn("annotated", F.lit(True))
+    documents = texts(spark, sf, "documents", "doc_id").join(labels, "doc_id", "left")
+    return as_questions(documents.withColumn("annotated", F.coalesce("annotated", F.lit(False))), "annotated")
+
+
 def unseen_documents(spark: SparkSession, sf: str) -> DataFrame:
     """The documents that the training set lacks."""
     labels = table(spark, sf, "labels").select("doc_id")

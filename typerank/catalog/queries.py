@@ -361,14 +361,12 @@ def term_counts(spark, sf):
 @query
 def count_features(spark, sf):
     """Counts of all documents over the vocabulary of the training set."""
-    train, every = inputs.train_documents(spark, sf), inputs.categorized_documents(spark, sf)
-    return classify.extract_features(train, every, tfidf_weights=False)[1]
+    return classify.features_over(inputs.marked_documents(spark, sf), "annotated", tfidf_weights=False)
 
 
 @query
 def tfidf_l2(spark, sf):
-    train, every = inputs.train_documents(spark, sf), inputs.categorized_documents(spark, sf)
-    return rounded(classify.extract_features(train, every)[1], "weight")
+    return rounded(classify.features_over(inputs.marked_documents(spark, sf), "annotated"), "weight")
 
 
 @query
@@ -379,8 +377,7 @@ def nb_model(spark, sf):
 
 @query
 def nb_predict(spark, sf):
-    model = classify.nb_fit(inputs.train_documents(spark, sf))
-    found = classify.nb_predict(model, inputs.categorized_documents(spark, sf))
+    found = classify.nb_predict_together(inputs.marked_documents(spark, sf), "annotated")
     return rounded(found, "score", digits=3)
 
 
@@ -517,8 +514,7 @@ def evaluation_diagnostics(spark, sf):
 
 
 def _predicted(spark, sf):
-    train, test = inputs.train_documents(spark, sf), inputs.categorized_documents(spark, sf)
-    return staged(runs.categories(train, test, svm=False), "categories")
+    return staged(runs.categories_together(inputs.marked_documents(spark, sf), "annotated"), "categories")
 
 
 def _baseline(spark, sf):

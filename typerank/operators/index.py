@@ -119,7 +119,33 @@ def build_index(
 
 def build_index_from_pieces(pieces: DataFrame, path: str | None = None, stem: bool = False) -> Index:
     """Index of the type documents that ``pieces`` (type, piece) make up."""
-    counts = staged(piece_postings(pieces.where("type <> ''")), "piece-postings")
+    return _index_of_counts(piece_postings(pieces.where("type <> ''")), path, stem)
+
+
+def build_index_from_entities(
+    type_entity: DataFrame, abstracts: DataFrame, path: str | None = None, stem: bool = False
+) -> Index:
+    """Index of the type documents that the abstracts (entity, abstract) of the listed
+    entities (entity, type) make up.
+
+    Each abstract is tokenized once, however many types list its entity, and stored, so
+    that an entity in a third of all rows is split by the adaptive planner.
+    """
+    words = abstracts.select("entity", index_tokens(F.col("abstract")).alias("tokens"))
+    words = staged(words.where(F.size("tokens") > 0), "words")
+    counts = (
+        type_entity.where("type <> ''")
+        .join(words, "entity")
+        .select(F.col("type").alias("doc_id"), F.explode("tokens").alias("term"))
+        .groupBy("doc_id", "term")
+        .agg(F.count(F.lit(1)).alias("tf"))
+    )
+    return _index_of_counts(counts, path, stem)
+
+
+def _index_of_counts(counts: DataFrame, path: str | None, stem: bool) -> Index:
+    """Index from (doc_id, term, tf); the few lengths are stored and joined by size."""
+    counts = staged(counts, "piece-postings")
     lengths = staged(counts.groupBy("doc_id").agg(F.sum("tf").alias("dl")), "lengths")
     postings = counts.join(lengths, "doc_id").select("doc_id", "term", "tf", "dl")
     return _stored_index(postings, path, stem)
