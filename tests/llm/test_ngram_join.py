@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import prose
 from tests.llm.test_pairs import DOCS, grouped, shingles, words
@@ -57,7 +58,8 @@ def test_chains_are_linked_beyond_the_hubs(table):
 
 def test_a_large_cluster_in_blocks(table, monkeypatch):
     """Neighbours in several blocks; most are not similar to the hubs."""
-    monkeypatch.setattr(ngram_join, "BLOCK", 7)
+    monkeypatch.setattr(ngram_join, "BLOCK", 600)
+    monkeypatch.setattr(ngram_join, "COLUMNS", 64)
     rng = random.Random(1)
     base = words(prose(rng, 90))
     rows = []
@@ -69,24 +71,29 @@ def test_a_large_cluster_in_blocks(table, monkeypatch):
     assert found(table, rows, SMALL) == expected(rows)
 
 
-def test_blocks_lose_no_link_and_discard_below_the_bound(spark):
+def test_block_products_link_the_components(spark):
     rng = random.Random(5)
     rows = []
     for i in range(60):
         w = words(prose(random.Random(i // 20), 150))
-        for _ in range(rng.randint(0, 14)):
+        for _ in range(rng.randint(0, 8)):
             w[rng.randrange(len(w))] = f"new{i}"
         rows.append((i, " ".join(w)))
     p = ngram_join.Join()
     docs = spark.createDataFrame(rows, "id long, text string")
     classes = staged(ngram_join.matrix_rows(docs, p, chosen=True).withColumnRenamed("id", "node"), "classes")
-    mixed = ngram_join.heads(classes, p).selectExpr("*", "node AS component")
-    pairs = {tuple(r) for r in ngram_join.block_products(ngram_join.patches(mixed), p).collect()}
+    full = ngram_join.full_rows(docs.withColumnRenamed("id", "node"), p)
     sets = [shingles(t, 3) for _, t in rows]
-    alike = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i, j in itertools.combinations(range(60), 2)}
-    similar = {x for x, s in alike.items() if s >= 0.9}
-    assert similar and similar <= pairs
-    assert len(pairs) < sum(s > 0.5 for s in alike.values())
+    similar = {
+        (i, j) for i, j in itertools.combinations(range(60), 2)
+        if 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j])
+    }
+    for group in (1, 5):
+        mixed = ngram_join.heads(classes, p).withColumn("component", F.col("node") - F.col("node") % group)
+        blocks = ngram_join.patches(mixed, full)
+        pairs = {tuple(sorted(r)) for r in ngram_join.block_products(blocks, p).collect()}
+        between = {(i // group, j // group) for i, j in similar if i // group != j // group}
+        assert pairs <= similar and {(i // group, j // group) for i, j in pairs} == between
 
 
 def test_rows_without_a_partner_have_no_head(spark):

@@ -168,7 +168,6 @@ def set_digest(hashes: np.ndarray) -> bytes:
 def with_set_hash(rows: DataFrame, width: int) -> DataFrame:
     """``rows`` (.., text) with ``set_hash``, the name of the set of lower-cased shingles."""
 
-    @F.arrow_udf("binary")
     def named(texts: pa.Array) -> pa.Array:
         out = []
         for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text", 1 << 20):
@@ -176,7 +175,9 @@ def with_set_hash(rows: DataFrame, width: int) -> DataFrame:
             out += [set_digest(np.unique(hashes[i:j])) for i, j in zip(bounds, bounds[1:])]
         return pa.array(out, pa.binary())
 
-    return rows.withColumn("set_hash", named("text"))
+    # Else a filter on the result is pushed below other steps, and it is worked out twice.
+    once = F.arrow_udf(named, "binary").asNondeterministic()
+    return rows.withColumn("set_hash", once("text"))
 
 
 def class_texts(classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -185,12 +186,15 @@ def class_texts(classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     The texts of the ids are looked up, in one exchange at most; an id that repeats with
     other texts is told by the set hash, and repeated rows are reduced before the shuffle.
     """
-    wanted = classes.select("node", "set_hash", F.col("id").alias("of"))
+    # Stored, so that few of them are sent to the texts.
+    wanted = staged(classes.select("node", "set_hash", F.col("id").alias("of")), "wanted")
     mine = docs.join(wanted.select(F.col("of").alias("id")).distinct(), "id", "left_semi")
     if wanted.where("of IS NULL").limit(1).count():
         mine = mine.union(docs.where("id IS NULL"))
     found = with_set_hash(mine.select("text"), width).join(wanted, "set_hash")
-    return staged(found.groupBy("node").agg(F.min("text").alias("text")), "class-texts")
+    texts = staged(found.groupBy("node").agg(F.min("text").alias("text")), "class-texts")
+    dropped(wanted)
+    return texts
 
 
 def connected(links: DataFrame) -> DataFrame:

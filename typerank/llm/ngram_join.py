@@ -7,19 +7,17 @@ transpose holds the overlaps of all pairs. Sizes bound what has to be multiplied
   m = n - ceil(t n) of its grams there. So of any chosen columns it may own at most m that
   no other document has, else it has no partner; and among its m + 1 rarest chosen columns
   (its head) at least one also is in the head of the partner.
-* Two heads share at least ceil(t (n1 + n2) / (1 + t)) + min(h1 - n1, h2 - n2) columns,
-  where h are their lengths.
+* Similar documents have at least ceil(t (n1 + n2) / (1 + t)) grams in common.
 
 For longer documents one column in ``every`` is chosen, by hash; that no common gram of a
 similar pair is chosen has a probability below 1e-13. Sets that are equal are one row.
 
-The product over the heads is not expanded where it need not be: the rows of a column are
+The product is not expanded where it need not be: the rows of a column of the heads are
 first multiplied with one of them, then with a second, and links found so far join rows into
 components. What remains are columns that hold several components. They are gathered into
-patches (columns with the same first row), whose rows are dealt into blocks; pairs of blocks
-are multiplied, overlaps of rows of different components are added up over the columns of
-the patch, and pairs below the bound are discarded. Every pair left is confirmed by the
-overlap of the full rows.
+patches (columns with the same first row), whose full rows are dealt into blocks; pairs of
+blocks are multiplied, overlaps are added up column block by column block, and pairs below
+the bound of their sizes are discarded. Of the links between two components one is kept.
 """
 
 from collections.abc import Iterator
@@ -33,8 +31,8 @@ from pyspark.sql import functions as F
 
 from typerank.llm.common import Words, class_texts, dropped, joined_components, set_digest, slices, staged
 
-#: Rows of a patch that are multiplied as one block, and columns multiplied at a time.
-BLOCK, COLUMNS = 256, 4096
+#: Grams of the rows that are multiplied as one block, about, and columns at a time.
+BLOCK, COLUMNS = 1 << 17, 4096
 
 
 @dataclass(frozen=True)
@@ -95,11 +93,10 @@ def matrix_rows(docs: DataFrame, p: Join, chosen: bool = False) -> DataFrame:
 
 
 def heads(classes: DataFrame, p: Join) -> DataFrame:
-    """(part, gram, node, n, h) of the columns in the heads of the rows, staged.
+    """(part, gram, node, n) of the columns in the heads of the rows, staged.
 
-    ``part`` is a row and a kind of columns, ``h`` the length of the head with the columns
-    that no other row has, which are left out. ``classes``: (node, n, dense, sampled),
-    stored.
+    ``part`` is a row and a kind of columns. Columns that no other row has are left out.
+    ``classes``: (node, n, dense, sampled), stored.
     Each gram is counted once and looked up once; a gram that most rows have is added up
     before the shuffle and split by the planner in the look-up.
     """
@@ -127,12 +124,10 @@ def heads(classes: DataFrame, p: Join) -> DataFrame:
         F.count(F.lit(1)).over(own).alias("shared"),
     )
     # The head holds the m + 1 rarest columns; those with one row come first.
-    found = staged(placed.where("place <= shared - slack").select("part", "gram", "slack"), "heads")
+    found = staged(placed.where("place <= shared - slack").select("part", "gram"), "heads")
     sizes = classes.select("node", "n")
-    rows = found.withColumn("node", F.shiftright("part", 1)).join(sizes, "node").select(
-        "part", "gram", "node", "n", (m + 1 + F.least("slack", F.lit(0))).alias("h")
-    )
-    rows = staged(rows, "head-rows")
+    rows = found.withColumn("node", F.shiftright("part", 1)).join(sizes, "node")
+    rows = staged(rows.select("part", "gram", "node", "n"), "head-rows")
     dropped(shared, found)
     return rows
 
@@ -179,41 +174,82 @@ def multiplied(pairs: DataFrame, texts: DataFrame, p: Join) -> DataFrame:
     return staged(joined.mapInArrow(run, "a long, b long"), "links")
 
 
-def patches(mixed: DataFrame) -> DataFrame:
-    """(patch, block, lo, hi, rows) of ``mixed`` (gram, part, node, n, h, component), staged.
+def full_rows(texts: DataFrame, p: Join) -> DataFrame:
+    """(node, grams): all grams of each text (node, text), in order, staged."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for whole in batches:
+            for batch in slices(whole, "text", 1 << 20):
+                hashes, bounds = Words(batch.column("text"), lower=True).shingles(p.width)
+                rows = [np.unique(hashes[i:j]).view(np.int64) for i, j in zip(bounds, bounds[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node"), pa.array(rows, pa.list_(pa.int64()))], ["node", "grams"]
+                )
+
+    return staged(texts.select("node", "text").mapInArrow(run, "node long, grams array<long>"), "full-rows")
+
+
+def patches(mixed: DataFrame, full: DataFrame) -> DataFrame:
+    """(patch, block, lo, hi, rows) of ``mixed`` (gram, part, node, n, component), staged.
 
     A patch is the columns with the same smallest row. Its rows are dealt into blocks by
-    component, and those of a large component among further blocks; ``rest`` is the number
-    of columns that a row has in other patches.
+    component, and those of a large component among further blocks, by the number of
+    their grams, so that a block has a bounded size unless a single row exceeds it.
     """
     patch = staged(mixed.groupBy("gram").agg(F.min("part").alias("patch")), "patch-of")
-    entries = mixed.join(patch, "gram")
-    rows = entries.groupBy("patch", "part", "node", "n", "h", "component").agg(
-        F.collect_list("gram").alias("grams")
+    rows = mixed.join(patch, "gram").groupBy("patch", "node").agg(
+        F.first("n").alias("n"), F.first("component").alias("component")
     )
     rows = staged(rows, "patch-rows")
-    total = staged(rows.groupBy("part").agg(F.sum(F.size("grams")).alias("total")), "totals")
-    sizes = rows.groupBy("patch", "component").agg(F.count(F.lit(1)).alias("alike"))
+    sizes = rows.groupBy("patch", "component").agg(F.sum("n").alias("alike"))
     whole = sizes.groupBy("patch").agg(F.sum("alike").alias("k"))
     sizes = staged(sizes.join(whole, "patch"), "sizes")
-    dealt = rows.join(total, "part").join(sizes, ["patch", "component"])
     block = F.struct(
         F.pmod(F.xxhash64("component"), F.ceil(F.col("k") / BLOCK)).alias("one"),
         F.pmod(F.xxhash64("node"), F.ceil(F.col("alike") / BLOCK)).alias("two"),
     )
-    row = F.struct("node", "n", "h", "component", (F.col("total") - F.size("grams")).alias("rest"), "grams")
-    blocks = dealt.groupBy("patch", block.alias("block")).agg(
+    dealt = rows.join(sizes, ["patch", "component"]).withColumn("block", block)
+    row = F.struct("node", "n", "component", "grams")
+    blocks = dealt.join(full, "node").groupBy("patch", "block").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.collect_list(row).alias("rows")
     )
     blocks = staged(blocks, "blocks")
-    dropped(patch, rows, total, sizes)
+    dropped(patch, rows, sizes)
     return blocks
 
 
+def _overlaps(g1: np.ndarray, at1: np.ndarray, k1: int, g2: np.ndarray, at2: np.ndarray, k2: int) -> np.ndarray:
+    """Product (k1 x k2) of two blocks of rows, given as (gram, row) each, added up over
+    blocks of the columns that both have."""
+    common = np.intersect1d(g1, g2)
+    overlap = np.zeros((k1, k2), dtype=np.float32)
+    if not len(common):
+        return overlap
+    found = []
+    for g, at in ((g1, at1), (g2, at2)):
+        to = np.minimum(np.searchsorted(common, g), len(common) - 1)
+        there = common[to] == g
+        found.append((to[there], at[there]))
+    for low in range(0, len(common), COLUMNS):
+        width = min(COLUMNS, len(common) - low)
+        parts = []
+        for (to, at), k in zip(found, (k1, k2)):
+            use = (to >= low) & (to < low + width)
+            part = np.zeros((k, width), dtype=np.float32)
+            part[at[use], to[use] - low] = 1
+            parts.append(part)
+        overlap += parts[0] @ parts[1].T
+    return overlap
+
+
 def block_products(blocks: DataFrame, p: Join) -> DataFrame:
-    """Pairs (a, b) of rows of different components whose overlap in the heads may reach
-    the bound. Each pair of blocks of a patch is multiplied once, by its own task or row;
-    two blocks of one and the same component are not."""
+    """Links (a, b) between rows of different components: of each pair of blocks, one link
+    for each two components that any of its links join.
+
+    Each pair of blocks of a patch is multiplied once, two blocks of one and the same
+    component not at all. The pairs are dealt out by their own key, so the blocks of a
+    large patch do not meet in one task.
+    """
     names = blocks.select("patch", "block", "lo", "hi")
     others = names.select("patch", *(F.col(c).alias(f"{c}2") for c in ("block", "lo", "hi")))
     met = names.join(others, "patch").where("block <= block2").where(
@@ -225,42 +261,31 @@ def block_products(blocks: DataFrame, p: Join) -> DataFrame:
 
     def read(cell):
         rows = cell.values
-        node, n, h, component, rest = (rows.field(i).to_numpy(zero_copy_only=False) for i in range(5))
-        grams = rows.field(5)
-        size = np.diff(grams.offsets.to_numpy())
-        return node, n.astype(np.int64), h, component, rest, grams.flatten().to_numpy(), np.repeat(np.arange(len(node)), size)
+        node, n, component = (rows.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+        size = np.diff(rows.field(3).offsets.to_numpy())
+        return node, n.astype(np.int64), component, rows.field(3).flatten().to_numpy(), np.repeat(np.arange(len(node)), size)
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for i in range(batch.num_rows):
-                node1, n1, h1, c1, rest1, g1, of1 = read(batch.column("one")[i])
-                node2, n2, h2, c2, rest2, g2, of2 = read(batch.column("two")[i])
-                common = np.intersect1d(g1, g2)
-                overlap = np.zeros((len(node1), len(node2)), dtype=np.float32)
-                at1, at2 = (np.minimum(np.searchsorted(common, g), max(len(common) - 1, 0)) for g in (g1, g2))
-                in1, in2 = (common[at] == g if len(common) else np.zeros(len(g), bool) for at, g in ((at1, g1), (at2, g2)))
-                for low in range(0, len(common), COLUMNS):
-                    parts = []
-                    for of, at, there, size in ((of1, at1, in1, len(node1)), (of2, at2, in2, len(node2))):
-                        use = there & (at >= low) & (at < low + COLUMNS)
-                        part = np.zeros((size, min(COLUMNS, len(common) - low)), dtype=np.float32)
-                        part[of[use], at[use] - low] = 1
-                        parts.append(part)
-                    overlap += parts[0] @ parts[1].T
-                bound = p.overlap(n1[:, None], n2) + np.minimum((h1 - n1)[:, None], h2 - n2)
-                most = overlap + np.minimum(rest1[:, None], rest2)
-                size = 100 * np.minimum(n1[:, None], n2) >= p.percent * np.maximum(n1[:, None], n2)
-                x, y = np.nonzero((overlap > 0) & (most >= bound) & size & (c1[:, None] != c2))
-                if len(x):
-                    pairs = np.unique(np.sort(np.stack([node1[x], node2[y]]), axis=0), axis=1)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+                node1, n1, c1, g1, at1 = read(batch.column("one")[i])
+                node2, n2, c2, g2, at2 = read(batch.column("two")[i])
+                overlap = _overlaps(g1, at1, len(node1), g2, at2, len(node2))
+                x, y = np.nonzero((overlap >= p.overlap(n1[:, None], n2)) & (c1[:, None] != c2))
+                if not len(x):
+                    continue
+                joined = np.sort(np.stack([c1[x], c2[y]]), axis=0)
+                _, first = np.unique(joined, axis=1, return_index=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node1[x[first]]), pa.array(node2[y[first]])], ["a", "b"]
+                )
 
     spread = met.join(one, ["patch", "block"]).join(two, ["patch", "block2"])
     return spread.select("one", "two").mapInArrow(run, "a long, b long")
 
 
 def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The ``members`` (gram, part, node, n, h) of the columns that hold several components,
+    """The ``members`` (gram, part, node, n) of the columns that hold several components,
     with their component and a row of the column as ``hub``, staged."""
     at = members.join(labels.withColumnRenamed("id", "node"), "node", "left")
     at = staged(at.withColumn("component", F.coalesce("component", "node")), "at")
@@ -302,12 +327,11 @@ def components(classes: DataFrame, docs: DataFrame, p: Join) -> DataFrame:
     dropped(mixed)
     labels = linked(second, labels)
     mixed = _mixed(members, labels)
-    blocks = patches(mixed.drop("hub"))
-    rest = block_products(blocks, p).distinct().join(first.union(second), ["a", "b"], "left_anti")
-    rest = staged(rest, "pairs")
-    dropped(mixed, blocks)
-    labels = linked(rest, labels)
-    dropped(members, texts, first, second, rest)
+    full = full_rows(texts.join(mixed.select("node").distinct(), "node", "left_semi"), p)
+    blocks = patches(mixed.drop("hub"), full)
+    found = staged(block_products(blocks, p), "links")
+    labels = joined_components(labels, found)
+    dropped(mixed, full, blocks, found, members, texts, first, second)
     return labels
 
 
