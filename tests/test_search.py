@@ -208,6 +208,43 @@ def test_later_loads_replace_earlier_ones(spark, rows):
     assert index.build_index(same.where("doc_id = 'd2'")).doc_stats.count() == 1
 
 
+@pytest.mark.parametrize("stem", [False, True])
+def test_upsert_equals_a_full_rebuild(spark, rows, stem, tmp_path, monkeypatch):
+    schema = "doc_id string, catch_all string"
+    old = [("a", "red fox running"), ("b", "blue ponies"), ("c", "grey pony fox"), ("d", "the")]
+    load = [("b", "green foxes run run"), ("c", "the of"), ("e", "zebra fox"), ("d", "now ponies"), ("f", None)]
+    built = index.build_index(spark.createDataFrame(old, schema), stem=stem)
+    seen = []
+    postings = index.document_postings
+    monkeypatch.setattr(index, "document_postings", lambda d, t: seen.append(rows(d.select("doc_id"))) or postings(d, t))
+    path = str(tmp_path / "new")
+    got = index.upsert(built, spark.createDataFrame(load, schema), path)
+    # Only the loaded documents are tokenized.
+    assert seen == [sorted((d,) for d, _ in load)]
+    monkeypatch.undo()
+    merged = spark.createDataFrame(list({**dict(old), **dict(load)}.items()), schema)
+    want = index.build_index(merged, stem=stem)
+    for name in ("postings", "term_stats", "doc_stats", "field_stats"):
+        assert rows(getattr(got, name)) == rows(getattr(want, name)), name
+    loaded = index.load_index(spark, path, stem=stem)
+    assert rows(loaded.postings) == rows(got.postings)
+    asked = questions(spark, [("q", "running fox pony")])
+    assert rows(search.retrieve(asked, loaded)) == rows(search.retrieve(asked, want))
+    # The former index still answers.
+    assert {r.doc_id for r in built.doc_stats.collect()} == {"a", "b", "c"}
+
+
+def test_later_rows_of_a_load_win_and_all_documents_can_go(spark, rows):
+    schema = "doc_id string, catch_all string, n int"
+    built = index.build_index(spark.createDataFrame([("a", "red", 0)], schema))
+    twice = spark.createDataFrame([("a", "blue blue", 1), ("a", "green", 2)], schema)
+    got = index.upsert(built, twice, order="n")
+    assert rows(got.postings) == [("a", "green", 1, 1)] and rows(got.term_stats) == [("green", 1)]
+    gone = index.upsert(got, spark.createDataFrame([("a", "", 3)], schema), order="n")
+    assert gone.postings.count() == gone.term_stats.count() == gone.doc_stats.count() == 0
+    assert rows(gone.field_stats) == [(0, None)]
+
+
 def test_postings_of_pieces_equal_those_of_the_text(spark, rows):
     pieces = [("t", i, f"w{i % 7} Fox's the{' red' * (i % 3)}" if i % 5 else None) for i in range(60)]
     pieces += [("empty", 60, ""), ("u", 61, "blue")]

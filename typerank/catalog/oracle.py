@@ -636,6 +636,15 @@ FROM parsed_parts""",
         *postings("loads"),
         select="SELECT p.*, round(avgdl, 6) AS avgdl FROM postings p, field_stats",
     ),
+    "index_upserted": with_(
+        """loaded AS (
+  SELECT page_id::VARCHAR AS doc_id, html AS catch_all FROM pages
+  UNION ALL
+  SELECT doc_id::VARCHAR, text FROM documents WHERE doc_id NOT IN (SELECT page_id FROM pages))""",
+        *postings("loaded"),
+        select="""SELECT doc_id, term, tf, dl, df, dl AS doc_length, round(avgdl, 6) AS avgdl, doc_count
+FROM postings JOIN term_stats USING (term), field_stats""",
+    ),
     "index_documents": """SELECT lang || '/' || source AS doc_id,
        arg_max(text, doc_id) AS catch_all
 FROM documents GROUP BY lang, source""",

@@ -102,6 +102,21 @@ def index_reloaded(spark, sf):
     return built.postings.select("doc_id", "term", "tf", "dl", average.alias("avgdl"))
 
 
+@query
+def index_upserted(spark, sf):
+    """The index of the documents after a load of the pages, which replace the documents
+    that have their ids."""
+    pages = inputs.texts(spark, sf, "pages", "page_id").select(
+        F.col("page_id").cast("string").alias("doc_id"), F.col("html").alias("catch_all")
+    )
+    built = index.upsert(inputs.corpus_index(spark, sf), pages, unique=True)
+    average = F.round(built.field_stats.select("avgdl").scalar(), 6).alias("avgdl")
+    n = built.field_stats.select("doc_count").scalar().alias("doc_count")
+    rows = built.postings.join(built.term_stats, "term")
+    rows = rows.join(built.doc_stats.withColumnRenamed("dl", "doc_length"), "doc_id")
+    return rows.select("doc_id", "term", "tf", "dl", "df", "doc_length", average, n)
+
+
 # Text
 
 

@@ -110,13 +110,79 @@ def build_index(
     ``order``, else in reading order, is indexed. ``unique`` says that no id repeats,
     which spares the shuffle of the texts.
     """
-    if not unique:
-        at = F.col(order) if order else F.monotonically_increasing_id()
-        loads = documents.select("doc_id", text, at.alias("load"))
-        documents = last_per_key(loads, "doc_id", "load")
+    documents = _last_loads(documents, text, unique, order)
     return _stored_index(document_postings(documents, text), path, stem)
 
 
+def _last_loads(documents: DataFrame, text: str, unique: bool, order: str | None) -> DataFrame:
+    if unique:
+        return documents.select("doc_id", text)
+    at = F.col(order) if order else F.monotonically_increasing_id()
+    return last_per_key(documents.select("doc_id", text, at.alias("load")), "doc_id", "load")
+
+
+def upsert(
+    index: Index,
+    documents: DataFrame,
+    path: str | None = None,
+    text: str = "catch_all",
+    unique: bool = False,
+    order: str | None = None,
+) -> Index:
+    """``index`` after a further load of ``documents`` (doc_id, text), in the folder
+    ``path``; the tables of ``index`` stay as they are until the caller deletes them.
+
+    A document replaces the stored one of its id; one without any token removes it. Only
+    the loaded texts are tokenized, and in a stemmed index only new terms are stemmed. The
+    postings of other documents are copied; document frequencies and the statistics of the
+    field are corrected by what comes and goes. The ids of a load are stored, so few of
+    them are sent to the postings and many are shuffled.
+    """
+    spark = documents.sparkSession
+    path = path or new_folder(spark, "index")
+    documents = _last_loads(documents, text, unique, order)
+    ids = staged(documents.select("doc_id").distinct(), "loaded-ids")
+    coming = staged(document_postings(documents, text), "coming")
+    stems = index.stems
+    if stems is not None:
+        new = stem_table(coming.join(stems, "term", "left_anti"))
+        stems = _store(stems.unionByName(new), f"{path}/stems")
+        coming = staged(stemmed_postings(coming, stems), "coming")
+    going = staged(index.postings.join(ids, "doc_id", "left_semi"), "going")
+    kept = index.postings.join(ids, "doc_id", "left_anti")
+    postings = _store(kept.unionByName(coming), f"{path}/postings")
+    changed = [
+        index.term_stats,
+        coming.select("term", F.lit(1).cast("bigint").alias("df")),
+        going.select("term", F.lit(-1).cast("bigint").alias("df")),
+    ]
+    counts = changed[0].unionByName(changed[1]).unionByName(changed[2])
+    counts = counts.groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
+    term_stats = _store(counts, f"{path}/term_stats")
+    lengths = index.doc_stats.join(ids, "doc_id", "left_anti")
+    new_lengths = coming.select("doc_id", "dl").distinct()
+    doc_stats = _store(lengths.unionByName(new_lengths), f"{path}/doc_stats")
+    field_stats = _store(_corrected(index.field_stats, new_lengths, going), f"{path}/field_stats")
+    return Index(postings, term_stats, doc_stats, field_stats, stems)
+
+
+def _corrected(field_stats: DataFrame, coming: DataFrame, going: DataFrame) -> DataFrame:
+    """Field statistics after documents (doc_id, dl) came and others went."""
+    total = F.round(F.col("doc_count") * F.col("avgdl"))
+    parts = field_stats.select("doc_count", total.alias("total"))
+    parts = parts.unionByName(coming.select(F.lit(1).alias("doc_count"), F.col("dl").alias("total")))
+    gone = going.select("doc_id", "dl").distinct()
+    parts = parts.unionByName(gone.select(F.lit(-1).alias("doc_count"), (-F.col("dl")).alias("total")))
+    n = F.sum("doc_count")
+    average = F.when(n > 0, F.sum("total") / n)
+    return parts.agg(n.alias("doc_count"), average.alias("avgdl"))
+
+
+def _store(table: DataFrame, path: str) -> DataFrame:
+    table.write.mode("overwrite").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def build_index_from_pieces(pieces: DataFrame, path: str | None = None, stem: bool = False) -> Index:
     """Index of the type documents that ``pieces`` (type, piece) make up."""
     return _index_of_counts(piece_postings(pieces.where("type <> ''")), path, stem)
@@ -161,8 +227,7 @@ def _stored_index(surface: DataFrame, path: str | None, stem: bool) -> Index:
     path = path or new_folder(spark, "index")
 
     def stored(table: DataFrame, name: str) -> DataFrame:
-        table.write.mode("overwrite").parquet(f"{path}/{name}")
-        return spark.read.schema(table.schema).parquet(f"{path}/{name}")
+        return _store(table, f"{path}/{name}")
 
     stems = None
     if stem:
