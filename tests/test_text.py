@@ -104,6 +104,22 @@ def test_porter_stem(word, stem):
     assert porter_stem(word) == stem
 
 
+@pytest.mark.parametrize(
+    "line,tokens",
+    [
+        ("O'Neil's 3.14 U.S. dollars", ["o'neil", "3.14", "u.s", "dollars"]),
+        ("1,000,000; 2;5 a,b c;d", ["1,000,000", "2;5", "a", "b", "c", "d"]),
+        ("fig.1 1.a v2.0 2.0v x_1.y", ["fig", "1", "1", "a", "v2.0", "2.0v", "x_1", "y"]),
+        ("U.S.A. a.b.c.d.e end. 'quoted' it's", ["u.s.a", "a.b.c.d.e", "end", "quoted", "it"]),
+        ("Obama’s d’Artagnan’s S.'s 1990's 's", ["obama", "d’artagnan", "s", "s", "1990", "s", "s"]),
+        ("class s ship it's.fine x's' y'S-z", ["class", "s", "ship", "it's.fine", "x", "y", "z"]),
+        ("", []),
+    ],
+)
+def test_word_breaks(spark, line, tokens):
+    assert value(spark, line, text.word_tokens(F.col("t"))) == tokens
+
+
 def test_stem_expressions_equal_a_plain_stemmer(spark):
     rng = random.Random(1)
     ends = [r.split(":")[0] for x in (STEP_2, STEP_3, STEP_4) for r in x.split()]

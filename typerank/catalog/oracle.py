@@ -1,6 +1,6 @@
 """The same results in SQL, on the same tables, for checking the queries."""
 
-from typerank.functions.text import LONG_WORD, POSSESSIVE, SPACES, TAG, WORD
+from typerank.functions.text import LONG_WORD, SPACES, TAG
 from typerank.operators.stems import STEP_2, STEP_3, STEP_4
 from typerank.schemas import (
     BM25_B,
@@ -47,9 +47,25 @@ def vectorizer_tokens(text: str) -> str:
     return f"regexp_extract_all(lower({preprocess(text)}), {literal(LONG_WORD)})"
 
 
+# What stays inside a word between two letters, and between two digits; each is replaced by a
+# character of private use before the words are cut out.
+BETWEEN_LETTERS = "'.‘’＇"
+BETWEEN_DIGITS = BETWEEN_LETTERS + ",;"
+MARKS = "".join(chr(0xE000 + i) for i in range(len(BETWEEN_DIGITS)))
+
+
 def word_tokens(text: str) -> str:
-    without = rf"regexp_replace({text}, {literal(POSSESSIVE)}, '\1', 'g')"
-    return f"regexp_extract_all(lower({without}), {literal(WORD)})"
+    marked = f"lower({text})"
+    for kind, inner in ((r"\p{L}", BETWEEN_LETTERS), (r"\p{N}", BETWEEN_DIGITS)):
+        for mark, c in zip(MARKS, inner):
+            # Twice, since a single letter may stand between two of them.
+            for _ in range(2):
+                pattern = literal(f"({kind})[{c}]({kind})")
+                marked = f"regexp_replace({marked}, {pattern}, {literal(rf'\1{mark}\2')}, 'g')"
+    found = f"regexp_extract_all({marked}, {literal(rf'[\p{{L}}\p{{N}}_{MARKS}]+')})"
+    plain = f"translate(w, {literal(MARKS)}, {literal(BETWEEN_DIGITS)})"
+    possessive = literal("['’＇]s$")
+    return f"list_transform({found}, lambda w: regexp_replace({plain}, {possessive}, ''))"
 
 
 def index_tokens(text: str) -> str:
@@ -681,6 +697,24 @@ FROM postings GROUP BY doc_id""",
     "bm25_top10_pruned": with_(*SEARCH, hits(10), select="SELECT * FROM hits"),
     "bm25_top5": with_(*SEARCH, hits(5), select="SELECT * FROM hits"),
     "ltr_first_pass_rankings": with_(*SEARCH, hits(5), select="SELECT * FROM hits"),
+    "word_breaks": with_(
+        # The same line of words as in the query.
+        """lines AS (
+  SELECT p_partkey, p_type || '’s U.S. list: ' || p_retailprice::DECIMAL(18, 2) || ', O''' || p_name
+    || '; 1,' || lpad((p_size * 17 % 1000)::VARCHAR, 3, '0') || ' units. No.' || p_size || ' a.' || p_brand AS line
+  FROM part)""",
+        f"tokens AS (SELECT p_partkey, {word_tokens('line')} AS t FROM lines)",
+        select="""SELECT p_partkey, CAST(generate_subscripts(t, 1) - 1 AS INTEGER) AS pos, unnest(t) AS token
+FROM tokens""",
+    ),
+    "evaluation_counts": recursive(
+        with_(
+            *ORDERS,
+            select="""SELECT (SELECT count(*) FROM hierarchy) AS types,
+       (SELECT max(depth) FROM hierarchy)::BIGINT AS max_depth, (SELECT count(*) FROM gold) AS questions,
+       (SELECT count(*) FROM system) AS predictions""",
+        )
+    ),
     "stemmed_postings": with_(*STEMMED, select="SELECT doc_id, term, tf, dl FROM postings"),
     "bm25_stemmed": with_(*STEMMED, hits(10), select="SELECT * FROM hits"),
     "ltr_features_raw": with_(

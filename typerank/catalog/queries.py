@@ -126,6 +126,26 @@ def html_preprocess(spark, sf):
     return pages.select("page_id", text.preprocess(F.col("html")).alias("text"))
 
 
+@query
+def word_breaks(spark, sf):
+    """Tokens of lines with prices, initials, apostrophes and grouped digits."""
+    line = F.concat(
+        "p_type",
+        F.lit("\u2019s U.S. list: "),
+        F.col("p_retailprice").cast("decimal(18,2)"),
+        F.lit(", O'"),
+        "p_name",
+        F.lit("; 1,"),
+        F.lpad((F.col("p_size") * 17 % 1000).cast("string"), 3, "0"),
+        F.lit(" units. No."),
+        "p_size",
+        F.lit(" a."),
+        "p_brand",
+    )
+    parts = inputs.table(spark, sf, "part")
+    return parts.select("p_partkey", F.posexplode(text.word_tokens(line)).alias("pos", "token"))
+
+
 @query
 def clean_query(spark, sf):
     asked = inputs.questions(spark, sf)
@@ -520,6 +540,13 @@ def evaluation_summary(spark, sf):
     return _order_evaluation(spark, sf).summary
 
 
+@query
+def evaluation_counts(spark, sf):
+    """What a run has loaded, observed while it is stored."""
+    counts = _order_evaluation(spark, sf).counts
+    return spark.createDataFrame([counts], "types long, max_depth long, questions long, predictions long")
+
+
 @query
 def evaluation_diagnostics(spark, sf):
     return _order_evaluation(spark, sf).warnings

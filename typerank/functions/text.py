@@ -11,9 +11,15 @@ SPACES = (
     r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 )
-WORD = r"[\p{L}\p{N}_]+"
 LONG_WORD = r"[\p{L}\p{N}_]{2,}"
-POSSESSIVE = r"['\x{2019}\x{ff07}][sS]([^\p{L}\p{N}_]|$)"
+# Word breaks as in the text segmentation of Unicode: apostrophes and periods stay inside a
+# word between two letters, these and commas and semicolons between two digits.
+APOSTROPHES = r"'\x{2019}\x{ff07}"
+MIDDLE = rf"{APOSTROPHES}\x{{2018}}."
+PART = r"[\p{L}\p{N}_]+"
+WORD = rf"{PART}(?:(?:(?<=\p{{L}})[{MIDDLE}](?=\p{{L}})|(?<=\p{{N}})[{MIDDLE},;](?=\p{{N}})){PART})*"
+# An apostrophe and s at the end of a word.
+POSSESSIVE = rf"(?<=\p{{L}})[{APOSTROPHES}][sS](?![\p{{L}}\p{{N}}_]|[{MIDDLE}]\p{{L}})"
 
 
 def strip_tags(text: Column) -> Column:
@@ -57,8 +63,9 @@ def vectorizer_tokens(text: Column) -> Column:
 
 
 def word_tokens(text: Column) -> Column:
-    """Lower-cased words in position order, possessives removed (query analysis)."""
-    plain = F.regexp_replace(text, POSSESSIVE, "$1")
+    """Lower-cased words in position order, possessives removed: the analysis of queries and
+    of documents. "O'Neil's 3.14 U.S. dollars" -> o'neil, 3.14, u.s, dollars."""
+    plain = F.regexp_replace(text, POSSESSIVE, "")
     return F.regexp_extract_all(F.lower(plain), F.lit(WORD), F.lit(0))
 
 
