@@ -53,13 +53,23 @@ def test_top_k_is_cut_before_the_shuffle(spark, capsys):
     built = index.build_index(docs)
     asked = spark.createDataFrame([("q", "red fox")], "id string, question string")
     terms = search.analyze_queries(asked, built)
-    weighted = staged(search.weighted_query(terms, built), "weighted")
-    with search.cells_stay_together(spark):
-        plan = plan_of(search.top_k(search.direct_scores(weighted, built), 5), capsys)
-    # From the bottom of the plan to the join: the tables; above it: one exchange of the cut lists.
-    above = plan[: plan.index("ShuffledHashJoin")]
-    assert above.count("Exchange") == 1
-    assert above.index("WindowGroupLimit", above.index("Exchange")) < above.index("HashAggregate")
+    plan = plan_of(search.bm25_topk(terms, built, 5), capsys)
+    # Below the cells the two tables; above them one exchange, of the lists that are cut.
+    above, below = plan.split("FlatMapCoGroupsInArrow")
+    assert above.count("Exchange") == 1 and above.count("WindowGroupLimit") == 2
+    assert below.count("REPARTITION_BY_NUM") == 2 and "hashpartitioning(cell" in below
+
+
+def test_a_cell_sends_the_best_only(spark, monkeypatch):
+    monkeypatch.setattr(search, "PAIRS", 200)
+    docs = [(f"d{i:03}", f"hot w{i % 7}") for i in range(100)]
+    built = index.build_index(spark.createDataFrame(docs, "doc_id string, catch_all string"))
+    asked = spark.createDataFrame([(f"q{i}", f"hot w{i % 5}") for i in range(40)], "id string, question string")
+    weighted = staged(search.weighted_query(search.analyze_queries(asked, built), built))
+    cells = search.grid(weighted, built)
+    assert cells.shards > 2 and cells.blocks > 1
+    assert search.direct_scores(weighted, built).count() == 4000
+    assert search.direct_scores(weighted, built, 3).count() <= 40 * 3 * cells.shards
 
 
 def test_only_the_postings_of_asked_documents_are_shuffled(spark, capsys):

@@ -118,6 +118,7 @@ def crowd():
 def test_exact_top_k(spark, crowd, rows, plan, k, monkeypatch):
     monkeypatch.setattr(search, "SPLIT_ABOVE", 2)
     monkeypatch.setattr(search, "PAIRS", 100)
+    monkeypatch.setattr(search, "MATCHES", 7)
     docs, asked = crowd
     built = index.build_index(spark.createDataFrame(docs, "doc_id string, catch_all string"))
     assert rows(search.retrieve(questions(spark, asked), built, k, plan)) == brute_force(
@@ -145,7 +146,7 @@ def test_pruning_skips_frequent_terms(spark, crowd):
     built = index.build_index(spark.createDataFrame(docs, "doc_id string, catch_all string"))
     asked = questions(spark, [("q", "x3 hot filler1")])
     terms = search.analyze_queries(asked, built)
-    assert search.scores(terms, built, 5, "direct").count() == 1000
+    assert search.direct_scores(search.weighted_query(terms, built), built).count() == 1000
     assert search.scores(terms, built, 5, "pruned").count() < 300
 
 

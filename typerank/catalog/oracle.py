@@ -1,5 +1,8 @@
 """The same results in SQL, on the same tables, for checking the queries."""
 
+import math
+import re
+
 from typerank.functions.text import LONG_WORD, SPACES, TAG
 from typerank.operators.stems import STEP_2, STEP_3, STEP_4
 from typerank.schemas import (
@@ -288,6 +291,108 @@ def training(label: str) -> str:
     )
 
 
+# The ranker: accelerated proximal steps, each from the one before.
+
+RANKER_STEPS = 30
+
+
+def _join(*parts: str) -> str:
+    return ", ".join(parts)
+
+
+def ranker(training_rows: str, steps: int = RANKER_STEPS) -> tuple[str, ...]:
+    """weights(w1.., w10): of the features in their order and the intercept, in units of
+    ``scale``. Fixed values: alpha 1e-4, l1 share 0.15, epsilon 0.1."""
+    n = len(FEATURES)
+    each = range(1, n + 1)
+    squares = [f"avg({f} * {f})" for f in FEATURES]
+    ctes = [
+        f"rows_ AS MATERIALIZED ({training_rows})",
+        "scale AS MATERIALIZED (SELECT "
+        + _join(*(f"CASE WHEN {q} > 0 THEN sqrt({q}) ELSE 1.0 END AS s{j}" for j, q in zip(each, squares)))
+        + " FROM rows_)",
+        f"""pace AS MATERIALIZED (
+  SELECT 1 / ({n + 1} + 1e-4::DOUBLE * 0.85::DOUBLE / pow(least({_join(*(f's{j}' for j in each))}), 2)) AS step
+  FROM scale)""",
+        "scaled AS MATERIALIZED (SELECT label, 1.0::DOUBLE AS x10, "
+        + _join(*(f"{f} / s{j} AS x{j}" for j, f in zip(each, FEATURES)))
+        + " FROM rows_, scale)",
+        "at_0 AS (SELECT "
+        + _join(*(f"0.0::DOUBLE AS w{j}, 0.0::DOUBLE AS z{j}" for j in range(1, n + 2)))
+        + ")",
+    ]
+    t = 1.0
+    for i in range(1, steps + 1):
+        after = (1 + math.sqrt(1 + 4 * t * t)) / 2
+        keep, t = (t - 1) / after, after
+        found = " + ".join(f"x{j} * z{j}" for j in range(1, n + 2))
+        slopes = _join(*(f"-avg(e * x{j}) AS g{j}" for j in range(1, n + 2)))
+        ctes.append(f"""slope_{i} AS MATERIALIZED (
+  SELECT {slopes} FROM (
+    SELECT s.*, greatest(least(label - ({found}), 0.1::DOUBLE), -0.1::DOUBLE) AS e FROM scaled s, at_{i - 1}))""")
+        moved = _join(
+            *(f"z{j} - step * (g{j} + 1e-4::DOUBLE * 0.85::DOUBLE / pow(s{j}, 2) * z{j}) AS u{j}" for j in each),
+            f"z{n + 1} - step * g{n + 1} AS u{n + 1}",
+        )
+        cut = [f"sign(u{j}) * greatest(abs(u{j}) - step * 1e-4::DOUBLE * 0.15::DOUBLE / s{j}, 0.0)" for j in each]
+        cut.append(f"u{n + 1}")
+        new = _join(*(f"{c} AS w{j}, w{j} AS old{j}" for j, c in enumerate(cut, 1)))
+        ctes.append(f"""at_{i} AS MATERIALIZED (
+  SELECT {_join(*(f'w{j}, w{j} + {keep!r}::DOUBLE * (w{j} - old{j}) AS z{j}' for j in range(1, n + 2)))}
+  FROM (SELECT {new} FROM (SELECT a.*, step, scale.*, {moved} FROM at_{i - 1} a, slope_{i}, scale, pace)))""")
+    ctes.append(
+        "weights AS MATERIALIZED (SELECT "
+        + _join(*(f"w{j} / s{j} AS w{j}" for j in each), f"w{n + 1}")
+        + f" FROM at_{steps}, scale)"
+    )
+    return tuple(ctes)
+
+
+def features_of(pairs: str, counts: str, name: str) -> tuple[str, ...]:
+    """name(id, doc_id, features..) of the ``pairs`` with the query terms ``counts``."""
+    renamed = {"query_features": f"{name}_query", "query_doc_features": f"{name}_pair", "query_counts": counts}
+    ctes = []
+    for cte in (QUERY_FEATURES, QUERY_DOC_FEATURES, ALL_FEATURES):
+        cte = re.sub(r"\b(query_features|query_doc_features|query_counts)\b", lambda m: renamed[m[0]], cte)
+        cte = re.sub(r"\bcandidates\b", pairs, cte)
+        ctes.append(re.sub(r"^features\b", f"{name}_all", cte))
+    value = {"doc_length_catch_all": "coalesce(doc_length, 0.0)"}
+    columns = ", ".join(f"{value.get(f, f)} AS {f}" for f in FEATURES)
+    return (*ctes, f"{name} AS MATERIALIZED (SELECT id, doc_id, {columns} FROM {name}_all)")
+
+
+def reranked(pairs: str, features: str, name: str) -> str:
+    """name(id, rank, doc_id, score) of the hits ``pairs`` by the weights."""
+    score = " + ".join(["w10", *(f"w{j} * {f}" for j, f in enumerate(FEATURES, 1))])
+    return f"""{name} AS (
+  SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY score DESC, first DESC) AS INTEGER) AS rank,
+         doc_id, score
+  FROM (SELECT f.id, f.doc_id, {score} AS score, h.rank AS first
+        FROM {features} f JOIN {pairs} h ON h.id = f.id AND h.doc_id = f.doc_id, weights))"""
+
+
+RANKER = (
+    ITEMS,
+    FIRST_ITEMS,
+    *item_search("first_items"),
+    *features_of("candidates", "query_counts", "training_features"),
+    """resource AS (
+  SELECT DISTINCT id, unnest(type) AS doc_id FROM first_items WHERE category = 'resource')""",
+    *ranker("""SELECT *, CASE WHEN id IN (SELECT id FROM resource) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label
+  FROM training_features"""),
+)
+
+RERANKED = (
+    *RANKER,
+    QUESTIONS,
+    *(f"q_{t} AS (SELECT * FROM {t})" for t in ("postings", "term_stats", "field_stats")),
+    *query_terms("questions", "q_"),
+    bm25("q_"),
+    hits(5, "q_bm25", "q_hits"),
+    *features_of("q_hits", "q_query_counts", "hit_features"),
+    reranked("q_hits", "hit_features", "final"),
+)
+
 # Classification
 
 CATEGORY = """CASE lang WHEN 'en' THEN 'resource' WHEN 'de' THEN 'boolean' ELSE 'literal' END"""
@@ -734,6 +839,16 @@ FROM tokens""",
         select="""SELECT id, string_agg(doc_id, ' ' ORDER BY doc_id) AS docs,
        string_agg(rank::VARCHAR, ' ' ORDER BY rank) AS ranks FROM hits GROUP BY id""",
     ),
+    "ltr_weights": with_(
+        *RANKER,
+        select="\nUNION ALL\n".join(
+            f"SELECT '{f}' AS feature, round(w{j}, 9) AS weight FROM weights"
+            for j, f in enumerate([*FEATURES, "intercept"], 1)
+        ),
+    ),
+    "ltr_rerank": with_(
+        *RERANKED, select="SELECT id, rank, doc_id, round(score, 6) AS score FROM final"
+    ),
     "svm_above_majority": with_(
         EVERY, select="SELECT count(*) AS n, true AS above FROM every WHERE NOT annotated"
     ),

@@ -12,12 +12,14 @@ from typerank.operators import (
     evaluation,
     features,
     hierarchy,
+    huber,
     index,
     ltr,
     questions,
     search,
     typedocs,
 )
+from typerank.operators.huber import Huber
 from typerank.plans import runs
 from typerank.schemas import ABSTRACT_WORDS, DOCUMENT_CHARS, FEATURES
 from typerank.sources import readers
@@ -345,6 +347,23 @@ def ltr_training_set_doc(spark, sf):
     return rounded(_training(spark, sf, "document"), *FEATURES)
 
 
+#: A fixed number of iterations, so that SQL can follow them.
+FIXED_STEPS = Huber(steps=30, tol=0.0)
+
+
+def _fixed_fit(training):
+    return ltr.fit_ranker(training, p=FIXED_STEPS)
+
+
+@query
+def ltr_weights(spark, sf):
+    """Weights of the ranker on the training set."""
+    rows = staged(_training(spark, sf, "query"), "training")
+    found = huber.fit(rows.withColumn("label", F.col("label").cast("double")), FEATURES, FIXED_STEPS)
+    named = [*zip(FEATURES, found.weights), ("intercept", found.intercept)]
+    return rounded(spark.createDataFrame(named, "feature string, weight double"), "weight", digits=9)
+
+
 def _reranked(spark, sf, fit):
     model = fit(staged(_training(spark, sf, "query"), "training"))
     asked, built = inputs.questions(spark, sf), inputs.corpus_index(spark, sf)
@@ -367,7 +386,7 @@ def ltr_first_pass_two_fields(spark, sf):
 @query
 def ltr_rerank_members(spark, sf):
     """What the re-ranking cannot change: each question's documents, and gapless ranks."""
-    ranked = _reranked(spark, sf, ltr.fit_ranker).groupBy("id")
+    ranked = _reranked(spark, sf, _fixed_fit).groupBy("id")
     members = ranked.agg(
         F.array_join(F.sort_array(F.collect_list("doc_id")), " ").alias("docs"),
         F.array_join(F.sort_array(F.collect_list("rank")).cast("array<string>"), " ").alias("ranks"),
@@ -377,7 +396,7 @@ def ltr_rerank_members(spark, sf):
 
 @query
 def ltr_rerank(spark, sf):
-    return _reranked(spark, sf, ltr.fit_ranker)
+    return rounded(_reranked(spark, sf, _fixed_fit), "score")
 
 
 @query

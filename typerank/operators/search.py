@@ -2,16 +2,19 @@
 
 The direct plan lays a grid over documents and queries: a cell holds the postings of one
 shard of the documents and the terms of one block of the queries. Both tables are shuffled
-once, to the cells; the join, the sums and the first cut to the best k run inside a cell,
-so matches, of which there may be nearly as many as pairs, are never shuffled. A cell has a
-bounded number of pairs whatever terms are frequent on either side.
+once, to the cells. A cell is a product of two sparse matrices with a bounded number of
+pairs, whatever terms are frequent on either side; its scores are added up in one array and
+cut to the best k of each query there. So matches, of which there may be nearly as many as
+pairs, are never rows, and at most k rows of a cell and query are shuffled again.
 """
 
-import contextlib
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -35,8 +38,10 @@ SPLIT_ABOVE = 10_000
 SHARDS = 64
 # Documents per query and k that are scored to find the floor of the pruned plan.
 SEEDS = 10
-# Pairs of a query and a document that a cell of the grid holds, about.
+# Pairs of a query and a document that a cell of the grid holds, about, and matches that
+# are added to them at a time.
 PAIRS = 500_000
+MATCHES = 2_000_000
 
 
 def query_tokens(questions: DataFrame) -> DataFrame:
@@ -93,15 +98,19 @@ def contribution() -> Column:
 
 def top_k(scores: DataFrame, k: int) -> DataFrame:
     """(id, doc_id, score) -> (id, rank, doc_id, score), ties by doc_id."""
-    best = W.partitionBy("id").orderBy(F.desc("score"), "doc_id")
+    best = W.partitionBy("id").orderBy(F.desc(_units("score")), "doc_id")
     return (
-        scores.withColumn("score", F.round("score", DIGITS))
-        .withColumn("rank", F.row_number().over(best))
+        scores.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
-        .select("id", "rank", "doc_id", "score")
+        .select("id", "rank", "doc_id", F.round("score", DIGITS).alias("score"))
     )
 
 
+def _units(score: str) -> Column:
+    """The score in units of the last digit that counts."""
+    return F.floor(F.col(score) * 10**DIGITS + 0.5)
+
+
 def _join_sharded(query: DataFrame, postings: DataFrame, index: Index) -> DataFrame:
     """Join on term; a frequent term is spread over ``SHARDS`` partitions by document.
 
@@ -144,28 +153,60 @@ def grid(weighted: DataFrame, index: Index) -> Grid:
     return Grid(shards, min(queries, math.ceil(cells / shards)))
 
 
-@contextlib.contextmanager
-def cells_stay_together(spark: SparkSession):
-    """Lets a join on (cell, term) run on tables that are partitioned by cell alone, and
-    sums by (cell, ..) after it; Spark exchanges them again by default."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
+def cell_scores(asked: pa.Table, postings: pa.Table, k: int | None) -> pa.Table:
+    """(id, doc_id, score) of the queries ``asked`` (id, term, weight) on ``postings``
+    (doc_id, term, impact): the ``k`` best of each query, or all."""
+    ids, docs = (t.column(c).combine_chunks().dictionary_encode() for t, c in ((asked, "id"), (postings, "doc_id")))
+    terms = pc.unique(asked.column("term"))
+    wanted, held = (pc.index_in(t.column("term"), value_set=terms).combine_chunks() for t in (asked, postings))
+    there = np.flatnonzero(held.is_valid())
+    held = held.fill_null(0).to_numpy()[there]
+    order = there[np.argsort(held, kind="stable")]
+    doc, impact = docs.indices.to_numpy()[order], postings.column("impact").to_numpy()[order]
+    counts = np.bincount(held, minlength=len(terms))
+    wanted, weight = wanted.to_numpy(), asked.column("weight").to_numpy()
+    query = ids.indices.to_numpy().astype(np.int64)
+    first, size = (np.cumsum(counts) - counts)[wanted], counts[wanted]
+    n, m = len(ids.dictionary), len(docs.dictionary)
+    score = np.zeros(n * m)
+    ends = np.cumsum(size)
+    low = 0
+    while low < len(size):
+        high = max(low + 1, int(np.searchsorted(ends, ends[low] - size[low] + MATCHES, side="right")))
+        part = slice(low, high)
+        each = size[part]
+        # The places of the postings of each term, one after the other.
+        place = np.arange(each.sum()) + np.repeat(first[part] - (np.cumsum(each) - each), each)
+        pair = np.repeat(query[part] * m, each) + doc[place]
+        score += np.bincount(pair, weights=np.repeat(weight[part], each) * impact[place], minlength=n * m)
+        low = high
+    score = score.reshape(n, m)
+    # Documents in the order that decides ties.
+    at = pc.array_sort_indices(docs.dictionary).to_numpy()
+    score = score[:, at]
+    if k is not None and k < m:
+        units = np.floor(score * 10**DIGITS + 0.5)
+        best = np.argsort(-units, axis=1, kind="stable")[:, :k]
+        x, y = np.repeat(np.arange(n), k), best.ravel()
+    else:
+        x, y = (i.ravel() for i in np.indices((n, m)))
+    found = score[x, y] > 0
+    x, y = x[found], y[found]
+    return pa.table(
+        {
+            "id": ids.dictionary.take(pa.array(x)),
+            "doc_id": docs.dictionary.take(pa.array(at[y])),
+            "score": score[x, y],
+        }
+    )
 
-def direct_scores(weighted: DataFrame, index: Index, cells: Grid | None = None) -> DataFrame:
-    """(id, doc_id, score) of every document with any query term, cell by cell.
 
-    Run it inside :func:`cells_stay_together`; outside the result is the same, with one
-    more exchange on either side.
-    """
+def direct_scores(weighted: DataFrame, index: Index, k: int | None = None, cells: Grid | None = None) -> DataFrame:
+    """(id, doc_id, score), cell by cell: of every document with any query term or, with
+    ``k``, of the best of each shard for each query."""
     cells = cells or grid(weighted, index)
     spark = weighted.sparkSession
-    # With fewer than the default the planner would choose a partitioning of its own.
+    # Fewer than the default would be exchanged again by the planner.
     tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def part(column: str, n: int) -> Column:
@@ -176,16 +217,17 @@ def direct_scores(weighted: DataFrame, index: Index, cells: Grid | None = None)
 
     cell = (F.col("shard") * cells.blocks + F.col("block")).alias("cell")
     asked = weighted.select("id", "term", "weight", part("id", cells.blocks).alias("block"), every(cells.shards).alias("shard"))
-    asked = asked.select("id", "term", "weight", cell).repartition(tasks, "cell")
+    asked = asked.select(cell, "id", "term", "weight").repartition(tasks, "cell")
     postings = impacts(index).join(weighted.select("term").distinct(), "term", "left_semi")
     postings = postings.withColumn("shard", part("doc_id", cells.shards)).withColumn("block", every(cells.blocks))
-    postings = postings.select("doc_id", "term", "impact", cell).repartition(tasks, "cell")
-    return (
-        postings.join(asked.hint("shuffle_hash"), ["cell", "term"])
-        .groupBy("cell", "id", "doc_id")
-        .agg(F.sum(contribution()).alias("score"))
-        .select("id", "doc_id", "score")
-    )
+    postings = postings.select(cell, "doc_id", "term", "impact").repartition(tasks, "cell")
+    types = {c: t.simpleString() for df in (asked, postings) for c, t in ((f.name, f.dataType) for f in df.schema)}
+
+    def run(one: pa.Table, two: pa.Table) -> pa.Table:
+        return cell_scores(one, two, k)
+
+    both = asked.groupBy("cell").cogroup(postings.groupBy("cell"))
+    return both.applyInArrow(run, f"id {types['id']}, doc_id {types['doc_id']}, score double")
 
 
 def looked_up(pairs: DataFrame, query: DataFrame, postings: DataFrame, name: str) -> DataFrame:
@@ -281,22 +323,21 @@ def pruned_scores(weighted: DataFrame, index: Index, k: int) -> DataFrame:
 def scores(query_terms: DataFrame, index: Index, k: int, plan: str = "direct") -> DataFrame:
     """(id, doc_id, score) with at least the ``k`` best documents of each query.
 
-    'direct' scores all documents with a query term, 'pruned' only those that can be
-    among the best; both are exact, at every size. The weighted terms are stored first,
+    'direct' scores all documents with a query term and keeps the best of each shard,
+    'pruned' scores only those that can be among the best; both are exact, at every size. The weighted terms are stored first,
     since both plans read them several times.
     """
     weighted = staged(weighted_query(query_terms, index), "weighted")
     if plan == "direct":
-        return direct_scores(weighted, index)
+        return direct_scores(weighted, index, k)
     return pruned_scores(weighted, index, k)
 
 
 def bm25_topk(
     query_terms: DataFrame, index: Index, k: int = BASELINE_DEPTH, plan: str = "direct"
 ) -> DataFrame:
-    """(id, rank, doc_id, score): the ``k`` best documents of each query, stored."""
-    with cells_stay_together(query_terms.sparkSession):
-        return staged(top_k(scores(query_terms, index, k, plan), k), "hits")
+    """(id, rank, doc_id, score): the ``k`` best documents of each query."""
+    return top_k(scores(query_terms, index, k, plan), k)
 
 
 def retrieve(
