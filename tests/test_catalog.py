@@ -10,11 +10,8 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 ROWS_ONLY = {
-    "end_to_end_category_svm",
     "end_to_end_ltr",
-    "ltr_rerank",
     "ltr_rerank_forest",
-    "svm_predict",
 }
 # The slower half of the queries is left to the driver's own comparison.
 COMPARED = [
@@ -36,6 +33,11 @@ COMPARED = [
     "bm25_top10_pruned",
     "ltr_training_set",
     "stemmed_postings",
+    "index_upserted",
+    "word_breaks",
+    "ltr_weights",
+    "ltr_rerank",
+    "svm_predict",
     "count_features",
     "tfidf_l2",
     "nb_predict",

@@ -444,6 +444,49 @@ NAIVE_BAYES = (
   WHERE place = 1)""",
 )
 
+SVM_STEPS = 20
+
+
+def svm(steps: int = SVM_STEPS) -> tuple[str, ...]:
+    """svm_predicted(id, category) after ``steps`` subgradient steps. the
+    penalty 1e-4, margins compared after nine digits."""
+    ctes = [
+        *COUNTS,
+        "size AS (SELECT count(*) AS n FROM train)",
+        """raw_weights AS (
+  SELECT id, term, c.n * (ln((1 + size.n) / (1 + df)) + 1) AS w
+  FROM counts c JOIN vocabulary USING (term), size)""",
+        """vectors AS MATERIALIZED (
+  SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS x FROM raw_weights
+  UNION ALL SELECT id, '', 1.0 FROM every)""",
+        "train_vectors AS MATERIALIZED (SELECT * FROM vectors WHERE id IN (SELECT id FROM train))",
+        """pairs AS MATERIALIZED (
+  SELECT id, l.category AS label, CASE WHEN t.category = l.category THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS y
+  FROM train t, (SELECT DISTINCT category FROM train) l)""",
+        "sums_0 AS (SELECT ''::VARCHAR AS label, ''::VARCHAR AS term, 0.0::DOUBLE AS s WHERE false)",
+    ]
+    for t in range(1, steps + 1):
+        scale = f"(1e-4::DOUBLE * {t - 1} * any_value(n))" if t > 1 else "1.0"
+        ctes.append(f"""violating_{t} AS MATERIALIZED (
+  SELECT id, label, y FROM pairs LEFT JOIN (
+    SELECT id, label, sum(x * s) / {scale} AS f
+    FROM train_vectors JOIN sums_{t - 1} USING (term), size GROUP BY id, label) USING (id, label)
+  WHERE round(y * coalesce(f, 0.0), 9) < 1)""")
+        ctes.append(f"""sums_{t} AS MATERIALIZED (
+  SELECT label, term, sum(s) AS s FROM (
+    SELECT label, term, s FROM sums_{t - 1}
+    UNION ALL SELECT label, term, x * y FROM train_vectors JOIN violating_{t} USING (id))
+  GROUP BY label, term)""")
+    ctes.append(f"""svm_weights AS MATERIALIZED (
+  SELECT label AS category, term, s / (1e-4::DOUBLE * {steps} * n) AS weight FROM sums_{steps}, size)""")
+    ctes.append("""svm_predicted AS (
+  SELECT id, category FROM (
+    SELECT id, category, row_number() OVER (PARTITION BY id ORDER BY round(sum(x * weight), 9) DESC, category) AS place
+    FROM vectors JOIN svm_weights USING (term) GROUP BY id, category)
+  WHERE place = 1)""")
+    return tuple(ctes)
+
+
 # Hierarchy and evaluation
 
 HIERARCHY = """hierarchy AS (
@@ -849,8 +892,19 @@ FROM tokens""",
     "ltr_rerank": with_(
         *RERANKED, select="SELECT id, rank, doc_id, round(score, 6) AS score FROM final"
     ),
+    "svm_predict": with_(*svm(), select="SELECT * FROM svm_predicted"),
+    "svm_weights": with_(*svm(), select="SELECT category, term, round(weight, 4) AS weight FROM svm_weights"),
     "svm_above_majority": with_(
-        EVERY, select="SELECT count(*) AS n, true AS above FROM every WHERE NOT annotated"
+        *svm(),
+        select="""SELECT count(*) AS n, sum((p.category = e.category)::INT) > (
+  SELECT max(n) FROM (SELECT count(*) AS n FROM every WHERE NOT annotated GROUP BY category)) AS above
+FROM every e LEFT JOIN svm_predicted p USING (id) WHERE NOT annotated""",
+    ),
+    "end_to_end_category_svm": with_(
+        *svm(),
+        select="""SELECT count(*) AS n,
+       round(avg(CASE WHEN p.category = e.category THEN 1.0 ELSE 0.0 END), 3) AS accuracy
+FROM every e LEFT JOIN svm_predicted p USING (id)""",
     ),
     "ranking_lists": with_(
         *SEARCH,

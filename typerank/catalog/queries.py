@@ -17,6 +17,7 @@ from typerank.operators import (
     ltr,
     questions,
     search,
+    svm,
     typedocs,
 )
 from typerank.operators.huber import Huber
@@ -447,7 +448,7 @@ def nb_accuracy(spark, sf):
 def svm_above_majority(spark, sf):
     """Whether the SVM is right more often than the largest category, on unseen rows."""
     test = inputs.unseen_documents(spark, sf)
-    predicted = classify.svm_predict(classify.train_svm(inputs.train_documents(spark, sf)), test)
+    predicted = svm.predict_together(inputs.marked_documents(spark, sf), "annotated")
     largest = test.groupBy("category").count().agg(F.max("count")).scalar()
     found = classify.accuracy(test, predicted)
     return found.select("n", (F.col("accuracy") > largest / F.col("n")).alias("above"))
@@ -455,8 +456,13 @@ def svm_above_majority(spark, sf):
 
 @query
 def svm_predict(spark, sf):
-    model = classify.train_svm(inputs.train_documents(spark, sf))
-    return classify.svm_predict(model, inputs.categorized_documents(spark, sf))
+    return svm.predict_together(inputs.marked_documents(spark, sf), "annotated")
+
+
+@query
+def svm_weights(spark, sf):
+    model = svm.fit(inputs.train_documents(spark, sf))
+    return rounded(model.weights, "weight", digits=4)
 
 
 # Hierarchy
@@ -575,7 +581,7 @@ def evaluation_diagnostics(spark, sf):
 
 
 def _predicted(spark, sf):
-    return staged(runs.categories_together(inputs.marked_documents(spark, sf), "annotated"), "categories")
+    return staged(runs.categories_together(inputs.marked_documents(spark, sf), "annotated", svm=False), "categories")
 
 
 def _baseline(spark, sf):
@@ -607,8 +613,8 @@ def end_to_end_category(spark, sf):
 
 @query
 def end_to_end_category_svm(spark, sf):
-    train, test = inputs.train_documents(spark, sf), inputs.categorized_documents(spark, sf)
-    predicted = staged(runs.categories(train, test), "categories")
+    predicted = staged(runs.categories_together(inputs.marked_documents(spark, sf), "annotated"), "categories")
+    test = inputs.categorized_documents(spark, sf)
     return rounded(classify.accuracy(test, predicted), "accuracy", digits=3)
 
 
