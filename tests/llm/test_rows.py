@@ -318,3 +318,57 @@ def test_large_groups_of_equal_vectors_take_little_memory():
         want = sorted((-(own * v).sum(), o) for v, o in zip(x, ids) if o != i)[:20]
         at = query == i
         assert list(other[at]) == [o for _, o in want] and np.allclose(score[at], [-s for s, _ in want])
+
+
+def test_archives_of_any_file_name_are_read(table, spark, tmp_path):
+    path, other = tmp_path / "ours", tmp_path / "foreign" / "segment"
+    warc.write_archives(table(page_rows(), PAGES), str(path))
+    other.mkdir(parents=True)
+    for i, part in enumerate(sorted(path.glob("part-*"))):
+        (other / f"CC-MAIN-{i}.warc.gz").write_bytes(part.read_bytes())
+    plain = warc.record(99, "u", b"plain", None, hashlib.sha1(b"plain").hexdigest())
+    (other / "loose.warc").write_bytes(plain)
+    one = warc.read_archives(spark, str(path)).where("kind = 'record'")
+    two = warc.read_archives(spark, str(tmp_path / "foreign")).where("kind = 'record'")
+    key = ["record_id", "payload_digest"]
+    assert two.count() == one.count() + 1
+    assert sorted(map(tuple, one.select(key).collect()), key=repr) == sorted(
+        map(tuple, two.where("record_id != '<urn:page:99>'").select(key).collect()), key=repr
+    )
+
+
+def test_files_have_a_bounded_number_of_records(table, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_RECORDS", 4)
+    rows = [(i, "u", f"text {i}", "h", "v") for i in range(21)]
+    warc.write_archives(table(rows, PAGES, 1), str(tmp_path / "a"))
+    files = list((tmp_path / "a").glob("part-*"))
+    assert len(files) == 6
+
+
+def test_a_payload_of_most_pages_is_split(table, spark, capsys):
+    """With more digests than are sent to the pages, the planner divides a hot payload."""
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    rng = np.random.default_rng(1)
+    hot = rng.integers(0, 1 << 62, 200).tobytes().hex()
+    rows = [(i, "u", hot if i % 3 == 0 else rng.integers(0, 1 << 62, 80).tobytes().hex(), "h", "v") for i in range(3000)]
+    pages = table(rows, PAGES, 8)
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        from pyspark.sql import functions as F
+
+        total = warc.marked_pages(pages).agg(F.count("refers_to"), F.max("payload"), F.max("sha1"), F.max("url"))
+        assert total.collect()[0][0] == 999
+        capsys.readouterr()
+        total.explain()
+        assert "SortMergeJoin(skew=true)" in capsys.readouterr().out
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)

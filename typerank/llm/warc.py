@@ -13,17 +13,20 @@ bytes between as a quarantined gap.
 import base64
 import hashlib
 import re
-import uuid
 import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from typerank.sources.stage import shared_folder
+from typerank.llm.common import staged
+from typerank.sources.stage import new_folder
 
 #: Payloads from this size on are written once.
 LEAST_BYTES = 1000
+#: Records of one file at most. A reader holds a whole file, and Spark reads files of less
+#: than 2 GiB only, so pages of up to 100 kB on average, compressed, are safe.
+FILE_RECORDS = 20_000
 #: An empty gzip member, the separator of members.
 _EMPTY_MEMBER = bytes.fromhex("1f8b080000000000000303000000000000000000")
 _DATE = "2025-01-01T00:00:00Z"
@@ -65,12 +68,12 @@ def record(page_id, url: str | None, payload: bytes, refers_to, sha1: str) -> by
     return head.encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> None:
-    """One record per row (page_id, url, html); ``path`` gets files of gzip members.
+def marked_pages(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
+    """(page_id, url, payload, sha1, refers_to) of every row.
 
-    Null html is an empty payload, a null url an empty field. Of rows with equal payloads of
-    at least ``least`` bytes the one with the largest page_id is the response (all of them,
-    if it repeats; a row without an id only if none has one). Other columns are not read.
+    The digests that repeat are a stored table: few of them are sent to the pages, which
+    are then not shuffled; with many, both sides are plain shuffles, and the planner splits
+    a payload that a third of all pages share.
     """
     payload = F.encode(F.coalesce("html", F.lit("")), "utf-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"))
@@ -79,9 +82,20 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> Non
         rows.where(F.octet_length("payload") >= least).groupBy("sha1")
         .agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("first")).where("n > 1")
     )
-    marked = rows.join(copies.select("sha1", "first"), "sha1", "left").withColumn(
-        "refers_to", F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    )
+    copies = staged(copies.select("sha1", "first"), "copies")
+    other = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
+    marked = rows.join(copies, "sha1", "left").withColumn("refers_to", F.when(other, F.col("first")))
+    return marked.select("page_id", "url", "payload", "refers_to", "sha1")
+
+
+def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> None:
+    """One record per row (page_id, url, html); ``path`` gets files of gzip members.
+
+    Null html is an empty payload, a null url an empty field. Of rows with equal payloads of
+    at least ``least`` bytes the one with the largest page_id is the response (all of them,
+    if it repeats; a row without an id only if none has one). Other columns are not read.
+    """
+    marked = marked_pages(pages, least)
 
     def run(batches):
         for batch in batches:
@@ -91,10 +105,11 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> Non
                 member = pack.compress(record(*row)) + pack.flush()
                 yield pa.RecordBatch.from_arrays([pa.array([member], pa.binary())], ["value"])
 
-    members = marked.select("page_id", "url", "payload", "refers_to", "sha1").mapInArrow(run, "value binary")
+    members = marked.mapInArrow(run, "value binary")
     (
         members.select(F.col("value").cast("string").alias("value"))
-        .write.option("encoding", "ISO-8859-1").option("lineSep", _EMPTY_MEMBER.decode("latin-1")).text(path)
+        .write.option("encoding", "ISO-8859-1").option("lineSep", _EMPTY_MEMBER.decode("latin-1"))
+        .option("maxRecordsPerFile", FILE_RECORDS).text(path)
     )
 
 
@@ -209,13 +224,14 @@ def salvage(data: bytes):
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of ``kind`` record and gap of all files under ``path``.
+    """Rows of ``kind`` record and gap of all files under ``path``, whatever their names
+    (Spark skips those that begin with a dot or an underscore).
 
     A gap has start, length and the reason of the first failed check, and no record fields.
-    A file is read by one task; the writer's files hold the rows of one of its tasks. An
-    empty file has no rows.
+    A file is read whole by one task, so it must be smaller than 2 GiB, else Spark raises
+    an error; the writer's have ``FILE_RECORDS`` records at most. An empty file has no rows.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
     names = [f.split()[0] for f in RECORDS.split(", ")]
 
     def run(batches):
@@ -243,7 +259,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
     """Pages written as archives and read back: (page_id, payload_bytes, payload_digest,
     record_type, refers_to)."""
     spark = pages.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/llm-warc-{uuid.uuid4().hex}"
+    path = new_folder(spark, "llm-warc")
     write_archives(pages, path)
     page = lambda c: F.expr(f"try_cast(regexp_extract({c}, '^<urn:page:(-?[0-9]+)>$', 1) AS BIGINT)")
     full = F.col("payload").isNotNull()
