@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from tests.llm.conftest import prose
-from typerank.llm import quality, toxicity
+from typerank.llm import quality, substring, toxicity
 from typerank.llm.common import read
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -104,6 +104,55 @@ def test_rare_toxic_words_keep_their_place(table, spark):
 ODD = [(1, None, "l", "s", 0), (2, "", "l", "s", 0), (None, "text", "l", "s", 0), (3, "word " * 40_000, "l", "s", 0), (3, "word", "l", "s", 0)]
 
 
+def test_grades_rise_with_planted_severity(table, spark):
+    """The share of toxic words decides the expected grade of unseen documents."""
+    rng = random.Random(3)
+    bad = [f"vile{c}" for c in "abcdefghijklmnop"]
+    docs, labels, planted = [], [], {}
+    for i in range(900):
+        w = prose(rng, 100).split()
+        n = rng.choice([0, 0, 0, 3, 12, 40])
+        for at in rng.sample(range(100), n):
+            w[at] = rng.choice(bad)
+        docs.append((i, " ".join(w), "", "", 0))
+        planted[i] = n
+        labels.append((i, 1, int(n > 0)))
+    model = toxicity.train(table(docs, DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    unseen = toxicity.score(table(docs, DOCS), model).where(quality.held_out("doc_id"))
+    values = {}
+    for r in unseen.collect():
+        values.setdefault(planted[r.doc_id], []).append(r._severity)
+    means = [np.mean(values[n]) for n in (0, 3, 12, 40)]
+    assert means[0] < toxicity.THRESHOLD and all(b > a + 0.3 for a, b in zip(means, means[1:]))
+
+
+def test_samples_are_bounded_by_ids_and_sizes(table, spark):
+    """A text of a million lines and ids that repeat do not reach the driver."""
+    rng = random.Random(2)
+    docs = [(i, prose(rng, 30) + "\n" + prose(rng, 5), "", "", 0) for i in range(200)]
+    docs += [(i, "again " + docs[i][1], "", "", 0) for i in range(200)] + [(500, "x\n" * 1_000_000, "", "", 0)]
+    labels = [(i, i % 2, i % 2) for i in [*range(200), *range(200), 500]]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    lines = quality.F.size(quality.F.split("text", "\n"))
+    rows = quality.sampled(table(docs, DOCS), labels, "quality", 150, lines, 250).collect()
+    assert 100 <= len(rows) <= 125 and len({r.doc_id for r in rows}) == len(rows)
+    assert all(r.doc_id < 200 and r.text.startswith("again") for r in rows)
+    field = quality.train(table(docs, DOCS), labels, lines=300)
+    assert field.weights.shape == (quality.WIDTH,)
+
+
+def test_clashing_columns_are_replaced(table, spark):
+    docs = table([(1, "some words here", 7.0, 8.0, 9)], "doc_id long, text string, _quality double, _severity double, _n_words int")
+    empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    one = quality.score(docs, quality.train(docs, empty))
+    two = toxicity.score(docs, toxicity.train(docs, empty))
+    three = substring.remove_repeats(docs)
+    assert one.columns == ["doc_id", "text", "_severity", "_n_words", "_quality"] and one.first()._quality > 0.5
+    assert two.columns == ["doc_id", "text", "_quality", "_n_words", "_severity"] and two.first()._severity < 0.1
+    assert three.columns == ["doc_id", "text", "_quality", "_severity", "_n_words", "_n_removed"]
+    assert three.first()._n_words == 3
+
+
 @pytest.mark.parametrize("labels", [[], [(None, 1, 0), (1, 1, 1)], [(3, None, None), (77, 0, 1)]])
 def test_models_without_usable_labels(table, spark, labels):
     known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")

@@ -18,12 +18,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from typerank.llm.common import mix, slices, span_hashes
+from typerank.llm.common import mix, slices, span_hashes, staged
 
 #: Labelled documents the field is fitted on, at most; those with the smallest hash of the id.
 SAMPLE = 8_000
+#: Lines that these documents may have together: what the driver holds, some 700 bytes each.
+LINES = 200_000
 THRESHOLD = 0.3
 _CUTS = {
     "upper": (0.02, 0.1, 0.3, 0.6), "marks": (0.01, 0.03, 0.06, 0.1, 0.15, 0.25, 0.4), "digits": (0.01, 0.05, 0.2),
@@ -185,17 +188,38 @@ def held_out(id_col: str):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
-    """The field, from at most ``sample`` labelled documents that are not held out.
+def sampled(docs: DataFrame, labels: DataFrame, label: str, sample: int, size, most: int) -> DataFrame:
+    """(doc_id, text, label) of labelled documents that are not held out, staged.
 
-    Rows with a null id, text or label are not learnt from. Without rows of both labels
-    every line counts as good.
+    At most ``sample`` documents, in the order of the hashes of their ids, as long as their
+    ``size`` adds up to at most ``most``; one document an id (its first text, its lowest
+    label), and none that takes more than a fiftieth of ``most``. So neither repeated ids
+    nor very long texts make the sample larger. Rows with a null id, text or label are left
+    out.
     """
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
     known = (
-        labels.select("doc_id", "quality").where("doc_id IS NOT NULL AND quality IN (0, 1)").where(~held_out("doc_id"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+        labels.select("doc_id", label).where(f"doc_id IS NOT NULL AND {label} IN (0, 1)").where(~held_out("doc_id"))
+        .groupBy("doc_id").agg(F.min(label).cast("int").alias(label)).orderBy(*order).limit(sample)
     )
     rows = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(known), "doc_id")
+    rows = staged(rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first(label).alias(label)), "sample")
+    # One row a document of the bounded sample.
+    so_far = F.sum("size").over(W.orderBy(*order).rowsBetween(W.unboundedPreceding, 0))
+    fits = rows.select("doc_id", size.alias("size")).where(F.col("size") <= most / 50)
+    fits = fits.withColumn("so_far", so_far).where(F.col("so_far") <= most)
+    return rows.join(F.broadcast(fits.select("doc_id")), "doc_id", "left_semi")
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines: int = LINES) -> Field:
+    """The field, from at most ``sample`` labelled documents that are not held out, with at
+    most ``lines`` lines together.
+
+    Rows with a null id, text or label are not learnt from. Without rows of both labels
+    every line counts as good.
+    """
+    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    rows = sampled(docs, labels, "quality", sample, n_lines, lines)
 
     def run(batches):
         for whole in batches:
@@ -224,13 +248,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
 
 
 def score(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``_quality``, 0 to 1, over the whole text.
+    """All columns of ``docs`` and ``_quality``, 0 to 1, over the whole text; it replaces a
+    column of that name.
 
     Null and empty texts are one empty line. Rows are scored one by one: no shuffle,
     repeated rows stay.
     """
     from pyspark.sql import types as T
 
+    docs = docs.drop("_quality")
+
     def run(batches):
         for whole in batches:
             for batch in slices(whole, text_col):

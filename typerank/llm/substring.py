@@ -293,7 +293,7 @@ _EMPTY = pa.table(
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """All columns of ``docs``, with the repeated words gone from the text, plus
-    ``_n_words`` and ``_n_removed``.
+    ``_n_words`` and ``_n_removed``, which replace columns of these names.
 
     A word goes if a window of ``width`` words covers it whose words also start anywhere
     else, in the same text or another; windows are judged on the input. Kept words are
@@ -301,6 +301,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     an id are texts of their own, so their shared windows go from all of them. Texts
     shorter than ``width`` words are never cut. An empty table gives an empty result.
     """
+    docs = docs.drop("_n_words", "_n_removed")
     chunks, n = _chunks(docs, id_col, text_col)
     answers = _answered(chunks, n, width)
     names = [c for c in docs.columns if c != text_col]
