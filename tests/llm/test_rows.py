@@ -57,6 +57,19 @@ def test_vocabulary_with_boundaries(table):
     }
 
 
+def test_vocabulary_from_a_table(table, monkeypatch):
+    terms = table([("Bad", True), ("bad", False), ("odd", None), ("Few", False), ("", True), (None, True)], "term string, strict boolean")
+    f = urls.from_table(terms)
+    assert (f.strict, f.soft, f.rules) == (("bad",), ("few", "odd"), urls.RULES)
+    got = judged(table, ["x://a.org/BAD", "x://a.org/odd-few", "x://a.org/odd", "x://a.org/porn"], f)
+    assert {u: r.verdict for u, r in got.items()} == {
+        "x://a.org/BAD": "block", "x://a.org/odd-few": "block", "x://a.org/odd": "allow", "x://a.org/porn": "allow",
+    }
+    monkeypatch.setattr(urls, "MOST_TERMS", 2)
+    with pytest.raises(ValueError, match="more than 2 terms"):
+        urls.from_table(terms)
+
+
 def test_filter_without_rules_or_terms(table):
     got = judged(table, ["http://xxx.net/es/"], urls.UrlFilter(rules=(), strict=(), soft=()))
     assert got["http://xxx.net/es/"].verdict == "allow"

@@ -5,6 +5,7 @@ only between boundaries: the characters before and after it are not letters or d
 One strict term rejects; soft terms reject when ``soft_limit`` different ones are found.
 """
 
+import functools
 from dataclasses import dataclass
 
 import pandas as pd
@@ -42,16 +43,43 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FOLD = str.maketrans(UPPER, LOWER)
 
 
-def _hits(urls: pd.Series, f: UrlFilter) -> pd.DataFrame:
+#: Terms of a vocabulary table, at most: they travel with each task.
+MOST_TERMS = 1_000_000
+
+
+def from_table(terms: DataFrame, f: UrlFilter = UrlFilter()) -> UrlFilter:
+    """``f`` with the vocabulary of a table (term, strict boolean).
+
+    Empty and null terms are left out; a term that is both strict and soft is strict, and a
+    null ``strict`` means soft. More than ``MOST_TERMS`` terms are an error.
+    """
+    folded = F.translate("term", UPPER, LOWER).alias("term")
+    rows = terms.where("term <> ''").select(folded, F.coalesce("strict", F.lit(False)).alias("strict"))
+    found = rows.groupBy("term").agg(F.max("strict").alias("strict")).limit(MOST_TERMS + 1).collect()
+    if len(found) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} terms")
+    strict, soft = (tuple(sorted(r.term for r in found if r.strict == kind)) for kind in (True, False))
+    return UrlFilter(f.rules, strict, soft, f.soft_limit)
+
+
+@functools.lru_cache(maxsize=4)
+def _automaton(strict: tuple, soft: tuple):
+    """Built once a worker, not once a batch."""
     import ahocorasick
 
     terms = ahocorasick.Automaton()
-    for weight, words in ((1, f.soft), (2, f.strict)):
+    for weight, words in ((1, soft), (2, strict)):
         for word in words:
             terms.add_word(word.translate(_FOLD), (weight, word))
+    if len(terms):
+        terms.make_automaton()
+    return terms
+
+
+def _hits(urls: pd.Series, f: UrlFilter) -> pd.DataFrame:
+    terms = _automaton(f.strict, f.soft)
     if not len(terms):
         return pd.DataFrame({"strict": 0, "soft": 0}, index=urls.index)
-    terms.make_automaton()
     inner = lambda c: "a" <= c <= "z" or "0" <= c <= "9"
 
     def count(url):
