@@ -663,6 +663,63 @@ BASELINE = (
 )
 
 
+def _aliases(prefix: str, of: str) -> tuple[str, ...]:
+    """The index ``of`` under the names that another set of queries looks it up by."""
+    return tuple(f"{prefix}{t} AS (SELECT * FROM {of}{t})" for t in ("postings", "term_stats", "field_stats"))
+
+
+def _both_fields(source: str, prefix: str) -> tuple[str, ...]:
+    """prefix + hits: the five best of ``source`` over texts and names of the types."""
+    text, name = f"{prefix}text_", f"{prefix}name_"
+    return (
+        *_aliases(text, "text_"),
+        *_aliases(name, "name_"),
+        *query_terms(source, text),
+        bm25(text),
+        *query_terms(source, name),
+        bm25(name),
+        f"""{prefix}both AS (
+  SELECT id, doc_id, max(raw) AS raw
+  FROM (SELECT * FROM {text}bm25 UNION ALL SELECT * FROM {name}bm25) GROUP BY id, doc_id)""",
+        hits(5, f"{prefix}both", f"{prefix}hits"),
+    )
+
+
+LTR_RUN = (
+    *NAIVE_BAYES,
+    TYPE_PIECES,
+    type_documents("type_pieces"),
+    *postings("type_docs", "text_"),
+    *postings("type_docs", "name_", "type"),
+    f"first_train AS (SELECT * FROM train ORDER BY id::BIGINT LIMIT {TRAIN_QUESTIONS})",
+    *_both_fields("first_train", "t_"),
+    f"""listed AS (
+  SELECT id, doc_id, min(pos) AS pos
+  FROM (SELECT id, generate_subscripts(types, 1) - 1 AS pos, unnest(types) AS doc_id
+        FROM (SELECT id, {BLANK} AS types FROM first_train))
+  GROUP BY id, doc_id)""",
+    """t_candidates AS (
+  SELECT id, doc_id FROM t_hits
+  UNION ALL
+  SELECT id, doc_id FROM listed
+  WHERE id IN (SELECT id FROM t_hits)
+    AND NOT EXISTS (SELECT 1 FROM t_hits h WHERE h.id = listed.id AND h.doc_id = listed.doc_id))""",
+    *(f"{t} AS (SELECT * FROM text_{t})" for t in ("tokens", "postings", "term_stats", "field_stats")),
+    *features_of("t_candidates", "t_text_query_counts", "training_features"),
+    "resource AS (SELECT DISTINCT id FROM first_train WHERE category = 'resource')",
+    *ranker("""SELECT *, CASE WHEN id IN (SELECT id FROM resource) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label
+  FROM training_features"""),
+    *_both_fields("every", "q_"),
+    *features_of("q_hits", "q_text_query_counts", "hit_features"),
+    reranked("q_hits", "hit_features", "final"),
+    """system AS (
+  SELECT p.id, p.category,
+         CASE WHEN p.category = 'resource' THEN coalesce(h.types, []) ELSE [] END AS type
+  FROM predicted p LEFT JOIN (
+    SELECT id, list(doc_id ORDER BY rank) AS types FROM final GROUP BY id) h ON h.id = p.id)""",
+)
+
+
 # Stems: a y after a consonant is written Y and counts as a vowel.
 
 V, C = "[aeiouY]", "[^aeiouY]"
@@ -1052,6 +1109,9 @@ FROM ruled WHERE predicted_category IS NULL OR rule = 5""",
         select="SELECT * FROM postings",
     ),
     "end_to_end_category": with_(*NAIVE_BAYES, select="SELECT id, category FROM predicted"),
+    "end_to_end_ltr": recursive(
+        with_(*LTR_RUN, DOCUMENT_TYPES, known_gold("every"), *SCORES, select=ROUNDED_SCORES)
+    ),
     "end_to_end_baseline": recursive(
         with_(*BASELINE, DOCUMENT_TYPES, known_gold("every"), *SCORES, select=ROUNDED_SCORES)
     ),

@@ -633,7 +633,7 @@ def end_to_end_ltr(spark, sf):
     texts and the names of the types."""
     train, test = inputs.train_documents(spark, sf), inputs.categorized_documents(spark, sf)
     built, names = inputs.type_index(spark, sf), {"type": inputs.type_name_index(spark, sf)}
-    run = runs.ltr_output(train, test, _predicted(spark, sf), built, fields=names)
+    run = runs.ltr_output(train, test, _predicted(spark, sf), built, fields=names, loss=FIXED_STEPS)
     output = staged(run.output, "output")
     scores = runs.evaluate(test, output, inputs.document_types(spark, sf)).scores
     return rounded(scores, "ndcg_5", "ndcg_10")
