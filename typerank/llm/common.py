@@ -1,6 +1,5 @@
 """Helpers shared by the operators: shared tables, words, hashes, components."""
 
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -83,22 +82,28 @@ def _odd(seed: int) -> int:
     return int(np.random.default_rng(seed).integers(0, 1 << 61)) * 8 + 3
 
 
-@functools.lru_cache(maxsize=8)
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n."""
-    steps = np.full(n, base, dtype=np.uint64)
-    steps[0] = 1
-    inverse = np.full(n, pow(base, -1, 1 << 64), dtype=np.uint64)
-    inverse[0] = 1
-    return np.multiply.accumulate(steps), np.multiply.accumulate(inverse)
+    """base**i and base**-i modulo 2**64 for i < n. A worker keeps the longest tables only."""
+    if len(_POWERS.get(base, ((),))[0]) < n:
+        n = -(-n >> 16) << 16
+        steps = np.full(n, base, dtype=np.uint64)
+        steps[0] = 1
+        inverse = np.full(n, pow(base, -1, 1 << 64), dtype=np.uint64)
+        inverse[0] = 1
+        for table in (steps, inverse):
+            np.multiply.accumulate(table, out=table)
+        _POWERS[base] = steps, inverse
+    return _POWERS[base]
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
     """64-bit hash of each values[start:end], by one running sum over all values."""
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
-    size = 1 << max(16, (len(values)).bit_length())
-    power, inverse = _powers(_odd(seed), size)
+    power, inverse = _powers(_odd(seed), len(values) + 1)
     total = np.zeros(len(values) + 1, dtype=np.uint64)
     np.cumsum(values * power[: len(values)], out=total[1:])
     hashes = (total[ends] - total[starts]) * inverse[starts]

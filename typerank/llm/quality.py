@@ -27,6 +27,8 @@ from typerank.llm.common import mix, slices, span_hashes, staged
 SAMPLE = 8_000
 #: Lines that these documents may have together: what the driver holds, some 700 bytes each.
 LINES = 200_000
+#: Bytes of text whose lines a task looks at together; the measures take some 100 times that.
+SLICE = 1 << 19
 THRESHOLD = 0.3
 _CUTS = {
     "upper": (0.02, 0.1, 0.3, 0.6), "marks": (0.01, 0.03, 0.06, 0.1, 0.15, 0.25, 0.4), "digits": (0.01, 0.05, 0.2),
@@ -223,7 +225,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines: int =
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", SLICE):
                 lines, _, x = line_features(batch.column("text").to_pylist())
                 cuts = np.concatenate([[0], np.cumsum(lines)])
                 packed = np.packbits(x.astype(bool)[:, :_OWN], axis=1)
@@ -260,7 +262,7 @@ def score(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, text_col):
+            for batch in slices(whole, text_col, SLICE):
                 lines, length, x = line_features(batch.column(text_col).to_pylist())
                 good = field.marginals(lines, x)
                 first = np.cumsum(lines) - lines
