@@ -1,6 +1,7 @@
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,7 +119,6 @@ def crowd():
 def test_exact_top_k(spark, crowd, rows, plan, k, monkeypatch):
     monkeypatch.setattr(search, "SPLIT_ABOVE", 2)
     monkeypatch.setattr(search, "PAIRS", 100)
-    monkeypatch.setattr(search, "MATCHES", 7)
     docs, asked = crowd
     built = index.build_index(spark.createDataFrame(docs, "doc_id string, catch_all string"))
     assert rows(search.retrieve(questions(spark, asked), built, k, plan)) == brute_force(
@@ -140,6 +140,31 @@ def test_grid_follows_the_pairs(spark, monkeypatch):
     assert search.grid(none, built) == search.Grid() and search.direct_scores(none, built).count() == 0
 
 
+@pytest.mark.parametrize("matches", [1, 5, 1000])
+@pytest.mark.parametrize("k", [1, 3, None])
+def test_a_cell_adds_up_its_matches(monkeypatch, matches, k):
+    """In slices of any size; ties go to the smaller document."""
+    monkeypatch.setattr(search, "MATCHES", matches)
+    rng = random.Random(4)
+    asked = [(f"q{i}", t, rng.choice([0.5, 1.0])) for i in range(6) for t in rng.sample("abcdefg", 3)] + [("none", "z", 1.0)]
+    held = [(f"d{i}", t, rng.choice([0.25, 0.5])) for i in range(9) for t in rng.sample("abcdef", 3)] + [("other", "y", 1.0)]
+    tables = (
+        pa.table(dict(zip(names, map(list, zip(*rows)))))
+        for names, rows in ((("id", "term", "weight"), asked), (("doc_id", "term", "impact"), held))
+    )
+    sums = {}
+    for q, t, w in asked:
+        for d, u, x in held:
+            if t == u:
+                sums[q, d] = sums.get((q, d), 0.0) + w * x
+    want = []
+    for q in {q for q, _ in sums}:
+        best = sorted((-s, d) for (p, d), s in sums.items() if p == q)
+        want += [(q, d, -s) for s, d in best[:k]]
+    got = search.cell_scores(*tables, k).to_pylist()
+    assert sorted((r["id"], r["doc_id"], r["score"]) for r in got) == sorted(want)
+
+
 def test_pruning_skips_frequent_terms(spark, crowd):
     """The frequent word must not bring all its documents into the scoring."""
     docs = [(f"d{i:04}", f"hot filler{i % 5} x{i % 97}") for i in range(1000)]

@@ -406,13 +406,13 @@ EVERY = f"""every AS (
 
 COUNTS = (
     EVERY,
-    f"""counts AS (
+    f"""counts AS MATERIALIZED (
   SELECT id, term, count(*) AS n
   FROM (SELECT id, unnest({vectorizer_tokens("question")}) AS term FROM every)
   GROUP BY id, term)""",
     "train AS (SELECT * FROM every WHERE annotated)",
     "train_counts AS (SELECT * FROM counts WHERE id IN (SELECT id FROM train))",
-    "vocabulary AS (SELECT term, count(*) AS df FROM train_counts GROUP BY term)",
+    "vocabulary AS MATERIALIZED (SELECT term, count(*) AS df FROM train_counts GROUP BY term)",
 )
 
 NAIVE_BAYES = (
