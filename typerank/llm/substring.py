@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from typerank.llm.common import Words, mix, span_hashes, staged
-from typerank.sources.stage import shared_folder
+from typerank.sources.stage import new_folder
 
 WIDTH = 35
 #: Words of an anchor, bytes of text in a chunk.
@@ -55,7 +55,7 @@ def _chunks(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int
     (
         dealt.repartition(buckets, "chunk")
         .write.bucketBy(buckets, "chunk")
-        .option("path", f"{shared_folder(spark).rstrip('/')}/{name}")
+        .option("path", new_folder(spark, "llm-chunks"))
         .saveAsTable(name)
     )
     return spark.table(name), n
