@@ -35,8 +35,6 @@ COMPARED = [
     "index_upserted",
     "word_breaks",
     "ltr_weights",
-    "ltr_rerank",
-    "svm_predict",
     "count_features",
     "tfidf_l2",
     "nb_predict",
@@ -44,7 +42,6 @@ COMPARED = [
     "question_scores",
     "evaluation_diagnostics",
     "end_to_end_baseline",
-    "end_to_end_ltr",
 ]
 
 
