@@ -9,11 +9,13 @@ pairs, are never rows, and at most k rows of a cell and query are shuffled again
 """
 
 import math
+import sys
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,6 +27,9 @@ from typerank.operators.stems import stem_table
 from typerank.schemas import BASELINE_DEPTH, FIRST_PASS_DEPTH
 from typerank.sources.stage import staged
 
+# The function of a cell travels with its tasks, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Scores are compared after rounding to this many digits; pruning keeps a margin
 # of several units of the last digit, so rounding cannot change a result.
 DIGITS = 6
