@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests.porter import porter_stem
 from typerank.operators import features, index, search
 from typerank.schemas import FEATURES, STOP_WORDS
+from typerank.sources.stage import staged
 
 DOCS = [("d1", "red fox red"), ("d2", "fox"), ("d3", "blue whale fox fox"), ("d4", "the")]
 
@@ -140,6 +141,49 @@ def test_grid_follows_the_pairs(spark, monkeypatch):
     assert search.grid(none, built) == search.Grid() and search.direct_scores(none, built).count() == 0
 
 
+def test_copies_do_not_grow_with_the_pairs(spark, monkeypatch):
+    """Each further cell copies postings and query terms; only what fits in one counts."""
+    docs = [(f"d{i:04}", f"hot x{i % 97}") for i in range(1000)]
+    built = index.build_index(spark.createDataFrame(docs, "doc_id string, catch_all string"))
+    terms = search.analyze_queries(questions(spark, [(f"q{i}", "hot") for i in range(50)]), built)
+    weighted = staged(search.weighted_query(terms, built))
+    want = sorted((r.id, r.doc_id, round(r.score, 9)) for r in search.direct_scores(weighted, built, 3).collect())
+    monkeypatch.setattr(search, "PAIRS", 10)
+    monkeypatch.setattr(search, "CELLS", 8)
+    # 5,000 cells would copy every posting 12 times and every query term 447 times.
+    assert search.grid(weighted, built) == search.Grid(8, 1)
+    monkeypatch.setattr(search, "HELD", 200)
+    cells = search.grid(weighted, built)
+    assert cells == search.Grid(10, 1)
+    monkeypatch.setattr(search, "HELD", 25)
+    assert search.grid(weighted, built).blocks == 2
+    found = search.direct_scores(weighted, built, 3, cells)
+    got = search.top_k(found, 3).collect()
+    assert [(r[0], r[1], round(r[2], 6)) for r in want] == sorted((r.id, r.doc_id, r.score) for r in got)
+
+
+@pytest.mark.parametrize("share", [0, 0.05, 1])
+def test_dense_and_sparse_terms_add_up(monkeypatch, share):
+    """In any mixture, also where an id is null or a posting repeats."""
+    monkeypatch.setattr(search, "DENSE_SHARE", share)
+    monkeypatch.setattr(search, "PAIRS", 40)
+    rng = random.Random(5)
+    asked = [(f"q{i}" if i else None, t, rng.choice([0.5, 1.0])) for i in range(30) for t in rng.sample("abcdefg", 3)]
+    held = [(f"d{i:02}" if i else None, t, rng.choice([0.25, 0.5])) for i in range(50) for t in "a" + "".join(rng.sample("abcdefg", 2))]
+    sums = {}
+    for q, t, w in asked:
+        for d, u, x in held:
+            if t == u:
+                sums[q, d] = sums.get((q, d), 0.0) + w * x
+    want = []
+    for q in {q for q, _ in sums}:
+        best = sorted((-s, d or "", d) for (p, d), s in sums.items() if p == q)
+        want += [(q, d, -s) for s, _, d in best[:4]]
+    tables = (pa.table(dict(zip(n, map(list, zip(*r))))) for n, r in ((("id", "term", "weight"), asked), (("doc_id", "term", "impact"), held)))
+    got = [(r["id"], r["doc_id"], r["score"]) for r in search.cell_scores(*tables, 4).to_pylist()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 @pytest.mark.parametrize("matches", [1, 5, 1000])
 @pytest.mark.parametrize("k", [1, 3, None])
 def test_a_cell_adds_up_its_matches(monkeypatch, matches, k):
