@@ -209,6 +209,22 @@ def test_a_cell_adds_up_its_matches(monkeypatch, matches, k):
     assert sorted((r["id"], r["doc_id"], r["score"]) for r in got) == sorted(want)
 
 
+def test_weak_terms_count_where_the_cut_is_reached():
+    asked = pa.table({"id": ["q"] * 3, "term": ["a", "b", "c"], "weight": [1.0, 1.0, 1.0], "weak": [False, True, True], "cut": [0.5] * 3})
+    held = [("d1", "a", 0.5), ("d1", "b", 0.25), ("d2", "a", 0.25), ("d2", "b", 0.75), ("d3", "c", 1.0), ("d4", "a", 1.0)]
+    held = pa.table(dict(zip(("doc_id", "term", "impact"), map(list, zip(*held)))))
+    got = [(r["doc_id"], r["score"]) for r in search.cell_scores(asked, held, None).to_pylist()]
+    assert got == [("d1", 0.75), ("d4", 1.0)]
+
+
+def test_candidates_of_the_pruned_plan_are_no_rows(spark):
+    """At most k rows of a query leave a cell, however many documents reach the cut."""
+    docs = [(f"d{i:04}", f"hot x{i % 3}") for i in range(300)]
+    built = index.build_index(spark.createDataFrame(docs, "doc_id string, catch_all string"))
+    terms = search.analyze_queries(questions(spark, [("q", "hot x1")]), built)
+    assert search.scores(terms, built, 5, "pruned").count() == 5
+
+
 def test_pruning_skips_frequent_terms(spark, crowd):
     """The frequent word must not bring all its documents into the scoring."""
     docs = [(f"d{i:04}", f"hot filler{i % 5} x{i % 97}") for i in range(1000)]
