@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from typerank.operators import evaluation, hierarchy
+from typerank.operators import classify, evaluation, hierarchy, index
 
 
 @pytest.fixture
@@ -55,3 +55,30 @@ def test_ideal_gains_shuffle_related_types_once(spark, tree, exchanges, rows):
         places = {(i, pos) for i, pos, _ in rows(found)}
         most = {"p": 4, "q": 4} if depth is None else {"p": 2, "q": 2}
         assert places == {(i, pos) for i, n in most.items() for pos in range(n)}
+
+
+def test_postings_are_counted_where_the_texts_are(spark, exchanges, rows):
+    listed = [("1", "ox cow ox"), ("1", "ox cow ox"), ("1", "hen"), ("2", "the"), ("3", None), (None, "owl")]
+    documents = spark.createDataFrame(listed, "doc_id string, catch_all string")
+    plain = index.document_postings(documents)
+    placed = index.document_postings(index.by_document(documents))
+    # Only the texts are shuffled, and tokens are taken once, after that.
+    assert exchanges(plain) == exchanges(placed) == 1
+    assert "regexp_extract_all" not in below_exchange(placed)
+    want = [("1", "ox", 4, 3), ("1", "cow", 2, 3), ("1", "hen", 1, 1), (None, "owl", 1, 1)]
+    assert rows(plain) == rows(placed) == sorted(want, key=repr)
+
+
+def test_term_counts_shuffle_texts_only(spark, exchanges, rows):
+    listed = [(1, "a", "ox cow ox"), (1, "a", "ox"), (1, "b", "cow"), (2, "a", None), (None, "a", "owl"), (3, "a", "")]
+    asked = spark.createDataFrame(listed, "id int, category string, question string")
+    found = classify.term_counts(asked, keep=("category",))
+    assert exchanges(found) == 1
+    assert "regexp_extract_all" not in below_exchange(found)
+    want = [(1, "a", "ox", 3), (1, "a", "cow", 1), (1, "b", "cow", 1), (None, "a", "owl", 1)]
+    assert rows(found) == sorted(want, key=repr)
+
+
+def below_exchange(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[plan.index("Exchange hashpartitioning"):]
