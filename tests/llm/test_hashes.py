@@ -1,0 +1,42 @@
+"""Hashes of spans, taken block by block."""
+
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
+
+from typerank.llm import common
+
+
+def brute(values, starts, ends, seed):
+    base, most = common._odd(seed), 1 << 64
+    inverse = pow(base, -1, most)
+    out = []
+    for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+        total = sum(v * pow(base, a + i, most) for i, v in enumerate(values[a:b].tolist()))
+        out.append((total * pow(inverse, a, most) + (b - a) * 0x9E3779B97F4A7C15) % most)
+    return common.mix(np.array(out, dtype=np.uint64))
+
+
+def test_spans_across_blocks_and_in_any_order():
+    rng = np.random.default_rng(1)
+    n = 2 * common.BLOCK
+    values = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    starts = np.array([common.BLOCK - 3, 0, n - 4, common.BLOCK, 5, n])
+    ends = np.array([common.BLOCK + 2, 2, n, common.BLOCK + 1, 5, n])
+    assert (common.span_hashes(values, starts, ends, 4) == brute(values, starts, ends, 4)).all()
+    same = common.span_hashes(np.tile(values[:9], 3), np.array([0, 9, 18]), np.array([9, 18, 27]), 4)
+    assert len(set(same.tolist())) == 1
+
+
+def test_memory_of_a_chunk_is_bounded_by_its_words():
+    text = "some words that are neither short nor very long " * 40_000
+    column = pa.array([text, None, "", text[:1000]])
+    common._POWERS.clear()
+    tracemalloc.start()
+    words = common.Words(column)
+    first, hashes = words.windows(35)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(first) == len(hashes) == 9 * 40_000 - 34 + len(text[:1000].split()) - 34
+    assert peak < 25 * len(text)

@@ -82,31 +82,65 @@ def _odd(seed: int) -> int:
     return int(np.random.default_rng(seed).integers(0, 1 << 61)) * 8 + 3
 
 
+#: Values that are hashed at a time, so that no table is as long as a text.
+BLOCK = 1 << 16
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n. A worker keeps the longest tables only."""
-    if len(_POWERS.get(base, ((),))[0]) < n:
-        n = -(-n >> 16) << 16
-        steps = np.full(n, base, dtype=np.uint64)
-        steps[0] = 1
-        inverse = np.full(n, pow(base, -1, 1 << 64), dtype=np.uint64)
-        inverse[0] = 1
-        for table in (steps, inverse):
-            np.multiply.accumulate(table, out=table)
-        _POWERS[base] = steps, inverse
+def _powers(base: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo 2**64 for i < BLOCK."""
+    if base not in _POWERS:
+        tables = []
+        for factor in (base, pow(base, -1, 1 << 64)):
+            table = np.full(BLOCK, factor, dtype=np.uint64)
+            table[0] = 1
+            tables.append(np.multiply.accumulate(table))
+        _POWERS[base] = tables[0], tables[1]
     return _POWERS[base]
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
-    """64-bit hash of each values[start:end], by one running sum over all values."""
+def _places(at: np.ndarray, n: int):
+    """(block, which of ``at``) for the blocks that places 0..n fall in, in ascending order."""
+    order = None if len(at) < 2 or (at[1:] >= at[:-1]).all() else np.argsort(at, kind="stable")
+    ordered = at if order is None else at[order]
+    cuts = np.searchsorted(ordered, np.arange(0, n + 1 + BLOCK, BLOCK))
+    return [slice(a, b) if order is None else order[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def span_hashes(
+    values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int, table: np.ndarray | None = None
+) -> np.ndarray:
+    """64-bit hash of each values[start:end], by one running sum over all values, or over
+    what ``table`` has for them. The sum is taken block by block and kept at the starts and
+    ends only, so memory grows with the spans and not with the values."""
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
-    power, inverse = _powers(_odd(seed), len(values) + 1)
-    total = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * power[: len(values)], out=total[1:])
-    hashes = (total[ends] - total[starts]) * inverse[starts]
+    base = _odd(seed)
+    power, inverse = _powers(base)
+    step, back = np.uint64(pow(base, BLOCK, 1 << 64)), np.uint64(pow(base, -BLOCK, 1 << 64))
+    n = len(values)
+    first, last = _places(starts, n), _places(ends, n)
+    hashes = np.empty(len(starts), dtype=np.uint64)
+    total = np.zeros(BLOCK + 1, dtype=np.uint64)
+    # The sum before a block, base to the place of the block, and its inverse.
+    before, scale, unscale = np.zeros(1, dtype=np.uint64), np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)
+    undo = np.empty(len(starts), dtype=np.uint64)
+    at_end = np.empty(len(starts), dtype=np.uint64)
+    for block, (some, others) in enumerate(zip(first, last, strict=True)):
+        low = block * BLOCK
+        part = values[low : low + BLOCK]
+        part = (part if table is None else table[part]) * power[: len(part)]
+        total[0] = before[0]
+        np.cumsum(part * scale, out=total[1 : len(part) + 1])
+        total[1 : len(part) + 1] += before
+        place = starts[some] - low
+        hashes[some] = total[place]
+        undo[some] = inverse[place] * unscale
+        at_end[others] = total[ends[others] - low]
+        before = total[len(part) : len(part) + 1].copy()
+        scale, unscale = scale * step, unscale * back
+    np.subtract(at_end, hashes, out=hashes)
+    hashes *= undo
     return mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -136,7 +170,7 @@ class Words:
         after[self.offsets[1:][self.offsets[1:] > 0] - 1] = True
         self.starts = np.flatnonzero(before & ~space[:-1])
         self.ends = np.flatnonzero(after & ~space[:-1]) + 1
-        self.hashes = span_hashes((_LOWER if lower else _BYTE)[self.data], self.starts, self.ends, seed)
+        self.hashes = span_hashes(self.data, self.starts, self.ends, seed, _LOWER if lower else _BYTE)
         #: Words before each text, n + 1 values.
         self.bounds = np.searchsorted(self.starts, self.offsets)
 
