@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from typerank.operators import classify, evaluation, hierarchy, index
+from typerank.operators import blocks, classify, evaluation, features, hierarchy, index, search
+from typerank.sources.stage import staged
 
 
 @pytest.fixture
@@ -57,6 +58,22 @@ def test_ideal_gains_shuffle_related_types_once(spark, tree, exchanges, rows):
         assert places == {(i, pos) for i, n in most.items() for pos in range(n)}
 
 
+def test_all_ideal_gains_shuffle_no_related_type(spark, tree, exchanges, rows):
+    """Where gold types are apart in a tree; any other gold types give the same gains."""
+    listed = [("p", "B"), ("p", "C"), ("q", "A"), ("r", "X"), ("s", "D"), ("s", "C")]
+    gold = spark.createDataFrame(listed, "id string, type string")
+    found = evaluation.ideal_gains(gold, tree, F.lit(3))
+    assert exchanges(found) == 0
+    assert found.schema == evaluation._related_gains(gold, tree, F.lit(3)).schema
+    assert rows(found) == rows(evaluation._related_gains(gold, tree, F.lit(3)))
+    more = spark.createDataFrame([*listed, ("t", "A"), ("t", "D"), ("u", "C"), ("u", "C"), (None, "B"), (None, "A")], gold.schema)
+    found = evaluation.ideal_gains(more, tree, F.lit(3))
+    assert rows(found) == rows(evaluation._related_gains(more, tree, F.lit(3)))
+    twice = tree.union(tree).union(spark.createDataFrame([("D", 3, ["D", "C", "A"])], tree.schema))
+    found = evaluation.ideal_gains(more, twice, F.lit(3))
+    assert rows(found) == rows(evaluation._related_gains(more, twice, F.lit(3)))
+
+
 def test_postings_are_counted_where_the_texts_are(spark, exchanges, rows):
     listed = [("1", "ox cow ox"), ("1", "ox cow ox"), ("1", "hen"), ("2", "the"), ("3", None), (None, "owl")]
     documents = spark.createDataFrame(listed, "doc_id string, catch_all string")
@@ -79,6 +96,54 @@ def test_term_counts_shuffle_texts_only(spark, exchanges, rows):
     assert rows(found) == sorted(want, key=repr)
 
 
+def test_bayes_shuffles_no_entry_by_term(spark, exchanges, rows, monkeypatch):
+    """Where the model is not broadcast, packed rows go to blocks, and a block gets each term
+    once; the result does not depend on the number of blocks."""
+    listed = [(f"d{i}", f"ox{i % 7} cow cow hen{i % 5}", "abc"[i % 3], i % 2 == 0) for i in range(40)]
+    listed += [("d1", "ox3 cow", "a", True), (None, "cow", "b", False), ("e", "", "c", False)]
+    asked = spark.createDataFrame(listed, "id string, question string, category string, annotated boolean")
+    whole = rows(classify.nb_predict_together(asked, "annotated"))
+    monkeypatch.setattr(blocks, "ENTRIES", 20)
+    found = classify.nb_predict_together(asked, "annotated")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "hashpartitioning(id" in plan
+    assert "Generate inline" not in plan
+    assert len(whole) == 42 and rows(found) == whole
+
+
+def test_pair_features_count_rows_that_repeat(spark, exchanges, rows, monkeypatch):
+    """In blocks of any size, as the rows of a join of pairs, terms and postings would."""
+    postings = [("d", "ox", 2, 3), ("d", "cow", 1, 3), ("d", "cow", 4, 5), ("e", "hen", 1, 1)]
+    postings = spark.createDataFrame(postings, "doc_id string, term string, tf long, dl long")
+    built = index.Index(postings, None, None, None)
+    terms = [("p", "ox"), ("p", "cow"), ("p", "cow"), ("p", "no"), ("q", "hen"), (None, "ox")]
+    terms = spark.createDataFrame(terms, "id string, term string")
+    pairs = [("p", "d"), ("p", "d"), ("p", "e"), ("q", "e"), ("q", None), (None, "d"), ("r", "d")]
+    pairs = spark.createDataFrame(pairs, "id string, doc_id string")
+    want = [("p", "d", 10.0, 24.0, 4.0, 2.0), ("p", "e", 0.0, 0.0, 0.0, 0.0), ("q", "e", 1.0, 1.0, 1.0, 1.0), ("q", None, 0.0, 0.0, 0.0, 0.0)]
+    for n in (2, 1000):
+        monkeypatch.setattr(blocks, "ENTRIES", n)
+        found = features.query_doc_features(pairs, terms, built)
+        assert "hashpartitioning(id" not in found._jdf.queryExecution().executedPlan().toString()
+        assert rows(found) == sorted(want, key=repr)
+
+
+def test_postings_go_only_to_the_blocks_that_ask_for_them(spark, rows, monkeypatch):
+    docs = spark.createDataFrame([(f"d{i}", f"hot x{i}") for i in range(30)], "doc_id string, catch_all string")
+    built = index.build_index(docs)
+    asked = spark.createDataFrame([(f"q{i}", f"hot x{i}") for i in range(30)], "id string, question string")
+    weighted = staged(search.weighted_query(search.analyze_queries(asked, built), built))
+    one = rows(search.direct_scores(weighted, built, None, search.Grid(2, 1)))
+    seen = []
+    packed = search._packed
+    monkeypatch.setattr(search, "_packed", lambda *a: seen.append(packed(*a)) or seen[-1])
+    assert rows(search.direct_scores(weighted, built, None, search.Grid(2, 8))) == one
+    copies = seen[1].select("doc_id", "only", F.size("term").alias("n")).collect()
+    # The rare term of a document goes to one block, the frequent one to each.
+    assert sorted((r.doc_id, r.n) for r in copies if r.only is not None) == sorted((f"d{i}", 1) for i in range(30))
+    assert sorted((r.doc_id, r.n) for r in copies if r.only is None) == sorted((f"d{i}", 1) for i in range(30))
+
+
 def below_exchange(df):
     plan = df._jdf.queryExecution().executedPlan().toString()
     return plan[plan.index("Exchange hashpartitioning"):]
