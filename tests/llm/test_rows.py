@@ -385,3 +385,17 @@ def test_a_payload_of_most_pages_is_split(table, spark, capsys):
     finally:
         for n, v in before.items():
             spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def test_vectors_that_differ_are_not_sorted_as_wholes(monkeypatch):
+    """Only where a block may hold equal vectors are they looked for; k is exact either way."""
+    rng = np.random.default_rng(6)
+    x, q = rng.normal(size=(900, 16)), rng.normal(size=(7, 16))
+    ids, own = rng.permutation(900).astype(np.int64), np.array([2000, 2001, 2002, 3, 4, 5, 6])
+    calls, best = [], ann._best
+    monkeypatch.setattr(ann, "_best", lambda *a: calls.append(a) or best(*a))
+    query, other, score = (np.concatenate(c) for c in zip(*ann._met(own, q, ids, x, 20)))
+    assert len(calls) == 1
+    for i, v in zip(own, q):
+        want = sorted((-(v * w).sum(), o) for w, o in zip(x, ids) if o != i)[:20]
+        assert list(other[query == i]) == [o for _, o in want]

@@ -149,22 +149,43 @@ def _best(query: np.ndarray, other: np.ndarray, score: np.ndarray, k: int) -> np
     return order[place < k]
 
 
+def _may_repeat(x: np.ndarray) -> bool:
+    """Whether rows may be equal: of those that are, a sum in one order is the same."""
+    sums = (x * np.random.default_rng(1).normal(size=x.shape[1])).sum(axis=1)
+    return len(np.unique(sums)) < len(sums)
+
+
+def _floor(score: np.ndarray, k: int) -> np.ndarray:
+    """For each row a score that its k-th best one reaches: the k-th best of the maxima of some
+    groups of columns."""
+    n, m = score.shape
+    groups = min(m, 32 * k)
+    wide = m // groups
+    most = score[:, : groups * wide].reshape(n, wide, groups).max(axis=1)
+    return np.partition(most, groups - k, axis=1)[:, groups - k]
+
+
 def _met(qids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int):
     """(query, candidate, score) of the k best of the block for its queries, some queries
     at a time. Blocks may hold any number of equal vectors: of those only the k + 1
     smallest ids can be among the k best, as one of them may be the query's own."""
-    whole = np.ascontiguousarray(x).view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel()
-    same = np.unique(whole, return_inverse=True)[1]
-    few = np.sort(_best(same, ids, np.zeros(len(ids)), k + 1))
-    ids, x = ids[few], x[few]
+    if _may_repeat(x):
+        whole = np.ascontiguousarray(x).view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel()
+        same = np.unique(whole, return_inverse=True)[1]
+        few = np.sort(_best(same, ids, np.zeros(len(ids)), k + 1))
+        ids, x = ids[few], x[few]
     rows, pairs = max(1, CELLS // max(1, len(ids))), max(1, CELLS // x.shape[1])
+    longest = np.sqrt((x * x).sum(axis=1).max(initial=0.0))
     for a in range(0, len(q), rows):
         own, some = qids[a : a + rows], q[a : a + rows]
-        about = np.round(some @ x.T, 12)
-        about[own[:, None] == ids[None, :]] = -np.inf
+        about = some @ x.T
+        mine = np.flatnonzero(np.isin(own, ids))
+        about[mine] = np.where(own[mine, None] == ids[None, :], -np.inf, about[mine])
         if len(ids) > k:
-            least = np.partition(about, len(ids) - k, axis=1)[:, len(ids) - k]
-            i, j = np.nonzero((about >= least[:, None]) & (about > -np.inf))
+            # Products are wrong by their last digits, so a little less will do.
+            wrong = 4 * x.shape[1] * np.finfo(float).eps * np.sqrt((some * some).sum(axis=1)) * longest
+            least = _floor(about, k) - wrong - 1e-12
+            i, j = np.divmod(np.flatnonzero((about >= least[:, None]) & (about > -np.inf)), len(ids))
         else:
             i, j = np.nonzero(about > -np.inf)
         # The score is summed in one fixed order, so equal vectors tie exactly.
