@@ -147,3 +147,33 @@ def test_postings_go_only_to_the_blocks_that_ask_for_them(spark, rows, monkeypat
 def below_exchange(df):
     plan = df._jdf.queryExecution().executedPlan().toString()
     return plan[plan.index("Exchange hashpartitioning"):]
+
+
+@pytest.mark.parametrize("stem", [False, True])
+def test_postings_are_packed_where_they_are_stored(spark, rows, monkeypatch, stem):
+    """Without a shuffle by term or document, in an index of stems too."""
+    docs = spark.createDataFrame([(f"d{i}", f"hot cold runs w{i}") for i in range(30)], "doc_id string, catch_all string")
+    built = index.build_index(docs, stem=stem)
+    asked = spark.createDataFrame([(f"q{i}", f"hot running w{i}") for i in range(9)], "id string, question string")
+    weighted = staged(search.weighted_query(search.analyze_queries(asked, built), built))
+    seen, packed = [], search._packed
+    monkeypatch.setattr(search, "_packed", lambda *a: seen.append(packed(*a)) or seen[-1])
+    whole = rows(search.direct_scores(weighted, built, None, search.Grid(3, 2)))
+    assert "Exchange hashpartitioning" not in seen[1]._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(search, "SENT", 0)
+    assert rows(search.direct_scores(weighted, built, None, search.Grid(3, 2))) == whole
+    together = built.postings.select("doc_id", F.monotonically_increasing_id().alias("at")).groupBy("doc_id")
+    widths = together.agg((F.max("at") - F.min("at") + 1 - F.count("at")).alias("gaps")).select("gaps").distinct()
+    assert rows(widths) == [(0,)]
+
+
+def test_the_pruned_plan_stores_no_more_than_the_direct_one(spark, monkeypatch):
+    docs = spark.createDataFrame([(f"d{i}", f"hot x{i % 9} y{i % 4}") for i in range(60)], "doc_id string, catch_all string")
+    built = index.build_index(docs)
+    asked = spark.createDataFrame([("q", "hot x3 y1"), ("r", "hot")], "id string, question string")
+    terms = search.analyze_queries(asked, built)
+    names, kept = [], search.staged
+    monkeypatch.setattr(search, "staged", lambda df, name="table": names.append(name) or kept(df, name))
+    one = search.scores(terms, built, 5, "pruned").count()
+    pruned, names[:] = sorted(names), []
+    assert search.scores(terms, built, 5, "direct").count() == one and pruned == sorted(names)

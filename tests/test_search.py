@@ -344,3 +344,27 @@ def test_postings_of_pieces_equal_those_of_the_text(spark, rows):
         two = index.build_index(documents, stem=stem, unique=True)
         assert rows(one.postings) == rows(two.postings)
         assert rows(one.field_stats) == rows(two.field_stats)
+
+
+@pytest.mark.parametrize("prune", [False, True])
+@pytest.mark.parametrize("share", [0, 1])
+def test_single_precision_does_not_decide(monkeypatch, prune, share):
+    """Scores that differ from the sixth digit on are ranked as in double precision, whether
+    terms are dense rows (share 0) or not."""
+    monkeypatch.setattr(search, "DENSE_SHARE", share)
+    rng = random.Random(11)
+    terms = [f"t{i}" for i in range(40)]
+    asked = [(f"q{i}", t, rng.choice([1.0, 2.0]) * 3.7) for i in range(4) for t in rng.sample(terms, 20)]
+    held = [(f"d{i:03}", t, 0.5 + rng.randint(0, 9) * 3e-6) for i in range(400) for t in terms if rng.random() < 0.9]
+    sums = {}
+    weights = {(q, t): w for q, t, w in asked}
+    for d, t, x in held:
+        for q in ("q0", "q1", "q2", "q3"):
+            if (q, t) in weights:
+                sums[q, d] = sums.get((q, d), 0.0) + weights[q, t] * x
+    want = {q: sorted((-math.floor(s * 1e6 + 0.5), d) for (p, d), s in sums.items() if p == q)[:5] for q in ("q0", "q1", "q2", "q3")}
+    tables = (pa.table(dict(zip(n, map(list, zip(*r))))) for n, r in ((("id", "term", "weight"), asked), (("doc_id", "term", "impact"), held)))
+    got = {}
+    for r in search.cell_scores(*tables, 5, prune).to_pylist():
+        got.setdefault(r["id"], []).append((-math.floor(r["score"] * 1e6 + 0.5), r["doc_id"]))
+    assert got == want
