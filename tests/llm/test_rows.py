@@ -399,3 +399,18 @@ def test_vectors_that_differ_are_not_sorted_as_wholes(monkeypatch):
     for i, v in zip(own, q):
         want = sorted((-(v * w).sum(), o) for w, o in zip(x, ids) if o != i)[:20]
         assert list(other[query == i]) == [o for _, o in want]
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_small_rows_of_a_cell_are_put_together(spark, monkeypatch, parts):
+    """Up to the size of a block; no vector is lost, and a key is dealt to several tasks."""
+    monkeypatch.setattr(ann, "BLOCK", 4)
+    blob = lambda *v, of: np.array(v, of).tobytes()
+    rows = [(k, blob(10 * k + i, of=np.int64), blob(float(k), float(i), of=np.float64)) for k in range(3) for i in range(7)]
+    listed = spark.createDataFrame(rows, ann._CELLS).repartition(5)
+    got = ann._merged(listed, parts).collect()
+    assert sorted(x for r in got for x in np.frombuffer(r.ids, np.int64)) == [10 * k + i for k in range(3) for i in range(7)]
+    for r in got:
+        ids, x = np.frombuffer(r.ids, np.int64), np.frombuffer(r.vectors, np.float64).reshape(-1, 2)
+        assert len(ids) <= 4 and [(10 * a + b) for a, b in x] == list(ids) and {i // 10 for i in ids} == {r.key}
+    assert len(got) == 6 if parts == 1 else 6 <= len(got) <= 3 * 4

@@ -37,6 +37,8 @@ class Index:
 _CELLS = "key long, ids binary, vectors binary"
 #: Candidates a task holds before it keeps the best of each query, and vectors of a block.
 HELD, BLOCK = 1_000_000, 4096
+#: Vectors for each of the tasks that a cell is dealt to.
+SPREAD = 100_000
 #: Numbers that are multiplied together at a time.
 CELLS = 1 << 22
 #: Vectors for each part of the queries whose candidates one task merges.
@@ -111,6 +113,42 @@ def _blocks(vectors: DataFrame, keys_of) -> DataFrame:
     return vectors.select("id", "v").mapInArrow(run, _CELLS)
 
 
+def _merged(blocks: DataFrame, parts: int) -> DataFrame:
+    """The rows of a key put together, up to BLOCK vectors a row, so that a join of many small
+    rows is one of few. ``parts``: a key is dealt to as many tasks."""
+    salt = F.pmod(F.xxhash64("ids"), F.lit(parts)).alias("salt")
+    placed = blocks.select("key", salt, "ids", "vectors").repartition("key", "salt").sortWithinPartitions("key", "salt")
+
+    def run(batches):
+        now, ids, vectors, n, done = None, [], [], 0, []
+
+        def packed():
+            columns = zip(*done, strict=True)
+            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()), strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, ["key", "ids", "vectors"])
+
+        size = 0
+        for batch in batches:
+            for k, s, i, v in zip(*(batch.column(c).to_pylist() for c in ("key", "salt", "ids", "vectors")), strict=True):
+                if (k, s) != now or n + len(i) // 8 > BLOCK:
+                    if n:
+                        done.append((now[0], b"".join(ids), b"".join(vectors)))
+                        size += n
+                    if size > BLOCK:
+                        yield packed()
+                        done, size = [], 0
+                    now, ids, vectors, n = (k, s), [], [], 0
+                ids.append(i)
+                vectors.append(v)
+                n += len(i) // 8
+        if n:
+            done.append((now[0], b"".join(ids), b"".join(vectors)))
+        if done:
+            yield packed()
+
+    return placed.mapInArrow(run, _CELLS)
+
+
 def index_blocks(vectors: DataFrame, longest: float, p: Index) -> DataFrame:
     def keys_of(x):
         cells = np.floor(_projected(x, longest, p, query=False))
@@ -283,8 +321,9 @@ def nearest(
     longest = float(np.sqrt(square))
     vectors = vectors.where(F.size("v") == dimension)
     queries = vectors.where(is_query)
-    cells = index_blocks(vectors, longest, p)
-    probes = probe_blocks(queries, longest, p).select("key", F.col("ids").alias("qids"), F.col("vectors").alias("queries"))
+    dealt = max(1, n // SPREAD)
+    cells = _merged(index_blocks(vectors, longest, p), dealt)
+    probes = _merged(probe_blocks(queries, longest, p), dealt).select("key", F.col("ids").alias("qids"), F.col("vectors").alias("queries"))
     parts = max(1, n // PART)
     candidates = staged(_ranked(cells.join(probes, "key"), k, dimension, parts), "candidates")
     found = staged(_top(candidates, k), "neighbours")
