@@ -177,3 +177,15 @@ def test_the_pruned_plan_stores_no_more_than_the_direct_one(spark, monkeypatch):
     one = search.scores(terms, built, 5, "pruned").count()
     pruned, names[:] = sorted(names), []
     assert search.scores(terms, built, 5, "direct").count() == one and pruned == sorted(names)
+
+
+def test_postings_of_other_documents_are_not_shuffled(spark, exchanges):
+    """Few documents are sent to the postings, also where no join side counts as small."""
+    docs = spark.createDataFrame([(f"d{i}", f"hot x{i}") for i in range(9)], "doc_id string, catch_all string")
+    built = index.build_index(docs)
+    terms = search.analyze_queries(spark.createDataFrame([("q", "hot x1")], "id string, question string"), built)
+    pairs = spark.createDataFrame([("q", "d1"), ("q", "d3")], "id string, doc_id string")
+    found = features.query_doc_features(pairs, terms, built)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [doc_id" in plan and "LeftSemi" in plan
+    assert found.count() == 2
